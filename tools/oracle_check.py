@@ -21,6 +21,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _norm(v, digits):
+    import datetime as _dt
+    if isinstance(v, (_dt.date, _dt.datetime)) or type(v).__name__ == "Timestamp":
+        import pandas as pd
+        return pd.Timestamp(v).isoformat()
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
@@ -44,6 +48,14 @@ def _rows(pdf, digits):
     return sorted(out, key=repr)
 
 
+def _close(x, y):
+    if isinstance(x, tuple) and isinstance(y, tuple):
+        return len(x) == len(y) and all(_close(p, q) for p, q in zip(x, y))
+    if isinstance(x, float) and isinstance(y, float):
+        return math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-12)
+    return x == y
+
+
 def _isna(x):
     try:
         import pandas as pd
@@ -93,9 +105,10 @@ def main(argv):
             print(f"FAIL {name}: rows spark={len(sdf)} oracle={len(odf)}")
             bad += 1
             continue
-        a, b = _rows(sdf, 9), _rows(odf, 9)
-        if a != b:
-            diff = [(x, y) for x, y in zip(a, b) if x != y][:2]
+        a, b = _rows(sdf, 6), _rows(odf, 6)
+        fa, fb = _rows(sdf, None), _rows(odf, None)
+        if not all(_close(x, y) for x, y in zip(sorted(fa, key=lambda r: repr(_norm(r, 6))), sorted(fb, key=lambda r: repr(_norm(r, 6))))):
+            diff = [(x, y) for x, y in zip(sorted(fa, key=lambda r: repr(_norm(r, 6))), sorted(fb, key=lambda r: repr(_norm(r, 6)))) if not _close(x, y)][:2]
             print(f"FAIL {name}: values differ, e.g. {diff}")
             bad += 1
             continue
