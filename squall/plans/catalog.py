@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from squall.plans import history, speed  # noqa: F401
+from squall.plans import history, reports, speed  # noqa: F401
 from squall.plans.registry import ORACLES, QUERIES
 
 

@@ -7,9 +7,24 @@ from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType,
                                StructField, StructType, TimestampType)
 
 
+_TYPES = {"string": StringType(), "double": DoubleType(), "int": IntegerType(),
+          "bigint": LongType(), "boolean": BooleanType(), "timestamp": TimestampType(),
+          "date": DateType(), "binary": None}
+
+
+def _type(name: str):
+    if name.startswith("array<") and name.endswith(">"):
+        return ArrayType(_type(name[6:-1]))
+    if name == "binary":
+        from pyspark.sql.types import BinaryType
+        return BinaryType()
+    return _TYPES[name]
+
+
 def _fields(spec: str) -> StructType:
-    """Tiny helper: ``"a string, b double"`` -> StructType (nullable)."""
-    return StructType.fromDDL(spec)
+    """Shorthand for flat schemas: ``"a string, b double"`` (all nullable)."""
+    return StructType([StructField(n, _type(t))
+                       for n, t in (f.strip().split(" ", 1) for f in spec.split(","))])
 
 
 # Flat observation message sent by the producers (M2): 13 scalars + units.
