@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from squall.plans import history, ingest, reports, speed  # noqa: F401
+from squall.plans import history, ingest, reports, speed, streams  # noqa: F401
 from squall.plans.registry import ORACLES, QUERIES
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from squall.operators import anomalies as A
 from squall.operators import profiles as P
 from squall.operators import records as R
-from squall.plans.registry import register
+from squall.plans.registry import ORACLES, register
 from squall.plans.sqlviews import MONTH_NAME, ctes, with_views
 from squall.sources.testviews import daily, obs
 
@@ -286,3 +286,7 @@ SELECT strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_time_text, countr
 FROM a WHERE is_anomaly"""))
 def anomaly_feed(spark, sf_dir):
     return A.anomaly_feed(anomalies_all(spark, sf_dir))
+
+
+# Oracle texts reused by the streaming twins of these queries.
+ORACLES_FOR_STREAMS = {name: ORACLES[name] for name in ['anomalies']}

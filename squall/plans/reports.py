@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from squall.functions.names import safe_name
 from squall.operators import reports as RP
-from squall.plans.registry import register
+from squall.plans.registry import ORACLES, register
 from squall.plans.speed import classified
 from squall.plans.sqlviews import ctes, with_views
 from squall.session import scratch_path
@@ -192,3 +192,7 @@ def safe_location(spark, sf_dir):
                     safe_name("country").alias("country_dir"),
                     safe_name("country", "strict").alias("country_strict"),
                     F.concat_ws("/", safe_name("country"), safe_name("city")).alias("location"))
+
+
+# Oracle texts reused by the streaming twins of these queries.
+ORACLES_FOR_STREAMS = {name: ORACLES[name] for name in ['store_audit']}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from squall.functions.classify import critical_flag, with_alert_levels
 from squall.operators import windows as W
-from squall.plans.registry import register
+from squall.plans.registry import ORACLES, register
 from squall.plans.sqlviews import COBS, sliding, with_views
 from squall.sources.testviews import obs
 
@@ -90,3 +90,7 @@ FROM wins GROUP BY window_start, city, country"""))
 def win_city_tumbling(spark, sf_dir):
     """Window size and slide are parameters; slide = size gives tumbling windows."""
     return W.window_city_stats(classified(spark, sf_dir), size="10 minutes", slide="10 minutes")
+
+
+# Oracle texts reused by the streaming twins of these queries.
+ORACLES_FOR_STREAMS = {name: ORACLES[name] for name in ['classify_obs', 'win_global', 'win_levels', 'win_city', 'win_critical']}

@@ -43,9 +43,8 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_regionkey").cast("double").alias("longitude")))
 
 
-def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat observations (event time is TIMESTAMP_NTZ, as stored)."""
-    events = read_table(spark, sf_dir, "events")
+def obs_from_events(events: DataFrame, loc: DataFrame) -> DataFrame:
+    """Map ``events`` rows (batch or stream) to observations."""
     k = F.from_json(F.col("props"), "k int").getField("k")
     e = events.select(
         "event_id",
@@ -58,7 +57,7 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 101).cast("double").alias("humidity"),
         (F.col("event_id") % 7).cast("double").alias("precipitation"),
     )
-    return (e.join(locations(spark, sf_dir), "loc_id")
+    return (e.join(loc, "loc_id")
             .select("event_id", "event_time",
                     F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
                     .alias("original_timestamp"),
@@ -67,6 +66,11 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "precipitation"))
 
 
+def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat observations (event time is TIMESTAMP_NTZ, as stored)."""
+    return obs_from_events(read_table(spark, sf_dir, "events"), locations(spark, sf_dir))
+
+
 def order_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-order wind and snow measures from lineitem (one row per order)."""
     li = read_table(spark, sf_dir, "lineitem")
