@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from squall.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast,
+                                    materialize)
+
 LOCATION = ("country", "city")
 SIGMA_FACTOR = 2.0
 
@@ -69,6 +72,21 @@ def detect_anomalies(observations: DataFrame, base: DataFrame, ts_col: str = "ev
                               F.month(F.col(ts_col)).alias("month"),
                               "temperature", "windspeed")
     joined = obs.join(base, [*keys, "month"], "left")
+    return _tag(joined, keys, k, only_anomalies)
+
+
+def detect_anomalies_checked(observations: DataFrame, base: DataFrame,
+                             ts_col: str = "event_time", keys=LOCATION,
+                             k: float = SIGMA_FACTOR, only_anomalies: bool = True,
+                             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``detect_anomalies`` with the baseline materialised once in the shared
+    folder and broadcast when its row count (12 per location) is under
+    ``max_rows``; beyond that the lookup is a shuffle join."""
+    base = checked_broadcast(materialize(base), max_rows)
+    return detect_anomalies(observations, base, ts_col, keys, k, only_anomalies)
+
+
+def _tag(joined: DataFrame, keys, k, only_anomalies) -> DataFrame:
     cols = anomaly_columns(F.col("temperature"), F.col("windspeed"),
                            F.col("base_temp_mean"), F.col("base_temp_stddev"),
                            F.col("base_wind_mean"), F.col("base_wind_stddev"), k)

@@ -256,7 +256,8 @@ ANOMALY_CTES = [PROFILE_CTE, """j AS (
 
 def anomalies_all(spark, sf_dir, only_anomalies=True):
     base = A.baseline(P.seasonal_profile(daily(spark, sf_dir)))
-    return A.detect_anomalies(obs(spark, sf_dir), base, only_anomalies=only_anomalies)
+    return A.detect_anomalies_checked(obs(spark, sf_dir), base,
+                                      only_anomalies=only_anomalies)
 
 
 @register("anomalies", with_views(ctes("obs", "daily", extra=ANOMALY_CTES),

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from squall.operators.joins import checked_broadcast
+
 # Fixed values of the mapping (shared with the SQL oracle text).
 NATION_COUNT = 25            # events.user_id % 25 picks the nation
 PRICE_TO_DEGREES = 10000.0   # o_totalprice / 10000 -> degrees
@@ -32,15 +34,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location dimension: nation joined to its region (25 rows in TPC-H)."""
+    """Location dimension: nation joined to its region.  Its row count is
+    bounded by ``nation``'s (a footer-only count), which decides whether it
+    is broadcast to the joins that use it."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+    loc = (nation.join(region, nation.n_regionkey == region.r_regionkey)
             .select(F.col("n_nationkey").cast("bigint").alias("loc_id"),
                     F.col("n_name").alias("city"),
                     F.col("r_name").alias("country"),
                     F.col("n_nationkey").cast("double").alias("latitude"),
                     F.col("r_regionkey").cast("double").alias("longitude")))
+    return checked_broadcast(loc, bound_by=nation)
 
 
 def obs_from_events(events: DataFrame, loc: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from squall.functions.classify import with_alert_levels
 from squall.operators import anomalies as A
 from squall.operators import windows as W
+from squall.operators.joins import checked_broadcast
 from squall.sinks.files import with_location_dirs
 from squall.streaming import sinks as S
 from squall.streaming.sources import event_time_to_timestamp
@@ -43,7 +44,8 @@ def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_
     batch and appends the anomalies to ``out_path/_epoch=N`` (idempotent)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        base = A.baseline(spark.read.parquet(profile_path), digits=digits)
+        profile = spark.read.parquet(profile_path)
+        base = checked_broadcast(A.baseline(profile, digits=digits), bound_by=profile)
         found = A.detect_anomalies(batch, base, ts_col)
         (found.withColumn("_epoch", F.lit(epoch_id))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
