@@ -31,7 +31,8 @@ def parse_json_column(df: DataFrame, schema: StructType, value_col: str = "value
 
 def reject_flag(fields: list[str]) -> Column:
     """A parsed row whose fields are all null came from unparseable text."""
-    return F.coalesce(*[F.col(f).isNotNull() for f in fields], F.lit(False)) == F.lit(False)
+    from functools import reduce
+    return reduce(lambda a, b: a & b, [F.col(f).isNull() for f in fields])
 
 
 def to_json_value(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
