@@ -69,3 +69,15 @@ def with_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     defaults = defaults or FIELD_DEFAULTS
     present = {k: v for k, v in defaults.items() if k in df.columns}
     return df.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in present.items()})
+
+
+def count_rejects(parsed: DataFrame, fields: list[str], name: str = "parse_quality"):
+    """Attach valid / rejected row counters to a parse (batch or stream) with
+    ``observe``; the counts are read from the returned ``Observation`` after
+    an action (or from the streaming progress events)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    rejected = reject_flag(fields)
+    out = parsed.observe(obs, F.count_if(~rejected).alias("valid"),
+                         F.count_if(rejected).alias("rejected"))
+    return out, obs

@@ -53,3 +53,11 @@ def read_positional(spark: SparkSession, base: str, file_name: str, schema: Stru
 def catalogue(df: DataFrame) -> DataFrame:
     """Which locations have data: distinct folder names, sorted."""
     return df.select("country_dir", "city_dir").distinct().orderBy("country_dir", "city_dir")
+
+
+def load_history(spark: SparkSession, path: str) -> DataFrame:
+    """Daily history JSON Lines (one or many locations) with ``date`` typed;
+    unparseable dates become null instead of failing the job."""
+    from squall.schemas import DAILY_RAW
+    df = read_json_lines(spark, path, DAILY_RAW)
+    return df.withColumn("date", F.col("date").try_cast("date"))

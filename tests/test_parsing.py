@@ -81,3 +81,12 @@ def test_to_json_round_trip(spark):
     text = df.select(F.to_json(F.struct("*")).alias("value"))
     back = parse_json_column(text, df.schema).first()
     assert tuple(back) == (1, 2.5, "x")
+
+
+def test_count_rejects_observation(spark):
+    from squall.functions.parsing import count_rejects
+    df = spark.createDataFrame([('{"city": "A"}',), ("bad",)], "value string")
+    parsed = parse_json_column(df, OBSERVATION)
+    out, obs = count_rejects(parsed, OBSERVATION.fieldNames())
+    out.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"valid": 1, "rejected": 1}
