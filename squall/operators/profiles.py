@@ -207,9 +207,12 @@ def profile_document(enriched: DataFrame, validation: DataFrame | None = None,
 
 
 def explode_profiles(docs: DataFrame, keys=LOCATION) -> DataFrame:
-    """Profile documents back to one row per (location, month)."""
-    return docs.select(*keys, F.explode("profiles").alias("p")).select(
-        *keys, "p.month", "p.month_name",
+    """Profile documents back to one row per (location, month); the
+    validation verdict (when present) is repeated on every month row."""
+    extra = [F.col("validation.is_valid").alias("is_valid")] \
+        if "validation" in docs.columns else []
+    return docs.select(*keys, *extra, F.explode("profiles").alias("p")).select(
+        *keys, *(["is_valid"] if extra else []), "p.month", "p.month_name",
         F.col("p.temperature.mean").alias("temp_mean"),
         F.col("p.temperature.stddev").alias("temp_stddev"),
         F.col("p.temperature.median").alias("temp_median"),

@@ -220,11 +220,13 @@ def monthly_nulls(spark, sf_dir):
     return P.monthly_quality(daily(spark, sf_dir))
 
 
-@register("profile_document", with_views(ctes("daily", extra=[ENRICHED_CTE]), f"""
-SELECT country, city, month, {MONTH_NAME} AS month_name,
+@register("profile_document", with_views(ctes("daily", extra=[
+    ENRICHED_CTE, "nm AS (SELECT country, city, count(DISTINCT month) >= 12 AS is_valid "
+    "FROM eprof GROUP BY country, city)"]), f"""
+SELECT eprof.country, eprof.city, nm.is_valid, month, {MONTH_NAME} AS month_name,
        temp_mean, temp_stddev, temp_median, temp_q75 - temp_q25 AS temp_iqr,
        wind_mean, wind_stddev, wind_q75 - wind_q25 AS wind_iqr, precipitation_max, days_count
-FROM eprof"""))
+FROM eprof JOIN nm ON nm.country = eprof.country AND nm.city = eprof.city"""))
 def profile_document(spark, sf_dir):
     """Documents built (sorted month array per location) and exploded back."""
     d = daily(spark, sf_dir)

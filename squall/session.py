@@ -90,3 +90,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_file_uri(path: str) -> str:
     return path if "://" in path else "file://" + os.path.abspath(path)
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 ** 2,
+               min_partitions: int = 200) -> dict[str, str]:
+    """Shuffle and scan sizing for a job reading ``input_bytes``.
+
+    The initial shuffle partition count is chosen so that each partition
+    holds about ``target_partition_bytes`` before adaptive execution
+    coalesces small ones and splits skewed ones; scans are cut into splits
+    of the same size so a task's input fits comfortably in executor memory.
+    At 100 TB this gives ~800k initial partitions, coalesced at run time.
+    """
+    parts = max(min_partitions, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes":
+            str(4 * target_partition_bytes),
+    }

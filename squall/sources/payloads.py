@@ -44,9 +44,11 @@ def explode_archive(payloads: DataFrame) -> DataFrame:
 def pack_archive(daily: DataFrame) -> DataFrame:
     """Inverse of ``explode_archive``: one payload per location and year.
 
-    Each group holds at most one row per calendar day (366), so the sorted
-    ``collect_list`` is bounded whatever the data volume.
+    Rows are first made unique per (location, date), so each group holds at
+    most one row per calendar day (366) and the sorted ``collect_list`` is
+    bounded whatever the data volume.
     """
+    daily = daily.dropDuplicates(["country", "city", "latitude", "longitude", "date"])
     day = F.struct(*[F.col(dst).alias(src) if dst != "date"
                      else F.col("date").cast("string").alias("time")
                      for src, dst in ARCHIVE_FIELDS])
