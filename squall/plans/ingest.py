@@ -10,12 +10,12 @@ from squall.functions.classify import critical_flag
 from squall.functions.labels import month_name_fr, weather_label
 from squall.functions.parsing import (parse_json_column, reject_flag, tolerant_timestamp,
                                       with_defaults)
-from squall.plans.registry import register
+from squall.plans.registry import ORACLES, register
 from squall.plans.reports import WEATHER_LABEL_SQL
 from squall.plans.speed import classified
 from squall.plans.sqlviews import MONTH_NAME, ctes, with_views
-from squall.schemas import (ARCHIVE_PAYLOAD, CLASSIFIED_OBSERVATION, NESTED_OBSERVATION,
-                            OBSERVATION)
+from squall.schemas import (ARCHIVE_PAYLOAD, CLASSIFIED_OBSERVATION, FLAT_OBSERVATION,
+                            NESTED_OBSERVATION, OBSERVATION)
 from squall.sources import payloads as PL
 from squall.sources.testviews import daily, locations, obs, read_table
 
@@ -42,6 +42,29 @@ def json_roundtrip(spark, sf_dir):
     return parse_json_column(msg, OBSERVATION, keep=("event_id",))
 
 
+@register("parse_json_obs", with_views(ctes("obs"), """
+SELECT event_id, original_timestamp AS timestamp, city, country,
+       upper(substr(country, 1, 2)) AS country_code, city AS region, latitude, longitude,
+       temperature, windspeed, wind_direction, weather_code, humidity, precipitation,
+       '°C' AS temperature_unit, 'km/h' AS wind_unit
+FROM obs"""))
+def parse_json_obs(spark, sf_dir):
+    """Producer-shape messages (13 scalars and a ``units`` object) parsed
+    with the flat observation schema and star-expanded."""
+    o = obs(spark, sf_dir)
+    units = F.create_map(F.lit("temperature_2m"), F.lit("°C"),
+                         F.lit("wind_speed_10m"), F.lit("km/h"))
+    msg = o.select("event_id", F.to_json(F.struct(
+        F.col("original_timestamp").alias("timestamp"), "city", "country",
+        F.upper(F.substring("country", 1, 2)).alias("country_code"),
+        F.col("city").alias("region"), *OBS_FIELDS[2:], units.alias("units")))
+        .alias("value"))
+    parsed = parse_json_column(msg, FLAT_OBSERVATION, keep=("event_id",))
+    return parsed.select("event_id", *[c for c in FLAT_OBSERVATION.fieldNames() if c != "units"],
+                         F.col("units")["temperature_2m"].alias("temperature_unit"),
+                         F.col("units")["wind_speed_10m"].alias("wind_unit"))
+
+
 @register("parse_rejects", with_views(ctes("obs"), """
 SELECT 'valid' AS status, count(*) AS n FROM obs
 UNION ALL SELECT 'rejected' AS status, count(*) AS n FROM events"""))
@@ -214,7 +237,14 @@ FROM cobs"""))
 def alert_feed(spark, sf_dir):
     """Classified messages read back: tolerant time parse, field defaults,
     level-2 highlight."""
-    c = classified(spark, sf_dir)
+    return alert_feed_of(classified(spark, sf_dir))
+
+
+ALERT_FEED_SQL = ORACLES["alert_feed"]
+
+
+def alert_feed_of(c):
+    """The alert read-out over classified rows (batch or stream)."""
     msgs = c.select(F.to_json(F.struct(
         F.col("original_timestamp").alias("event_time"), "original_timestamp", *OBS_FIELDS,
         "wind_alert_level", "heat_alert_level")).alias("value"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from squall.operators import profiles as P
 from squall.operators import windows as W
-from squall.plans import history, reports, speed
+from squall.plans import history, ingest, reports, speed
 from squall.plans.registry import register
 from squall.session import scratch_path
 from squall.sources.testviews import daily, locations, obs_from_events, read_table
@@ -63,6 +63,13 @@ def stream_anomalies(spark, sf_dir):
     return spark.read.parquet(out).drop("_epoch")
 
 
+@register("stream_alert_feed", ingest.ALERT_FEED_SQL)
+def stream_alert_feed(spark, sf_dir):
+    """The alert read-out as a stateless stream (messages -> feed rows)."""
+    feed = ingest.alert_feed_of(J.classify_stream(obs_stream(spark, sf_dir)))
+    return spark.read.parquet(S.run_append_to_table(feed, "alert_feed"))
+
+
 @register("stream_store", reports.ORACLES_FOR_STREAMS["store_audit"])
 def stream_store(spark, sf_dir):
     """Classified stream appended to the per-location store, then audited."""
