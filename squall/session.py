@@ -29,6 +29,16 @@ DEFAULT_CONF = {
 }
 
 
+# Streaming state off the JVM heap with incremental checkpoints.  The window
+# state of this package is bounded by (open windows x locations), so the
+# default in-memory store is used unless keys are high-cardinality.
+ROCKSDB_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, app_name: str = "squall",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None) -> SparkSession:
