@@ -28,6 +28,11 @@ MSG_NULL_WIND = "Mois {month}: {n} valeurs de vent manquantes"
 MSG_UNREALISTIC = "{n} valeurs non réalistes détectées"
 
 
+def for_year(daily: DataFrame, year: int | None, date_col: str = "date") -> DataFrame:
+    """Restrict the history to one calendar year (``None``: all years)."""
+    return daily if year is None else daily.filter(F.year(date_col) == year)
+
+
 def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
     return df.withColumn("month", F.month(F.col(date_col)))
 

@@ -234,6 +234,25 @@ def profile_document(spark, sf_dir):
     return P.explode_profiles(docs)
 
 
+@register("profile_document_year", with_views(ctes("daily", extra=[
+    ENRICHED_CTE.replace("FROM daily GROUP BY", "FROM daily WHERE year(date) = 1998 GROUP BY"),
+    "nm AS (SELECT country, city, count(DISTINCT month) >= 12 AS is_valid "
+    "FROM eprof GROUP BY country, city)"]), f"""
+SELECT eprof.country, eprof.city, '1998' AS year, nm.is_valid, month,
+       {MONTH_NAME} AS month_name, temp_mean, temp_stddev, temp_median,
+       temp_q75 - temp_q25 AS temp_iqr, wind_mean, wind_stddev, wind_q75 - wind_q25 AS wind_iqr,
+       precipitation_max, days_count
+FROM eprof JOIN nm ON nm.country = eprof.country AND nm.city = eprof.city"""))
+def profile_document_year(spark, sf_dir):
+    """Validated profile documents of one year: the year filters the history
+    and tags the documents."""
+    d = P.for_year(daily(spark, sf_dir), 1998)
+    docs = P.profile_document(P.enriched_profile(d), P.validate_profile(d), year=1998,
+                              digits=None)
+    return P.explode_profiles(docs.select("country", "city", "year", "validation",
+                                          "profiles"), keys=("country", "city", "year"))
+
+
 ANOMALY_CTES = [PROFILE_CTE, """j AS (
   SELECT o.event_time AS event_timestamp, o.country, o.city,
          CAST(month(o.event_time) AS INTEGER) AS month, o.temperature, o.windspeed,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from squall.functions.classify import with_alert_levels
+from squall.functions.parsing import with_defaults
 from squall.operators import anomalies as A
 from squall.operators import windows as W
 from squall.operators.joins import checked_broadcast
@@ -16,8 +17,14 @@ from squall.streaming import sinks as S
 from squall.streaming.sources import event_time_to_timestamp
 
 
-def classify_stream(observations: DataFrame) -> DataFrame:
-    """Parsed observations -> classified observations (stateless map)."""
+def classify_stream(observations: DataFrame, defaults: bool = False) -> DataFrame:
+    """Parsed observations -> classified observations (stateless map).
+
+    ``defaults=True`` first fills missing fields (names ``Unknown``, numbers
+    0), so a missing wind or temperature is classified ``level_0`` instead
+    of ``unknown``, as the plain consumer loop did."""
+    if defaults:
+        observations = with_defaults(observations)
     return with_alert_levels(observations)
 
 

@@ -34,3 +34,14 @@ def test_classification_stays_in_codegen(spark):
     df = spark.range(10).select((F.col("id") * 3.0).alias("w")).select(wind_level("w"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_stream_classify_defaults_reproduce_loop_behaviour(spark):
+    from squall.streaming.jobs import classify_stream
+    df = spark.createDataFrame([(None, None, None)],
+                               "city string, temperature double, windspeed double")
+    plain = classify_stream(df).first()
+    filled = classify_stream(df, defaults=True).first()
+    assert (plain.wind_alert_level, plain.heat_alert_level) == ("unknown", "unknown")
+    assert (filled.wind_alert_level, filled.heat_alert_level) == ("level_0", "level_0")
+    assert filled.city == "Unknown"

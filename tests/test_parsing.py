@@ -90,3 +90,11 @@ def test_count_rejects_observation(spark):
     out, obs = count_rejects(parsed, OBSERVATION.fieldNames())
     out.write.format("noop").mode("overwrite").save()
     assert obs.get == {"valid": 1, "rejected": 1}
+
+
+def test_normalise_wind_units(spark):
+    from squall.functions.units import normalise_wind
+    df = spark.createDataFrame([(36.0, {"wind_speed_10m": "km/h"}), (5.0, {"wind_speed_10m": "m/s"}),
+                                (7.0, None)], "windspeed double, units map<string,string>")
+    got = [round(r.windspeed, 9) for r in normalise_wind(df).collect()]
+    assert got == [10.0, 5.0, 7.0]
