@@ -45,3 +45,13 @@ def test_stream_classify_defaults_reproduce_loop_behaviour(spark):
     assert (plain.wind_alert_level, plain.heat_alert_level) == ("unknown", "unknown")
     assert (filled.wind_alert_level, filled.heat_alert_level) == ("level_0", "level_0")
     assert filled.city == "Unknown"
+
+
+def test_kafka_app_transform_on_batch(spark):
+    from squall.streaming.apps import classified_from_observations
+    df = spark.createDataFrame([("2026-01-13T15:26:59.5", "Lyon", 36.0, 21.0)],
+                               "timestamp string, city string, temperature double, windspeed double")
+    r = classified_from_observations(df).first()
+    assert r.heat_alert_level == "level_2" and r.wind_alert_level == "level_2"
+    assert r.event_time is not None and r.processed_at is not None
+    assert r.original_timestamp == "2026-01-13T15:26:59.5"

@@ -65,3 +65,25 @@ def test_location_store_round_trip(spark, tmp_dir):
     assert counts == {("Italie", "LAquila"): 2, ("Etats_Unis", "New_York"): 2,
                       ("France", "Lyon"): 2}
     assert sorted(r.city for r in back.collect())[:2] == ["L'Aquila", "L'Aquila"]
+
+
+def test_write_documents_dynamic_overwrite(spark, tmp_dir):
+    from squall.sinks.files import write_documents
+    path = os.path.join(tmp_dir, "docs")
+    a = spark.createDataFrame([("France", "Lyon", 1), ("France", "Paris", 1)],
+                              "country string, city string, v int")
+    write_documents(a, path)
+    b = spark.createDataFrame([("France", "Lyon", 2)], "country string, city string, v int")
+    write_documents(b, path)      # replaces Lyon only
+    got = {(r.city, r.v) for r in spark.read.json(path).collect()}
+    assert got == {("Lyon", 2), ("Paris", 1)}
+
+
+def test_load_history_types_dates(spark, tmp_dir):
+    from squall.sources.files import load_history
+    p = os.path.join(tmp_dir, "h.json")
+    _write(p, json.dumps({"date": "2014-01-01", "city": "Lyon", "temp_max": 3}) + "\n"
+           + json.dumps({"date": "not-a-date", "city": "Lyon"}) + "\n")
+    rows = load_history(spark, p).collect()
+    assert str(rows[0].date) == "2014-01-01" and rows[0].temp_max == 3.0
+    assert rows[1].date is None
