@@ -149,16 +149,20 @@ def month_year_table(daily: DataFrame, years: list[int] | None = None,
 def cycle_summary(obs: DataFrame, cycle: str = "30 seconds", ts_col: str = "event_time",
                   keys=("country", "city")) -> DataFrame:
     """Per emission cycle: one row per location (cycle means) plus one
-    unweighted mean row over the locations of the cycle."""
-    per_city = (obs.groupBy(F.window(ts_col, cycle).start.alias("cycle_start"), *keys)
-                .agg(F.avg("temperature").alias("temperature"),
-                     F.avg("windspeed").alias("windspeed"),
-                     F.avg("humidity").alias("humidity"))
-                .withColumn("row_kind", F.lit("city")))
-    mean_row = (per_city.groupBy("cycle_start")
-                .agg(F.avg("temperature").alias("temperature"),
-                     F.avg("windspeed").alias("windspeed"),
-                     F.avg("humidity").alias("humidity"))
-                .withColumns({"row_kind": F.lit("mean"),
-                              **{k: F.lit(None).cast("string") for k in keys}}))
-    return per_city.unionByName(mean_row)
+    unweighted mean row over the locations of the cycle.
+
+    Both levels come from one ``rollup`` over the per-location rows (the
+    location level averages a single row, i.e. returns it), so the
+    observations are aggregated once."""
+    per_city = (obs.groupBy(F.window(ts_col, cycle).start.alias("cycle_start"),
+                            F.struct(*keys).alias("loc"))
+                .agg(F.avg("temperature").alias("t"), F.avg("windspeed").alias("w"),
+                     F.avg("humidity").alias("h")))
+    levels = (per_city.rollup("cycle_start", "loc")
+              .agg(F.avg("t").alias("temperature"), F.avg("w").alias("windspeed"),
+                   F.avg("h").alias("humidity"), F.grouping_id().alias("_g"))
+              .filter(F.col("_g") < 3))
+    return levels.select(
+        "cycle_start", *[F.col(f"loc.{k}").alias(k) for k in keys],
+        "temperature", "windspeed", "humidity",
+        F.when(F.col("_g") == 0, "city").otherwise("mean").alias("row_kind"))

@@ -10,6 +10,7 @@ from squall.functions.classify import critical_flag
 from squall.functions.labels import month_name_fr, weather_label
 from squall.functions.parsing import (parse_json_column, reject_flag, tolerant_timestamp,
                                       with_defaults)
+from squall.operators.joins import checked_broadcast, materialize
 from squall.plans.registry import ORACLES, register
 from squall.plans.reports import WEATHER_LABEL_SQL
 from squall.plans.speed import classified
@@ -224,9 +225,12 @@ def geo_enriched_obs(spark, sf_dir):
     res = _resolve(req, _candidates(spark, sf_dir)).select(
         "query_name", "query_country", "country_code", F.col("admin1").alias("region"),
         "population")
-    return (o.join(res, (o.country == res.query_name)
-                   & (o.query_country == res.query_country))
-            .select("event_id", "city", "country", "country_code", "region", "population"))
+    res = checked_broadcast(materialize(res)).alias("r")
+    return (o.alias("o")
+            .join(res, (F.col("o.country") == F.col("r.query_name"))
+                  & (F.col("o.query_country") == F.col("r.query_country")))
+            .select("o.event_id", "o.city", "o.country", "r.country_code", "r.region",
+                    "r.population"))
 
 
 @register("alert_feed", with_views(ctes("cobs"), """
