@@ -32,61 +32,109 @@ def _flatten(agg: DataFrame, *cols: str) -> DataFrame:
                       F.col("w.end").alias("window_end"), *cols)
 
 
-def _count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+# --- pane pre-aggregation (batch) -------------------------------------------
+# A sliding window of ``size`` advancing by ``slide`` (size a multiple of
+# slide) is the union of ``size / slide`` consecutive panes of length
+# ``slide``.  Batch inputs are first aggregated per pane and key, and only
+# the pane aggregates are expanded to their windows and merged: the
+# expansion and the second shuffle touch one row per (pane, key) instead of
+# every input row.  Streams use the direct form (one stateful aggregate).
+
+def _duration_seconds(text: str) -> int:
+    n, unit = text.split()
+    unit = unit.rstrip("s")
+    return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
+
+
+def _pane_ready(df: DataFrame, size: str, slide: str) -> bool:
+    if df.isStreaming:
+        return False
+    try:
+        a, b = _duration_seconds(size), _duration_seconds(slide)
+    except (KeyError, ValueError):
+        return False
+    return a % b == 0 and a > b
+
+
+# Partial and merge steps per aggregate kind: (partial exprs, final expr).
+def _spec(kind: str, name: str, c: Column | None):
+    p = f"_{name}"
+    if kind == "count":
+        return [F.count(F.lit(1)).alias(p)], F.sum(p).alias(name)
+    if kind == "count_if":
+        return [F.sum(F.when(c, 1).otherwise(0)).alias(p)], F.sum(p).cast("bigint").alias(name)
+    if kind in ("min", "max"):
+        fn = getattr(F, kind)
+        return [fn(c).alias(p)], fn(p).alias(name)
+    if kind == "avg":
+        return ([F.sum(c).alias(p + "_s"), F.count(c).alias(p + "_n")],
+                F.try_divide(F.sum(p + "_s"), F.sum(p + "_n")).alias(name))
+    raise ValueError(kind)
+
+
+def _aggregate_windows(df: DataFrame, ts_col: str, size: str, slide: str,
+                       watermark: str | None, keys: list, specs: list) -> DataFrame:
+    """Group by (window, *keys) computing ``specs`` = [(name, kind, col)]."""
+    if not _pane_ready(df, size, slide):
+        df, w = _windowed(df, ts_col, size, slide, watermark)
+        direct = {"count": lambda c: F.count(F.lit(1)),
+                  "count_if": lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint"),
+                  "min": F.min, "max": F.max, "avg": F.avg}
+        agg = df.groupBy(w, *keys).agg(*[direct[k](c).alias(n) for n, k, c in specs])
+        return _flatten(agg, *keys, *[n for n, _, _ in specs])
+    n_panes = _duration_seconds(size) // _duration_seconds(slide)
+    parts = [_spec(k, n, c) for n, k, c in specs]
+    panes = df.groupBy(F.window(F.col(ts_col), slide).start.alias("_pane"), *keys).agg(
+        *[e for partial, _ in parts for e in partial])
+    step = F.expr(f"INTERVAL {_duration_seconds(slide)} SECONDS")
+    expanded = panes.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_panes - 1))))
+    expanded = expanded.withColumn("window_start", F.col("_pane") - step * F.col("_i"))
+    merged = expanded.groupBy("window_start", *keys).agg(*[final for _, final in parts])
+    width = F.expr(f"INTERVAL {_duration_seconds(size)} SECONDS")
+    return merged.select("window_start", (F.col("window_start") + width).alias("window_end"),
+                         *keys, *[n for n, _, _ in specs])
 
 
 def window_global_stats(df: DataFrame, ts_col: str = "event_time",
                         size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
                         watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
-    df, w = _windowed(df, ts_col, size, slide, watermark)
-    agg = df.groupBy(w).agg(
-        F.count(F.lit(1)).alias("total_messages"),
-        F.avg("temperature").alias("avg_temperature"),
-        F.min("temperature").alias("min_temperature"),
-        F.max("temperature").alias("max_temperature"),
-        F.avg("windspeed").alias("avg_windspeed"),
-        F.max("windspeed").alias("max_windspeed"))
-    return _flatten(agg, "total_messages", "avg_temperature", "min_temperature",
-                    "max_temperature", "avg_windspeed", "max_windspeed")
+    t, w = F.col("temperature"), F.col("windspeed")
+    return _aggregate_windows(df, ts_col, size, slide, watermark, [], [
+        ("total_messages", "count", None), ("avg_temperature", "avg", t),
+        ("min_temperature", "min", t), ("max_temperature", "max", t),
+        ("avg_windspeed", "avg", w), ("max_windspeed", "max", w)])
 
 
 def window_level_distribution(df: DataFrame, ts_col: str = "event_time",
                               size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
                               watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
-    df, w = _windowed(df, ts_col, size, slide, watermark)
-    agg = df.groupBy(w, "wind_alert_level", "heat_alert_level").agg(
-        F.count(F.lit(1)).alias("count"))
-    return _flatten(agg, "wind_alert_level", "heat_alert_level", "count")
+    return _aggregate_windows(df, ts_col, size, slide, watermark,
+                              ["wind_alert_level", "heat_alert_level"],
+                              [("count", "count", None)])
 
 
 def window_city_stats(df: DataFrame, ts_col: str = "event_time",
                       size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
                       watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
-    df, w = _windowed(df, ts_col, size, slide, watermark)
-    agg = df.groupBy(w, "city", "country").agg(
-        F.count(F.lit(1)).alias("message_count"),
-        F.avg("temperature").alias("avg_temp"),
-        F.avg("windspeed").alias("avg_wind"),
-        _count_if(F.col("heat_alert_level") != "level_0").alias("heat_alerts"),
-        _count_if(F.col("wind_alert_level") != "level_0").alias("wind_alerts"))
-    return _flatten(agg, "city", "country", "message_count", "avg_temp", "avg_wind",
-                    "heat_alerts", "wind_alerts")
+    return _aggregate_windows(df, ts_col, size, slide, watermark, ["city", "country"], [
+        ("message_count", "count", None),
+        ("avg_temp", "avg", F.col("temperature")),
+        ("avg_wind", "avg", F.col("windspeed")),
+        ("heat_alerts", "count_if", F.col("heat_alert_level") != "level_0"),
+        ("wind_alerts", "count_if", F.col("wind_alert_level") != "level_0")])
 
 
 def window_critical_alerts(df: DataFrame, ts_col: str = "event_time",
                            size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
                            watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
     """Rows with any raised level only (filter before the window expansion)."""
-    df = df.filter(any_alert())
-    df, w = _windowed(df, ts_col, size, slide, watermark)
-    agg = df.groupBy(w, "city", "country").agg(
-        _count_if(F.col("wind_alert_level") == "level_1").alias("wind_level_1"),
-        _count_if(F.col("wind_alert_level") == "level_2").alias("wind_level_2"),
-        _count_if(F.col("heat_alert_level") == "level_1").alias("heat_level_1"),
-        _count_if(F.col("heat_alert_level") == "level_2").alias("heat_level_2"))
-    return _flatten(agg, "city", "country", "wind_level_1", "wind_level_2",
-                    "heat_level_1", "heat_level_2")
+    wl, hl = F.col("wind_alert_level"), F.col("heat_alert_level")
+    return _aggregate_windows(df.filter(any_alert()), ts_col, size, slide, watermark,
+                              ["city", "country"], [
+                                  ("wind_level_1", "count_if", wl == "level_1"),
+                                  ("wind_level_2", "count_if", wl == "level_2"),
+                                  ("heat_level_1", "count_if", hl == "level_1"),
+                                  ("heat_level_2", "count_if", hl == "level_2")])
 
 
 WINDOW_AGGREGATES = {
