@@ -61,3 +61,30 @@ def test_profile_document_round_trip(spark, tmp_dir):
     months = [r.month for r in P.explode_profiles(back).collect()]
     assert months == list(range(1, 13))
     assert back.first().validation.is_valid is True and back.first().year == "2020"
+
+
+def test_batch_layer_writes_three_document_sets(spark, tmp_dir):
+    import json
+    import os
+    from squall.batch_layer import run_batch_layer
+    path = os.path.join(tmp_dir, "history.json")
+    with open(path, "w") as f:
+        for m in range(1, 13):
+            for d in (1, 2):
+                f.write(json.dumps({"date": f"2020-{m:02d}-{d:02d}", "city": "Lyon",
+                                    "country": "France", "temp_max": 20.0 + d,
+                                    "temp_min": 5.0, "temp_mean": 12.0 + d,
+                                    "precipitation": 1.0, "rain": 1.0, "snowfall": 0.0,
+                                    "windspeed_max": 8.0 + d, "windgusts_max": 16.0,
+                                    "weather_code": 3}) + "\n")
+    out = run_batch_layer(spark, path, os.path.join(tmp_dir, "out"))
+    rec = spark.read.json(out["records"]).first()
+    assert rec.statistics.total_days == 24 and rec.country == "France"
+    prof = spark.read.json(out["profiles"]).first()
+    assert [p.month for p in prof.profiles] == list(range(1, 13))
+    enr = spark.read.json(out["enriched"]).first()
+    assert enr.validation.is_valid is True and len(enr.profiles) == 12
+    # re-running for one year adds a year level without touching the rest
+    out2 = run_batch_layer(spark, path, os.path.join(tmp_dir, "out"), year=2020)
+    years = sorted(r.year for r in spark.read.json(out2["enriched"]).select("year").collect())
+    assert years == ["2020", "all"]
