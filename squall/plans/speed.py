@@ -3,8 +3,6 @@ window aggregates (batch form; the streaming twins are in ``streams``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from squall.functions.classify import critical_flag, with_alert_levels
 from squall.operators import windows as W
 from squall.plans.registry import ORACLES, register
