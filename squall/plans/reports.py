@@ -14,7 +14,8 @@ from squall.plans.sqlviews import ctes, with_views
 from squall.schemas import STORED_ALERT
 from squall.session import scratch_path
 from squall.sinks.files import write_location_store
-from squall.sources.files import read_location_store
+from squall.functions.parsing import tolerant_timestamp
+from squall.sources.files import catalogue, read_location_store
 from squall.sources.testviews import daily, obs
 
 WEATHER_LABEL_SQL = ("CASE weather_code WHEN 0 THEN 'Ciel dégagé' WHEN 1 THEN 'Dégagé' "
@@ -176,6 +177,21 @@ def store_sample(spark, sf_dir):
                     "windspeed", "rank"))
 
 
+@register("store_kpis", ORACLES["kpis"])
+def store_kpis(spark, sf_dir):
+    """Overview KPIs over the stored alerts read back from the store (event
+    times are text there and are parsed tolerantly; unparseable rows drop)."""
+    s = stored_alerts(spark, sf_dir)
+    return RP.kpis(s.withColumn("event_time", tolerant_timestamp("event_time")))
+
+
+@register("store_catalogue", with_views(ctes("cobs", extra=[_STORE_SQL]), """
+SELECT DISTINCT country_dir, city_dir FROM st"""))
+def store_catalogue(spark, sf_dir):
+    """Which locations have stored alerts (folder names of the store)."""
+    return catalogue(stored_alerts(spark, sf_dir))
+
+
 @register("safe_location", with_views(ctes("obs"), """
 SELECT event_id, country, city,
        replace(replace(country, ' ', '_'), '/', '_') AS country_basic,

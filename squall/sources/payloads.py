@@ -31,14 +31,21 @@ ARCHIVE_FIELDS = [
 HEADER = ["city", "country", "latitude", "longitude"]
 
 
-def explode_archive(payloads: DataFrame) -> DataFrame:
-    """Parallel arrays -> one row per day (``date`` typed, bad dates null)."""
+def explode_archive(payloads: DataFrame, start: str | None = None,
+                    end: str | None = None) -> DataFrame:
+    """Parallel arrays -> one row per day (``date`` typed, bad dates null).
+
+    ``start`` / ``end`` (inclusive ISO dates) keep an explicit period, e.g.
+    exactly ten years, whatever the pulled payloads cover."""
     zipped = F.arrays_zip(*[F.col(f"daily.{src}").alias(src) for src, _ in ARCHIVE_FIELDS])
     rows = payloads.select(*HEADER, F.explode(zipped).alias("d"))
     cols = [F.col(f"d.{src}").alias(dst) for src, dst in ARCHIVE_FIELDS]
-    out = rows.select(*HEADER, *cols)
-    return out.withColumn("date", F.col("date").try_cast("date")).select(
-        "date", *HEADER, *[dst for _, dst in ARCHIVE_FIELDS[1:]])
+    out = rows.select(*HEADER, *cols).withColumn("date", F.col("date").try_cast("date"))
+    if start is not None:
+        out = out.filter(F.col("date") >= F.lit(start).cast("date"))
+    if end is not None:
+        out = out.filter(F.col("date") <= F.lit(end).cast("date"))
+    return out.select("date", *HEADER, *[dst for _, dst in ARCHIVE_FIELDS[1:]])
 
 
 def pack_archive(daily: DataFrame) -> DataFrame:

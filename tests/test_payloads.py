@@ -67,3 +67,16 @@ def test_geocoding_prefers_requested_country_else_first(spark):
         _parse(spark, payloads, GEOCODING_PAYLOAD)))
     got = {r.query_country: (r.country_code, r.code_matched) for r in res.collect()}
     assert got == {"us": ("US", True), "DE": ("FR", False), None: ("FR", False)}
+
+
+def test_archive_explicit_period(spark):
+    import datetime as dt
+    daily = spark.createDataFrame(
+        [(dt.date(2014 + y, 1, 1), "A", "X", 1.0, 2.0, 9.0, 1.0, 5.0, 1.0, 0.5, 0.0, 3.0, 6.0, 2)
+         for y in range(11)],
+        "date date, city string, country string, latitude double, longitude double, "
+        "temp_max double, temp_min double, temp_mean double, precipitation double, "
+        "rain double, snowfall double, windspeed_max double, windgusts_max double, "
+        "weather_code int")
+    out = PL.explode_archive(PL.pack_archive(daily), start="2015-01-01", end="2024-12-31")
+    assert out.count() == 10
