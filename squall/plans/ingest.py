@@ -172,10 +172,9 @@ def _candidates(spark, sf_dir):
 
 
 def _resolve(requests, cands):
-    """Requests joined to the candidates of their searched name, then the
-    per-request choice (a hot name only multiplies its own candidates)."""
-    joined = requests.join(cands, requests.query_name == cands.name)
-    return PL.resolve_locations(joined)
+    """Per-request choice against the shared candidate table (no pairing of
+    requests with all candidates of a name)."""
+    return PL.resolve_against_gazetteer(requests, cands)
 
 
 RESOLVE_SQL_CTES = [

@@ -111,3 +111,29 @@ def resolve_locations(candidates: DataFrame) -> DataFrame:
             .select("query_name", "query_country", "b.*",
                     F.coalesce(F.col("b.country_code") == F.upper(F.col("query_country")),
                                F.lit(False)).alias("code_matched")))
+
+
+def resolve_against_gazetteer(requests: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Requests (``query_name, query_country``) resolved against a shared
+    candidate table (``name, pos, country_code, ...``).
+
+    Same rule as ``resolve_locations`` without pairing every request with
+    every candidate of its name: the candidates are reduced to the first
+    one per name and the first one per (name, code) — two grouped
+    ``min_by`` — and each request then joins at most one row of each.
+    """
+    payload = F.struct(*CANDIDATE_FIELDS)
+    first_any = (candidates.groupBy(F.col("name").alias("_n"))
+                 .agg(F.min_by(payload, "pos").alias("_any")))
+    first_code = (candidates.groupBy(F.col("name").alias("_n"),
+                                     F.col("country_code").alias("_c"))
+                  .agg(F.min_by(payload, "pos").alias("_hit")))
+    want = F.upper(F.col("query_country"))
+    r = requests.select("query_name", "query_country")
+    out = (r.join(first_code, (r.query_name == first_code._n) & (want == first_code._c), "left")
+           .drop("_n", "_c")
+           .join(first_any, r.query_name == first_any._n, "left"))
+    best = F.coalesce("_hit", "_any")
+    return out.select("query_name", "query_country",
+                      *[best[f].alias(f) for f in CANDIDATE_FIELDS],
+                      F.col("_hit").isNotNull().alias("code_matched"))

@@ -80,3 +80,19 @@ def test_archive_explicit_period(spark):
         "weather_code int")
     out = PL.explode_archive(PL.pack_archive(daily), start="2015-01-01", end="2024-12-31")
     assert out.count() == 10
+
+
+def test_gazetteer_resolution_matches_per_request_rule(spark):
+    cands = spark.createDataFrame(
+        [("Paris", 0, "France", "FR", 48.8, 2.3, "IDF", 2000000),
+         ("Paris", 1, "United States", "US", 33.6, -95.5, "Texas", 25000),
+         ("Paris", 2, "United States", "US", 38.2, -84.2, "Kentucky", 9000),
+         ("Lyon", 0, "France", "FR", 45.7, 4.8, "ARA", 500000)],
+        "name string, pos int, country string, country_code string, latitude double, "
+        "longitude double, admin1 string, population bigint")
+    req = spark.createDataFrame([("Paris", "us"), ("Paris", "DE"), ("Lyon", "FR"),
+                                 ("Nowhere", "FR")], "query_name string, query_country string")
+    got = {(r.query_name, r.query_country): (r.admin1, r.code_matched)
+           for r in PL.resolve_against_gazetteer(req, cands).collect()}
+    assert got == {("Paris", "us"): ("Texas", True), ("Paris", "DE"): ("IDF", False),
+                   ("Lyon", "FR"): ("ARA", True), ("Nowhere", "FR"): (None, False)}
