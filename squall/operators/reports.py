@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from squall.functions.classify import critical_flag
 from squall.functions.labels import weather_label
+from squall.functions.parsing import tolerant_timestamp, with_defaults
 
 
 def drop_null_keys(df: DataFrame, *keys: str) -> DataFrame:
@@ -166,3 +168,16 @@ def cycle_summary(obs: DataFrame, cycle: str = "30 seconds", ts_col: str = "even
         "cycle_start", *[F.col(f"loc.{k}").alias(k) for k in keys],
         "temperature", "windspeed", "humidity",
         F.when(F.col("_g") == 0, "city").otherwise("mean").alias("row_kind"))
+
+
+def alert_feed(messages: DataFrame, ts_col: str = "event_time",
+               fallback_now: bool = False) -> DataFrame:
+    """Alert read-out of classified messages: tolerant time parse (null, or
+    the processing time with ``fallback_now``), field defaults, and the
+    level-2 highlight."""
+    m = with_defaults(messages)
+    return m.select(
+        F.date_format(tolerant_timestamp(ts_col, fallback_now), "yyyy-MM-dd HH:mm:ss")
+        .alias("event_time_text"),
+        "city", "country", "temperature", "windspeed", "heat_alert_level",
+        "wind_alert_level", critical_flag().alias("is_critical"))

@@ -6,10 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from squall.functions.classify import critical_flag
 from squall.functions.labels import month_name_fr, weather_label
-from squall.functions.parsing import (parse_json_column, reject_flag, tolerant_timestamp,
-                                      with_defaults)
+from squall.functions.parsing import parse_json_column, reject_flag, tolerant_timestamp
+from squall.operators import reports as RP
 from squall.operators.joins import checked_broadcast, materialize
 from squall.plans.registry import ORACLES, register
 from squall.plans.reports import WEATHER_LABEL_SQL
@@ -247,13 +246,9 @@ ALERT_FEED_SQL = ORACLES["alert_feed"]
 
 
 def alert_feed_of(c):
-    """The alert read-out over classified rows (batch or stream)."""
+    """The alert read-out over classified rows (batch or stream): rows are
+    serialised as messages, parsed back and read out."""
     msgs = c.select(F.to_json(F.struct(
         F.col("original_timestamp").alias("event_time"), "original_timestamp", *OBS_FIELDS,
         "wind_alert_level", "heat_alert_level")).alias("value"))
-    parsed = with_defaults(parse_json_column(msgs, CLASSIFIED_OBSERVATION))
-    return parsed.select(
-        F.date_format(tolerant_timestamp("event_time"), "yyyy-MM-dd HH:mm:ss")
-        .alias("event_time_text"),
-        "city", "country", "temperature", "windspeed", "heat_alert_level",
-        "wind_alert_level", critical_flag().alias("is_critical"))
+    return RP.alert_feed(parse_json_column(msgs, CLASSIFIED_OBSERVATION))

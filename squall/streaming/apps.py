@@ -15,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from squall.functions.classify import with_alert_levels
 from squall.functions.parsing import tolerant_timestamp
+from squall.operators import anomalies as A
+from squall.operators import reports as RP
 from squall.operators import windows as W
-from squall.schemas import CLASSIFIED_OBSERVATION, FLAT_OBSERVATION
+from squall.schemas import ANOMALY_EVENT, CLASSIFIED_OBSERVATION, FLAT_OBSERVATION
 from squall.streaming import jobs as J
 from squall.streaming import sinks as S
 from squall.streaming.sources import kafka_json_stream
@@ -41,16 +43,19 @@ def classified_from_observations(obs: DataFrame, event_time_col: str = "timestam
 
 
 def start_classification(spark: SparkSession, servers: str, checkpoint_root: str,
-                         console: bool = False) -> list[StreamingQuery]:
-    """weather_stream -> classify -> weather_transformed (append)."""
+                         console: bool = False) -> StreamingQuery:
+    """weather_stream -> classify -> weather_transformed (append).  With
+    ``console`` the same micro-batches are also printed, from the same read
+    of the topic (one query, fanned out in ``foreachBatch``)."""
     obs = kafka_json_stream(spark, servers, TOPIC_OBSERVATIONS, FLAT_OBSERVATION)
-    classified = classified_from_observations(obs)
-    out = classified.withColumn("event_time", F.col("event_time").cast("string"))
-    queries = [S.to_kafka(out, servers, TOPIC_CLASSIFIED, f"{checkpoint_root}/classify",
-                          query_name="classify")]
+    out = classified_from_observations(obs).withColumn(
+        "event_time", F.col("event_time").cast("string"))
+    writers = [S.kafka_batch_writer(servers, TOPIC_CLASSIFIED)]
     if console:
-        queries.append(S.to_console(classified, query_name="classify_console"))
-    return queries
+        writers.append(S.console_batch_writer())
+    return (out.writeStream.foreachBatch(S.fan_out(*writers))
+            .option("checkpointLocation", f"{checkpoint_root}/classify")
+            .queryName("classify").start())
 
 
 def classified_stream(spark: SparkSession, servers: str) -> DataFrame:
@@ -72,12 +77,16 @@ def start_aggregates(spark: SparkSession, servers: str, checkpoint_root: str,
 
 
 def start_anomalies(spark: SparkSession, servers: str, checkpoint_root: str,
-                    profile_path: str, out_path: str) -> StreamingQuery:
+                    profile_path: str, out_path: str, publish: bool = True) -> StreamingQuery:
     """weather_transformed vs the profile table (re-read every micro-batch):
-    anomalies appended to ``out_path`` in ``_epoch`` partitions."""
+    anomalies appended to ``out_path`` in ``_epoch`` partitions and, with
+    ``publish``, sent to the weather_anomalies topic."""
     src = classified_stream(spark, servers)
+    writer = J.anomaly_batch_writer(profile_path, out_path,
+                                    kafka_servers=servers if publish else None,
+                                    kafka_topic=TOPIC_ANOMALIES)
     return (src.writeStream
-            .foreachBatch(J.anomaly_batch_writer(profile_path, out_path))
+            .foreachBatch(writer)
             .option("checkpointLocation", f"{checkpoint_root}/anomalies")
             .queryName("anomalies").start())
 
@@ -93,6 +102,22 @@ def start_store(spark: SparkSession, servers: str, checkpoint_root: str, store_p
             .trigger(processingTime=trigger).queryName("store").start())
 
 
+def start_alert_monitor(spark: SparkSession, servers: str,
+                        starting_offsets: str = "earliest") -> StreamingQuery:
+    """Console read-out of weather_transformed (times parsed tolerantly,
+    defaults for missing fields, level-2 rows flagged)."""
+    df = kafka_json_stream(spark, servers, TOPIC_CLASSIFIED, CLASSIFIED_OBSERVATION,
+                           starting_offsets)
+    return S.to_console(RP.alert_feed(df, fallback_now=True), query_name="alert_monitor")
+
+
+def start_anomaly_monitor(spark: SparkSession, servers: str,
+                          starting_offsets: str = "latest") -> StreamingQuery:
+    """Console read-out of weather_anomalies (label, unit, percent gap)."""
+    df = kafka_json_stream(spark, servers, TOPIC_ANOMALIES, ANOMALY_EVENT, starting_offsets)
+    return S.to_console(A.anomaly_feed(df), query_name="anomaly_monitor")
+
+
 def message_counts(queries) -> dict[str, int]:
     """Rows consumed per query over its recent progress reports (Spark
     keeps the last ``spark.sql.streaming.numRecentProgressUpdates``)."""

@@ -45,10 +45,12 @@ def start_window_queries(classified: DataFrame, sink, size: str = W.DEFAULT_SIZE
 
 
 def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_time",
-                         digits: int | None = None):
+                         digits: int | None = None, kafka_servers: str | None = None,
+                         kafka_topic: str = "weather_anomalies"):
     """``foreachBatch`` function: each micro-batch re-reads the profile table
     (a refreshed profile is used without restarting the stream), tags the
-    batch and appends the anomalies to ``out_path/_epoch=N`` (idempotent)."""
+    batch and appends the anomalies to ``out_path/_epoch=N`` (idempotent);
+    with ``kafka_servers`` the same rows are also published as JSON."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         profile = spark.read.parquet(profile_path)
@@ -57,6 +59,9 @@ def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_
         (found.withColumn("_epoch", F.lit(epoch_id))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("_epoch").parquet(out_path))
+        if kafka_servers:
+            S.batch_to_kafka(spark.read.parquet(f"{out_path}/_epoch={epoch_id}"),
+                             kafka_servers, kafka_topic)
     return write_batch
 
 

@@ -99,3 +99,30 @@ def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame
     values = [c for c in df.columns if c not in keys and c != "_epoch"]
     newest = F.max_by(F.struct(*values), F.col("_epoch"))
     return df.groupBy(*keys).agg(newest.alias("v")).select(*keys, "v.*")
+
+
+def fan_out(*writers):
+    """One ``foreachBatch`` function feeding several stateless outputs from
+    a single read of the source: the micro-batch is cached once, handed to
+    each ``writer(batch, epoch_id)``, then released."""
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch.persist()
+        try:
+            for w in writers:
+                w(batch, epoch_id)
+        finally:
+            batch.unpersist()
+    return write_batch
+
+
+def kafka_batch_writer(servers: str, topic: str):
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch_to_kafka(batch, servers, topic)
+    return write
+
+
+def console_batch_writer(rows: int = 20):
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        print(f"-- batch {epoch_id}")
+        batch.show(rows, truncate=False)
+    return write

@@ -66,3 +66,23 @@ def test_stream_update_mode_drops_rows_behind_watermark(spark, tmp_dir):
     final = {r.window_start.minute: r.total_messages
              for r in S.latest_updates(spark, data, W.WINDOW_KEYS["global"]).collect()}
     assert final == {0: 1, 20: 1, 15: 1}
+
+
+def test_fan_out_feeds_every_writer_once(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([(t(0), "A", "X", 20.0, 5.0)], SCHEMA).write.parquet(src)
+    seen = []
+
+    def w1(batch, epoch):
+        batch.write.mode("append").parquet(os.path.join(tmp_dir, "o1"))
+
+    def w2(batch, epoch):
+        seen.append(epoch)
+    stream = spark.readStream.schema(
+        spark.read.parquet(src).schema).parquet(src)
+    q = (stream.writeStream.foreachBatch(S.fan_out(w1, w2))
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(os.path.join(tmp_dir, "o1")).count() == 1
+    assert seen == [0]
