@@ -73,9 +73,14 @@ def _spec(kind: str, name: str, c: Column | None):
 
 
 def _aggregate_windows(df: DataFrame, ts_col: str, size: str, slide: str,
-                       watermark: str | None, keys: list, specs: list) -> DataFrame:
-    """Group by (window, *keys) computing ``specs`` = [(name, kind, col)]."""
-    if not _pane_ready(df, size, slide):
+                       watermark: str | None, keys: list, specs: list,
+                       panes: bool | None = None) -> DataFrame:
+    """Group by (window, *keys) computing ``specs`` = [(name, kind, col)].
+    ``panes`` forces (True) or disables (False) pane pre-aggregation;
+    ``None`` uses it whenever it applies."""
+    use_panes = _pane_ready(df, size, slide) if panes is None else \
+        (panes and _pane_ready(df, size, slide))
+    if not use_panes:
         df, w = _windowed(df, ts_col, size, slide, watermark)
         direct = {"count": lambda c: F.count(F.lit(1)),
                   "count_if": lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("bigint"),
@@ -84,10 +89,10 @@ def _aggregate_windows(df: DataFrame, ts_col: str, size: str, slide: str,
         return _flatten(agg, *keys, *[n for n, _, _ in specs])
     n_panes = _duration_seconds(size) // _duration_seconds(slide)
     parts = [_spec(k, n, c) for n, k, c in specs]
-    panes = df.groupBy(F.window(F.col(ts_col), slide).start.alias("_pane"), *keys).agg(
+    pane_df = df.groupBy(F.window(F.col(ts_col), slide).start.alias("_pane"), *keys).agg(
         *[e for partial, _ in parts for e in partial])
     step = F.expr(f"INTERVAL {_duration_seconds(slide)} SECONDS")
-    expanded = panes.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_panes - 1))))
+    expanded = pane_df.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(n_panes - 1))))
     expanded = expanded.withColumn("window_start", F.col("_pane") - step * F.col("_i"))
     merged = expanded.groupBy("window_start", *keys).agg(*[final for _, final in parts])
     width = F.expr(f"INTERVAL {_duration_seconds(size)} SECONDS")
@@ -97,36 +102,40 @@ def _aggregate_windows(df: DataFrame, ts_col: str, size: str, slide: str,
 
 def window_global_stats(df: DataFrame, ts_col: str = "event_time",
                         size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
-                        watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
+                        watermark: str | None = DEFAULT_WATERMARK,
+        panes: bool | None = None) -> DataFrame:
     t, w = F.col("temperature"), F.col("windspeed")
     return _aggregate_windows(df, ts_col, size, slide, watermark, [], [
         ("total_messages", "count", None), ("avg_temperature", "avg", t),
         ("min_temperature", "min", t), ("max_temperature", "max", t),
-        ("avg_windspeed", "avg", w), ("max_windspeed", "max", w)])
+        ("avg_windspeed", "avg", w), ("max_windspeed", "max", w)], panes)
 
 
 def window_level_distribution(df: DataFrame, ts_col: str = "event_time",
                               size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
-                              watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
+                              watermark: str | None = DEFAULT_WATERMARK,
+        panes: bool | None = None) -> DataFrame:
     return _aggregate_windows(df, ts_col, size, slide, watermark,
                               ["wind_alert_level", "heat_alert_level"],
-                              [("count", "count", None)])
+                              [("count", "count", None)], panes)
 
 
 def window_city_stats(df: DataFrame, ts_col: str = "event_time",
                       size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
-                      watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
+                      watermark: str | None = DEFAULT_WATERMARK,
+        panes: bool | None = None) -> DataFrame:
     return _aggregate_windows(df, ts_col, size, slide, watermark, ["city", "country"], [
         ("message_count", "count", None),
         ("avg_temp", "avg", F.col("temperature")),
         ("avg_wind", "avg", F.col("windspeed")),
         ("heat_alerts", "count_if", F.col("heat_alert_level") != "level_0"),
-        ("wind_alerts", "count_if", F.col("wind_alert_level") != "level_0")])
+        ("wind_alerts", "count_if", F.col("wind_alert_level") != "level_0")], panes)
 
 
 def window_critical_alerts(df: DataFrame, ts_col: str = "event_time",
                            size: str = DEFAULT_SIZE, slide: str = DEFAULT_SLIDE,
-                           watermark: str | None = DEFAULT_WATERMARK) -> DataFrame:
+                           watermark: str | None = DEFAULT_WATERMARK,
+        panes: bool | None = None) -> DataFrame:
     """Rows with any raised level only (filter before the window expansion)."""
     wl, hl = F.col("wind_alert_level"), F.col("heat_alert_level")
     return _aggregate_windows(df.filter(any_alert()), ts_col, size, slide, watermark,
@@ -134,7 +143,7 @@ def window_critical_alerts(df: DataFrame, ts_col: str = "event_time",
                                   ("wind_level_1", "count_if", wl == "level_1"),
                                   ("wind_level_2", "count_if", wl == "level_2"),
                                   ("heat_level_1", "count_if", hl == "level_1"),
-                                  ("heat_level_2", "count_if", hl == "level_2")])
+                                  ("heat_level_2", "count_if", hl == "level_2")], panes)
 
 
 WINDOW_AGGREGATES = {
