@@ -59,8 +59,8 @@ def run_batch_layer(spark: SparkSession, history: DataFrame | str, out_root: str
            "enriched": f"{out_root}/seasonal_profile_enriched"}
     write_documents(R.records_document(R.climate_records(daily)), out["records"])
     write_documents(basic_profile_document(P.seasonal_profile(daily)), out["profiles"])
-    enriched = P.profile_document(P.enriched_profile(daily), P.validate_profile(daily),
-                                  year=year)
+    monthly = materialize(P.enriched_profile(daily, with_quality=True))
+    enriched = P.profile_document(monthly, P.validation_from_monthly(monthly), year=year)
     # one layout for all runs: the whole-history run is filed under year=all
     enriched = enriched.withColumn("year", F.coalesce("year", F.lit(ALL_YEARS)))
     write_documents(enriched, out["enriched"], partition_cols=("country", "city", "year"))

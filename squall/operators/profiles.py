@@ -29,8 +29,15 @@ MSG_UNREALISTIC = "{n} valeurs non réalistes détectées"
 
 
 def for_year(daily: DataFrame, year: int | None, date_col: str = "date") -> DataFrame:
-    """Restrict the history to one calendar year (``None``: all years)."""
-    return daily if year is None else daily.filter(F.year(date_col) == year)
+    """Restrict the history to one calendar year (``None``: all years).
+
+    Written as a date range (not ``year(date) = y``) so the predicate can
+    reach the scan as a pushed filter / partition filter."""
+    if year is None:
+        return daily
+    d = F.col(date_col)
+    return daily.filter((d >= F.make_date(F.lit(year), F.lit(1), F.lit(1)))
+                        & (d < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))))
 
 
 def with_month(df: DataFrame, date_col: str = "date") -> DataFrame:
@@ -66,9 +73,25 @@ def seasonal_profile(daily: DataFrame, keys=LOCATION) -> DataFrame:
         F.count(F.lit(1)).alias("days_count"))
 
 
-def enriched_profile(daily: DataFrame, keys=LOCATION, accuracy: int = 10000) -> DataFrame:
-    """Monthly profile with quartiles, medians, IQR and precipitation spread."""
+def _quality_aggs(temp_range=TEMP_RANGE, wind_range=WIND_RANGE) -> list[Column]:
+    t, w = F.col("temp_mean"), F.col("windspeed_max")
+    implausible = ((t < temp_range[0]) | (t > temp_range[1])
+                   | (w < wind_range[0]) | (w > wind_range[1]))
+    return [F.count(F.when(t.isNull(), 1)).alias("null_temp"),
+            F.count(F.when(w.isNull(), 1)).alias("null_wind"),
+            F.count(F.when(implausible, 1)).alias("unrealistic")]
+
+
+def enriched_profile(daily: DataFrame, keys=LOCATION, accuracy: int = 10000,
+                     with_quality: bool = False, temp_range=TEMP_RANGE,
+                     wind_range=WIND_RANGE) -> DataFrame:
+    """Monthly profile with quartiles, medians, IQR and precipitation spread.
+
+    ``with_quality`` adds the per-month missing / implausible counts, so the
+    validation report can be derived from the same aggregate
+    (``validation_from_monthly``) without a second pass over the history."""
     df = with_month(daily)
+    quality = _quality_aggs(temp_range, wind_range) if with_quality else []
 
     def q(c, p):
         return F.percentile_approx(c, p, accuracy)
@@ -94,7 +117,7 @@ def enriched_profile(daily: DataFrame, keys=LOCATION, accuracy: int = 10000) ->
         F.avg("precipitation").alias("precipitation_mean"),
         F.stddev_samp("precipitation").alias("precipitation_stddev"),
         F.max("precipitation").alias("precipitation_max"),
-        F.count(F.lit(1)).alias("days_count"))
+        F.count(F.lit(1)).alias("days_count"), *quality)
     return agg.withColumns({
         "temp_iqr": F.col("temp_q75") - F.col("temp_q25"),
         "wind_iqr": F.col("wind_q75") - F.col("wind_q25")})
@@ -120,14 +143,8 @@ def annual_summary(profile: DataFrame, keys=LOCATION) -> DataFrame:
 def monthly_quality(daily: DataFrame, keys=LOCATION, temp_range=TEMP_RANGE,
                     wind_range=WIND_RANGE) -> DataFrame:
     """Per (location, month): missing measures and implausible rows."""
-    t, w = F.col("temp_mean"), F.col("windspeed_max")
-    implausible = ((t < temp_range[0]) | (t > temp_range[1])
-                   | (w < wind_range[0]) | (w > wind_range[1]))
     return with_month(daily).groupBy(*keys, "month").agg(
-        F.count(F.when(t.isNull(), 1)).alias("null_temp"),
-        F.count(F.when(w.isNull(), 1)).alias("null_wind"),
-        F.count(F.when(implausible, 1)).alias("unrealistic"),
-        F.count(F.lit(1)).alias("days_count"))
+        *_quality_aggs(temp_range, wind_range), F.count(F.lit(1)).alias("days_count"))
 
 
 def _fmt(template: str, **cols: Column) -> Column:
@@ -149,7 +166,12 @@ def validate_profile(daily: DataFrame, keys=LOCATION, temp_range=TEMP_RANGE,
     One aggregation to (location, month), then one to location; the
     per-location arrays hold at most two messages per month.
     """
-    mq = monthly_quality(daily, keys, temp_range, wind_range)
+    return validation_from_monthly(monthly_quality(daily, keys, temp_range, wind_range), keys)
+
+
+def validation_from_monthly(mq: DataFrame, keys=LOCATION) -> DataFrame:
+    """Validation report from per-(location, month) rows carrying
+    ``null_temp``, ``null_wind`` and ``unrealistic`` counts."""
     month = F.col("month")
     warn_temp = F.when(F.col("null_temp") > 0,
                        F.struct(month.alias("m"), F.lit(0).alias("k"),

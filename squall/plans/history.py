@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from squall.operators import anomalies as A
 from squall.operators import profiles as P
 from squall.operators import records as R
+from squall.operators.joins import materialize
 from squall.plans.registry import ORACLES, register
 from squall.plans.sqlviews import MONTH_NAME, ctes, with_views
 from squall.sources.testviews import daily, obs
@@ -229,9 +230,16 @@ SELECT eprof.country, eprof.city, nm.is_valid, month, {MONTH_NAME} AS month_name
 FROM eprof JOIN nm ON nm.country = eprof.country AND nm.city = eprof.city"""))
 def profile_document(spark, sf_dir):
     """Documents built (sorted month array per location) and exploded back."""
-    d = daily(spark, sf_dir)
-    docs = P.profile_document(P.enriched_profile(d), P.validate_profile(d), digits=None)
-    return P.explode_profiles(docs)
+    return P.explode_profiles(_validated_documents(daily(spark, sf_dir)))
+
+
+def _validated_documents(d, year=None):
+    """One pass over the history: the monthly aggregate (12 rows per
+    location) carries the quality counts, is materialised once, and feeds
+    both the month array and the validation report."""
+    monthly = materialize(P.enriched_profile(d, with_quality=True))
+    return P.profile_document(monthly, P.validation_from_monthly(monthly), year=year,
+                              digits=None)
 
 
 @register("profile_document_year", with_views(ctes("daily", extra=[
@@ -246,9 +254,7 @@ FROM eprof JOIN nm ON nm.country = eprof.country AND nm.city = eprof.city"""))
 def profile_document_year(spark, sf_dir):
     """Validated profile documents of one year: the year filters the history
     and tags the documents."""
-    d = P.for_year(daily(spark, sf_dir), 1998)
-    docs = P.profile_document(P.enriched_profile(d), P.validate_profile(d), year=1998,
-                              digits=None)
+    docs = _validated_documents(P.for_year(daily(spark, sf_dir), 1998), year=1998)
     return P.explode_profiles(docs.select("country", "city", "year", "validation",
                                           "profiles"), keys=("country", "city", "year"))
 
