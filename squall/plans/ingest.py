@@ -216,10 +216,14 @@ FROM obs o JOIN res ON res.query_name = o.country
  AND res.query_country = 'N' || CAST(o.latitude AS INTEGER)"""))
 def geo_enriched_obs(spark, sf_dir):
     """Observations joined to their resolved location (country code,
-    region, population): the geocoding cache as a dimension join."""
+    region, population): the geocoding cache — one resolution per known
+    location, taken from the location dimension — as a dimension join, so
+    the observations are scanned once."""
     o = obs(spark, sf_dir).withColumn(
         "query_country", F.concat(F.lit("N"), F.col("latitude").cast("int").cast("string")))
-    req = o.select(F.col("country").alias("query_name"), "query_country").distinct()
+    req = locations(spark, sf_dir).select(
+        F.col("country").alias("query_name"),
+        F.concat(F.lit("N"), F.col("loc_id").cast("string")).alias("query_country"))
     res = _resolve(req, _candidates(spark, sf_dir)).select(
         "query_name", "query_country", "country_code", F.col("admin1").alias("region"),
         "population")
