@@ -63,5 +63,5 @@ def run_batch_layer(spark: SparkSession, history: DataFrame | str, out_root: str
     enriched = P.profile_document(monthly, P.validation_from_monthly(monthly), year=year)
     # one layout for all runs: the whole-history run is filed under year=all
     enriched = enriched.withColumn("year", F.coalesce("year", F.lit(ALL_YEARS)))
-    write_documents(enriched, out["enriched"], partition_cols=("country", "city", "year"))
+    write_documents(enriched, out["enriched"], partition_cols=("country_dir", "city_dir", "year"))
     return out

@@ -39,6 +39,18 @@ def baseline(profile: DataFrame, keys=LOCATION, digits: int | None = None) -> Da
                           r("wind_stddev").alias("base_wind_stddev"))
 
 
+def baseline_from_documents(docs: DataFrame, keys=LOCATION) -> DataFrame:
+    """Baseline from profile documents (``profiles`` array of month structs
+    with ``temperature`` / ``wind`` mean and stddev), e.g. documents read
+    back with ``sources.files.read_json_documents``."""
+    months = docs.select(*keys, F.explode("profiles").alias("p"))
+    return months.select(*keys, F.col("p.month").cast("int").alias("month"),
+                         F.col("p.temperature.mean").alias("base_temp_mean"),
+                         F.col("p.temperature.stddev").alias("base_temp_stddev"),
+                         F.col("p.wind.mean").alias("base_wind_mean"),
+                         F.col("p.wind.stddev").alias("base_wind_stddev"))
+
+
 def anomaly_columns(temp: Column, wind: Column, t_mean: Column, t_sd: Column,
                     w_mean: Column, w_sd: Column, k: float = SIGMA_FACTOR) -> dict:
     """Temperature is tested first (heat_wave / cold_wave); wind (wind_storm)

@@ -34,9 +34,14 @@ def write_location_store(df: DataFrame, path: str, fmt: str = "json", mode: str
         .format(fmt).save(path))
 
 
-def write_documents(df: DataFrame, path: str, partition_cols=("country", "city"),
-                    fmt: str = "json") -> None:
+def write_documents(df: DataFrame, path: str, partition_cols=DIR_COLS,
+                    fmt: str = "json", rule: str = "default") -> None:
     """Overwrite one document set per partition (dynamic partition overwrite:
-    re-running for one location replaces only that location's folder)."""
+    re-running for one location replaces only that location's folder).
+
+    By default the folders are the path-safe location names, so ``country``
+    and ``city`` stay inside each document as well."""
+    if set(DIR_COLS) & set(partition_cols):
+        df = with_location_dirs(df, rule)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).format(fmt).save(path))

@@ -57,3 +57,27 @@ def test_anomaly_feed_percent_and_labels(spark):
     assert rows["B"].anomaly_label == "WIND STORM" and rows["B"].unit == "m/s"
     assert rows["B"].pct_deviation == 100.0
     assert rows["B"].event_time_text == "2024-01-15 12:00:00"
+
+
+def test_baseline_from_indented_profile_documents(spark, tmp_dir):
+    import json
+    import os
+    from pyspark.sql.types import StructType
+    from squall.sources.files import read_json_documents
+    doc = {"city": "Lyon", "country": "France", "generated_at": "2026-01-13T00:00:00",
+           "profiles": [{"month": 1, "month_name": "Janvier",
+                         "temperature": {"mean": 4.0, "stddev": 2.0},
+                         "wind": {"mean": 10.0, "stddev": 3.0}, "days_count": 341}]}
+    os.makedirs(os.path.join(tmp_dir, "France", "Lyon"))
+    with open(os.path.join(tmp_dir, "France", "Lyon", "profile.json"), "w") as f:
+        json.dump(doc, f, indent=2)
+    schema = StructType.fromDDL(
+        "city string, country string, generated_at string, profiles array<struct<"
+        "month int, month_name string, temperature struct<mean double, stddev double>, "
+        "wind struct<mean double, stddev double>, days_count bigint>>")
+    docs = read_json_documents(spark, os.path.join(tmp_dir, "*", "*", "profile.json"), schema)
+    from squall.operators.anomalies import baseline_from_documents
+    base = baseline_from_documents(docs)
+    obs = _obs(spark, [("France", "Lyon", 9.0, 10.0), ("France", "Lyon", 5.0, 17.0)])
+    got = [(r.anomaly_type, r.threshold) for r in detect_anomalies(obs, base).collect()]
+    assert got == [("heat_wave", 4.0), ("wind_storm", 6.0)]
