@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files of lineage cuts once their DataFrames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -86,3 +86,36 @@ def test_fan_out_feeds_every_writer_once(spark, tmp_dir):
     q.awaitTermination()
     assert spark.read.parquet(os.path.join(tmp_dir, "o1")).count() == 1
     assert seen == [0]
+
+
+def test_four_named_window_queries_run_concurrently(spark, tmp_dir):
+    from squall.streaming.jobs import start_window_queries
+    src = os.path.join(tmp_dir, "in")
+    rows = [(t(m, s), c, "X", 20.0 + m, 5.0 * m) for m in range(0, 12, 3)
+            for s, c in ((0, "A"), (30, "B"))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(src)
+    stream = with_alert_levels(spark.readStream.schema(
+        spark.read.parquet(src).schema).parquet(src))
+    out = {}
+
+    def sink(df, name):
+        path = os.path.join(tmp_dir, name)
+        out[name] = path
+
+        def write(batch, epoch):
+            (batch.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch")
+             .parquet(path))
+        return (df.writeStream.outputMode("update").foreachBatch(write).queryName(name)
+                .option("checkpointLocation", path + "_ck").trigger(availableNow=True).start())
+
+    qs = start_window_queries(stream, sink)
+    assert sorted(q.name for q in qs.values()) == sorted(f"window_{k}" for k in W.WINDOW_AGGREGATES)
+    for q in qs.values():
+        q.awaitTermination()
+    batch = with_alert_levels(spark.read.parquet(src))
+    for kind, fn in W.WINDOW_AGGREGATES.items():
+        got = S.latest_updates(spark, out[f"window_{kind}"], W.WINDOW_KEYS[kind])
+        want = fn(batch)
+        assert got.count() == want.count()
+        assert got.select(*want.columns).exceptAll(want).count() == 0
