@@ -52,6 +52,20 @@ for _kind in W.WINDOW_AGGREGATES:
         _window_query(_kind))
 
 
+@register("stream_win_global_append", speed.ORACLES_FOR_STREAMS["win_global"].replace(
+    "FROM wins GROUP BY window_start",
+    "FROM wins GROUP BY window_start\nHAVING window_start + INTERVAL 5 MINUTE <= "
+    "(SELECT max(event_time) FROM obs) - INTERVAL 10 MINUTE"))
+def stream_win_global_append(spark, sf_dir):
+    """Append mode: a window is emitted once the watermark (latest event
+    time minus 10 minutes) has passed its end, so the last windows of the
+    input stay open and are not emitted."""
+    agg = J.window_stream(J.classify_stream(obs_stream(spark, sf_dir)), "global")
+    agg = agg.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
+                           "window_end": F.col("window_end").cast("timestamp_ntz")})
+    return spark.read.parquet(S.run_append_to_table(agg, "window_global_append"))
+
+
 @register("stream_anomalies", history.ORACLES_FOR_STREAMS["anomalies"])
 def stream_anomalies(spark, sf_dir):
     """Profiles computed in batch and written to a table; the observation
