@@ -124,3 +124,16 @@ def message_counts(queries) -> dict[str, int]:
     def rows(p):
         return p["numInputRows"] if isinstance(p, dict) else p.numInputRows
     return {q.name or str(q.id): sum(rows(p) for p in q.recentProgress) for q in queries}
+
+
+def run_until_any_stops(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active query ends (or fails, re-raising its error) or
+    the timeout passes, then stop the remaining queries one by one."""
+    try:
+        if timeout_s is None:
+            spark.streams.awaitAnyTermination()
+        else:
+            spark.streams.awaitAnyTermination(timeout_s)
+    finally:
+        for q in spark.streams.active:
+            q.stop()

@@ -119,3 +119,18 @@ def test_four_named_window_queries_run_concurrently(spark, tmp_dir):
         want = fn(batch)
         assert got.count() == want.count()
         assert got.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_run_until_any_stops_stops_the_rest(spark, tmp_dir):
+    from squall.streaming.apps import run_until_any_stops
+    src = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([(t(0), "A", "X", 20.0, 5.0)], SCHEMA).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    done = (spark.readStream.schema(schema).parquet(src).writeStream.format("noop")
+            .option("checkpointLocation", os.path.join(tmp_dir, "c1"))
+            .trigger(availableNow=True).start())
+    forever = (spark.readStream.schema(schema).parquet(src).writeStream.format("noop")
+               .option("checkpointLocation", os.path.join(tmp_dir, "c2"))
+               .trigger(processingTime="1 second").start())
+    run_until_any_stops(spark, timeout_s=60)
+    assert not done.isActive and not forever.isActive
