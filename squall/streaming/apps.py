@@ -127,8 +127,10 @@ def message_counts(queries) -> dict[str, int]:
 
 
 def run_until_any_stops(spark: SparkSession, timeout_s: float | None = None) -> None:
-    """Block until any active query ends (or fails, re-raising its error) or
-    the timeout passes, then stop the remaining queries one by one."""
+    """Block until any query ends (or fails, re-raising its error) or the
+    timeout passes, then stop the remaining queries one by one.  Spark
+    remembers terminations since the last ``spark.streams.resetTerminated()``,
+    so call that before starting the queries of a new run."""
     try:
         if timeout_s is None:
             spark.streams.awaitAnyTermination()
