@@ -32,7 +32,7 @@ def _names():
 
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, duck, name):
-    from oracle_check import _close, _norm, _rows
+    from oracle_check import same_rows
     from squall.plans import oracle_sql, queries
     sdf = queries()[name](spark, SF).toPandas()
     sql = oracle_sql().get(name)
@@ -42,12 +42,8 @@ def test_query_matches_oracle(spark, duck, name):
     odf = duck.execute(sql).df()
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert len(sdf) == len(odf)
-
-    def key(r):
-        return repr(_norm(r, 6))
-    a = sorted(_rows(sdf, None), key=key)
-    b = sorted(_rows(odf, None), key=key)
-    assert all(_close(x, y) for x, y in zip(a, b))
+    ok, diff = same_rows(sdf, odf)
+    assert ok, diff
 
 
 def test_entry_smoke(spark):

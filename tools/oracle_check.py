@@ -20,8 +20,25 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+def _is_missing(x) -> bool:
+    if x is None:
+        return True
+    if isinstance(x, float) and math.isnan(x):
+        return False          # NaN is a value, kept as "nan" by _norm
+    try:
+        import pandas as pd
+        return x is pd.NaT or (not hasattr(x, "__len__") and bool(pd.isna(x)))
+    except (TypeError, ValueError):
+        return False
+
+
 def _norm(v, digits):
+    """Comparable form of one value: timestamps/dates as ISO text, floats
+    rounded to ``digits`` significant digits (``None``: exact), containers
+    recursively."""
     import datetime as _dt
+    if _is_missing(v):
+        return None
     if isinstance(v, (_dt.date, _dt.datetime)) or type(v).__name__ == "Timestamp":
         import pandas as pd
         return pd.Timestamp(v).isoformat()
@@ -41,10 +58,11 @@ def _norm(v, digits):
 
 
 def _rows(pdf, digits):
+    """Rows of a pandas frame with columns sorted by name, values normalised,
+    rows sorted."""
     cols = sorted(pdf.columns)
-    out = []
-    for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(None if (x is None or (not isinstance(x, (list, tuple, dict)) and not hasattr(x, "tolist") and _isna(x))) else _norm(x, digits) for x in rec))
+    out = [tuple(_norm(x, digits) for x in rec)
+           for rec in pdf[cols].itertuples(index=False, name=None)]
     return sorted(out, key=repr)
 
 
@@ -56,12 +74,16 @@ def _close(x, y):
     return x == y
 
 
-def _isna(x):
-    try:
-        import pandas as pd
-        return bool(pd.isna(x))
-    except (TypeError, ValueError):
-        return False
+def same_rows(sdf, odf) -> tuple[bool, list]:
+    """Multiset equality with a relative float tolerance: rows are paired
+    after sorting on a coarsely rounded key, then compared exactly except
+    for floats."""
+    def key(r):
+        return repr(_norm(r, 6))
+    a = sorted(_rows(sdf, None), key=key)
+    b = sorted(_rows(odf, None), key=key)
+    diff = [(x, y) for x, y in zip(a, b) if not _close(x, y)]
+    return not diff, diff[:2]
 
 
 def main(argv):
@@ -105,10 +127,8 @@ def main(argv):
             print(f"FAIL {name}: rows spark={len(sdf)} oracle={len(odf)}")
             bad += 1
             continue
-        a, b = _rows(sdf, 6), _rows(odf, 6)
-        fa, fb = _rows(sdf, None), _rows(odf, None)
-        if not all(_close(x, y) for x, y in zip(sorted(fa, key=lambda r: repr(_norm(r, 6))), sorted(fb, key=lambda r: repr(_norm(r, 6))))):
-            diff = [(x, y) for x, y in zip(sorted(fa, key=lambda r: repr(_norm(r, 6))), sorted(fb, key=lambda r: repr(_norm(r, 6)))) if not _close(x, y)][:2]
+        ok, diff = same_rows(sdf, odf)
+        if not ok:
             print(f"FAIL {name}: values differ, e.g. {diff}")
             bad += 1
             continue
