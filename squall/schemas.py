@@ -67,11 +67,13 @@ NESTED_OBSERVATION = StructType([
 
 # Classified observation (M4, topic weather_transformed).  country_code,
 # region and units are carried through instead of being dropped.
-CLASSIFIED_OBSERVATION = _fields(
+CLASSIFIED_OBSERVATION = StructType(_fields(
     "event_time string, original_timestamp string, city string, country string, "
+    "country_code string, region string, "
     "latitude double, longitude double, temperature double, windspeed double, "
     "wind_direction double, weather_code int, humidity double, precipitation double, "
-    "wind_alert_level string, heat_alert_level string")
+    "wind_alert_level string, heat_alert_level string, processed_at string").fields
+    + [StructField("units", MapType(StringType(), StringType()))])
 
 # Stored alert (M5, JSON Lines under {country}/{city}/alerts.json).
 STORED_ALERT = _fields(

@@ -55,3 +55,16 @@ def test_kafka_app_transform_on_batch(spark):
     assert r.heat_alert_level == "level_2" and r.wind_alert_level == "level_2"
     assert r.event_time is not None and r.processed_at is not None
     assert r.original_timestamp == "2026-01-13T15:26:59.5"
+
+
+def test_classified_messages_keep_code_region_units(spark):
+    import json
+    from squall.functions.parsing import parse_json_column
+    from squall.schemas import CLASSIFIED_OBSERVATION
+    msg = {"event_time": "2026-01-13T15:26:59", "city": "Lyon", "country": "France",
+           "country_code": "FR", "region": "Auvergne-Rhône-Alpes", "temperature": 3.5,
+           "units": {"wind_speed_10m": "km/h"}, "wind_alert_level": "level_0"}
+    df = spark.createDataFrame([(json.dumps(msg),)], "value string")
+    r = parse_json_column(df, CLASSIFIED_OBSERVATION).first()
+    assert (r.country_code, r.region, r.units["wind_speed_10m"]) == \
+        ("FR", "Auvergne-Rhône-Alpes", "km/h")
