@@ -81,3 +81,21 @@ def count_rejects(parsed: DataFrame, fields: list[str], name: str = "parse_quali
     out = parsed.observe(obs, F.count_if(~rejected).alias("valid"),
                          F.count_if(rejected).alias("rejected"))
     return out, obs
+
+
+def split_rejects(parsed: DataFrame, fields: list[str], raw_col: str = "_raw",
+                  time_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Route parse failures to a side output.
+
+    Returns ``(valid, rejected)``: ``rejected`` keeps the original text in
+    ``raw_col`` and a ``reason`` (``unparseable`` when no field could be
+    read, ``bad_time`` when ``time_col`` is present but not a timestamp)."""
+    unparseable = reject_flag(fields)
+    reason = F.when(unparseable, F.lit("unparseable"))
+    if time_col is not None:
+        bad_time = F.col(time_col).isNotNull() & tolerant_timestamp(time_col).isNull()
+        reason = reason.when(bad_time, F.lit("bad_time"))
+    tagged = parsed.withColumn("reason", reason)
+    valid = tagged.filter(F.col("reason").isNull()).drop("reason", raw_col)
+    rejected = tagged.filter(F.col("reason").isNotNull()).select(raw_col, "reason")
+    return valid, rejected

@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from squall.functions.classify import with_alert_levels
-from squall.functions.parsing import tolerant_timestamp
+from squall.functions.parsing import parse_json_column, split_rejects, tolerant_timestamp
 from squall.operators import anomalies as A
 from squall.operators import reports as RP
 from squall.operators import windows as W
 from squall.schemas import ANOMALY_EVENT, CLASSIFIED_OBSERVATION, FLAT_OBSERVATION
 from squall.streaming import jobs as J
 from squall.streaming import sinks as S
-from squall.streaming.sources import kafka_json_stream
+from squall.streaming.sources import kafka_json_stream, kafka_stream
 
 # Topic names of the deployment.
 TOPIC_OBSERVATIONS = "weather_stream"
@@ -42,18 +42,38 @@ def classified_from_observations(obs: DataFrame, event_time_col: str = "timestam
     return out.drop(event_time_col)
 
 
+def classification_batch_writer(publish, console: bool = False,
+                                rejects_path: str | None = None):
+    """``foreachBatch`` function for parsed observation messages (with their
+    raw text in ``_raw``): valid rows are classified and handed to
+    ``publish(df)`` (the topic writer) and optionally printed; rejected ones
+    — raw text and a reason — go to ``rejects_path/_epoch=N`` instead of
+    vanishing as all-null rows."""
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        valid, rejected = split_rejects(batch, FLAT_OBSERVATION.fieldNames(),
+                                        time_col="timestamp")
+        out = classified_from_observations(valid).withColumn(
+            "event_time", F.col("event_time").cast("string"))
+        publish(out)
+        if console:
+            S.console_batch_writer()(out, epoch_id)
+        if rejects_path:
+            (rejected.withColumn("_epoch", F.lit(epoch_id))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_epoch").parquet(rejects_path))
+    return S.fan_out(write_batch)
+
+
 def start_classification(spark: SparkSession, servers: str, checkpoint_root: str,
-                         console: bool = False) -> StreamingQuery:
-    """weather_stream -> classify -> weather_transformed (append).  With
-    ``console`` the same micro-batches are also printed, from the same read
-    of the topic (one query, fanned out in ``foreachBatch``)."""
-    obs = kafka_json_stream(spark, servers, TOPIC_OBSERVATIONS, FLAT_OBSERVATION)
-    out = classified_from_observations(obs).withColumn(
-        "event_time", F.col("event_time").cast("string"))
-    writers = [S.kafka_batch_writer(servers, TOPIC_CLASSIFIED)]
-    if console:
-        writers.append(S.console_batch_writer())
-    return (out.writeStream.foreachBatch(S.fan_out(*writers))
+                         console: bool = False,
+                         rejects_path: str | None = None) -> StreamingQuery:
+    """weather_stream -> classify -> weather_transformed, one read of the
+    topic per micro-batch (see ``classification_batch_writer``)."""
+    raw = kafka_stream(spark, servers, TOPIC_OBSERVATIONS)
+    parsed = parse_json_column(raw, FLAT_OBSERVATION, raw_col="_raw")
+    writer = classification_batch_writer(
+        lambda df: S.batch_to_kafka(df, servers, TOPIC_CLASSIFIED), console, rejects_path)
+    return (parsed.writeStream.foreachBatch(writer)
             .option("checkpointLocation", f"{checkpoint_root}/classify")
             .queryName("classify").start())
 

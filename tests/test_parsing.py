@@ -98,3 +98,18 @@ def test_normalise_wind_units(spark):
                                 (7.0, None)], "windspeed double, units map<string,string>")
     got = [round(r.windspeed, 9) for r in normalise_wind(df).collect()]
     assert got == [10.0, 5.0, 7.0]
+
+
+def test_split_rejects_routes_bad_messages(spark):
+    from squall.functions.parsing import split_rejects
+    from squall.schemas import FLAT_OBSERVATION
+    msgs = ['{"timestamp": "2026-01-13T15:26:59", "city": "Lyon", "temperature": 3.0}',
+            '{"timestamp": "yesterday", "city": "Rome"}',
+            '{oops']
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    parsed = parse_json_column(df, FLAT_OBSERVATION, raw_col="_raw")
+    valid, rejected = split_rejects(parsed, FLAT_OBSERVATION.fieldNames(), time_col="timestamp")
+    assert [r.city for r in valid.collect()] == ["Lyon"]
+    assert "_raw" not in valid.columns
+    got = sorted((r.reason, r._raw) for r in rejected.collect())
+    assert got == [("bad_time", msgs[1]), ("unparseable", "{oops")]

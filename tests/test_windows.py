@@ -134,3 +134,32 @@ def test_run_until_any_stops_stops_the_rest(spark, tmp_dir):
                .trigger(processingTime="1 second").start())
     run_until_any_stops(spark, timeout_s=60)
     assert not done.isActive and not forever.isActive
+
+
+def test_classification_writer_on_a_text_stream(spark, tmp_dir):
+    import json
+    from squall.functions.parsing import parse_json_column
+    from squall.schemas import FLAT_OBSERVATION
+    from squall.streaming.apps import classification_batch_writer
+    src = os.path.join(tmp_dir, "msgs")
+    os.makedirs(src)
+    with open(os.path.join(src, "m.json"), "w") as f:
+        f.write(json.dumps({"timestamp": "2026-01-13T15:00:00", "city": "Lyon",
+                            "country": "France", "country_code": "FR",
+                            "temperature": 36.0, "windspeed": 5.0}) + "\n")
+        f.write("{broken\n")
+    raw = spark.readStream.format("text").load(src)
+    parsed = parse_json_column(raw, FLAT_OBSERVATION, raw_col="_raw")
+    published = os.path.join(tmp_dir, "published")
+    rejects = os.path.join(tmp_dir, "rejects")
+    writer = classification_batch_writer(
+        lambda df: df.write.mode("append").parquet(published), rejects_path=rejects)
+    q = (parsed.writeStream.foreachBatch(writer)
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(published).collect()
+    assert len(out) == 1 and out[0].heat_alert_level == "level_2"
+    assert out[0].country_code == "FR" and out[0].event_time.startswith("2026-01-13")
+    rej = spark.read.parquet(rejects).collect()
+    assert [(r._raw, r.reason) for r in rej] == [("{broken", "unparseable")]
