@@ -79,6 +79,18 @@ def win_critical(spark, sf_dir):
     return W.window_critical_alerts(classified(spark, sf_dir))
 
 
+@register("win_global_10m_2m", with_views(COBS + ",\n" + sliding("cobs", 10, 2), """
+SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end,
+       count(*) AS total_messages, avg(temperature) AS avg_temperature,
+       min(temperature) AS min_temperature, max(temperature) AS max_temperature,
+       avg(windspeed) AS avg_windspeed, max(windspeed) AS max_windspeed
+FROM wins GROUP BY window_start"""))
+def win_global_10m_2m(spark, sf_dir):
+    """Window size and slide as parameters: 10-minute windows every 2 minutes."""
+    return W.window_global_stats(classified(spark, sf_dir), size="10 minutes",
+                                 slide="2 minutes")
+
+
 @register("win_city_tumbling", with_views(COBS + ",\n" + sliding("cobs", 10, 10), """
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, city, country,
        count(*) AS message_count, avg(temperature) AS avg_temp, avg(windspeed) AS avg_wind,
