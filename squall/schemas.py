@@ -88,9 +88,6 @@ DAILY_RAW = _fields(
     "rain double, snowfall double, windspeed_max double, windgusts_max double, "
     "weather_code int")
 
-DAILY_MEASURES = ["temp_max", "temp_min", "temp_mean", "precipitation", "rain",
-                  "snowfall", "windspeed_max", "windgusts_max", "weather_code"]
-
 # Archive payload: parallel arrays under ``daily`` (M7).
 ARCHIVE_PAYLOAD = StructType([
     StructField("city", StringType()),
@@ -138,10 +135,4 @@ KAFKA_ENVELOPE = _fields(
     "key binary, value binary, topic string, partition int, offset bigint, "
     "timestamp timestamp, timestampType int")
 
-VALIDATION = StructType([
-    StructField("is_valid", BooleanType()),
-    StructField("errors", ArrayType(StringType())),
-    StructField("warnings", ArrayType(StringType())),
-])
-
-__all__ = [name for name in dir() if name.isupper()] + ["DateType", "LongType"]
+__all__ = [name for name in dir() if name.isupper()]

@@ -85,6 +85,3 @@ def store_stream(classified: DataFrame, name: str = "alert_store") -> str:
     return S.run_append_to_table(alerts, name, partition_cols=("country_dir", "city_dir"),
                                  fmt="json")
 
-
-def read_store(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).json(path)
