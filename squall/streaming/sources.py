@@ -25,16 +25,25 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
     return reader.load()
 
 
+def parse_kafka_json(raw: DataFrame, schema: StructType,
+                     keep_envelope: bool = False) -> DataFrame:
+    """Kafka records (binary ``value`` + envelope) -> typed message columns;
+    with ``keep_envelope`` also topic, partition, offset and the record time
+    (as ``kafka_timestamp``, since messages often have their own
+    ``timestamp`` field)."""
+    if not keep_envelope:
+        return parse_json_column(raw, schema)
+    raw = raw.withColumnRenamed("timestamp", "kafka_timestamp")
+    return parse_json_column(raw, schema,
+                             keep=("topic", "partition", "offset", "kafka_timestamp"))
+
+
 def kafka_json_stream(spark: SparkSession, servers: str, topic: str, schema: StructType,
                       starting_offsets: str = "latest", keep_envelope: bool = False,
                       **options) -> DataFrame:
     """Topic of JSON messages -> typed columns (plus the envelope if asked)."""
     raw = kafka_stream(spark, servers, topic, starting_offsets, **options)
-    keep = ("topic", "partition", "offset", "timestamp") if keep_envelope else ()
-    if keep_envelope:
-        raw = raw.withColumnRenamed("timestamp", "kafka_timestamp")
-        keep = ("topic", "partition", "offset", "kafka_timestamp")
-    return parse_json_column(raw, schema, keep=keep)
+    return parse_kafka_json(raw, schema, keep_envelope)
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet",

@@ -113,3 +113,18 @@ def test_split_rejects_routes_bad_messages(spark):
     assert "_raw" not in valid.columns
     got = sorted((r.reason, r._raw) for r in rejected.collect())
     assert got == [("bad_time", msgs[1]), ("unparseable", "{oops")]
+
+
+def test_parse_kafka_records_with_envelope(spark):
+    import datetime as dt
+    import json as _json
+    from squall.schemas import FLAT_OBSERVATION, KAFKA_ENVELOPE
+    from squall.streaming.sources import parse_kafka_json
+    msg = _json.dumps({"timestamp": "2026-01-13T15:00:00", "city": "Lyon", "temperature": 3.5,
+                       "units": {"temperature_2m": "°C"}}).encode()
+    rec = (None, bytearray(msg), "weather_stream", 0, 42, dt.datetime(2026, 1, 13, 15, 0, 1), 0)
+    raw = spark.createDataFrame([rec], KAFKA_ENVELOPE)
+    r = parse_kafka_json(raw, FLAT_OBSERVATION, keep_envelope=True).first()
+    assert (r.city, r.temperature, r.units["temperature_2m"]) == ("Lyon", 3.5, "°C")
+    assert (r.topic, r.partition, r.offset) == ("weather_stream", 0, 42)
+    assert r.timestamp == "2026-01-13T15:00:00" and r.kafka_timestamp is not None
