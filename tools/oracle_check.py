@@ -79,7 +79,11 @@ def same_rows(sdf, odf) -> tuple[bool, list]:
     after sorting on a coarsely rounded key, then compared exactly except
     for floats."""
     def key(r):
-        return repr(_norm(r, 6))
+        # exact non-float values first (they pair rows unambiguously when
+        # present), then floats coarsely rounded
+        exact = tuple(x for x in r if not isinstance(x, float))
+        floats = tuple(_norm(x, 6) for x in r if isinstance(x, float))
+        return repr(exact) + repr(floats)
     a = sorted(_rows(sdf, None), key=key)
     b = sorted(_rows(odf, None), key=key)
     diff = [(x, y) for x, y in zip(a, b) if not _close(x, y)]
