@@ -52,6 +52,25 @@ for _kind in W.WINDOW_AGGREGATES:
         _window_query(_kind))
 
 
+@register("stream_win_city_shared", speed.ORACLES_FOR_STREAMS["win_city"])
+def stream_win_city_shared(spark, sf_dir):
+    """City statistics taken from the single-read job that computes all four
+    window aggregates with one stateful grouping-sets aggregate."""
+    base = scratch_path(spark, "stream-window-shared")
+
+    def city_writer(part, epoch_id):
+        (part.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
+                           "window_end": F.col("window_end").cast("timestamp_ntz"),
+                           "_epoch": F.lit(epoch_id)})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_epoch").parquet(f"{base}/city"))
+    q = J.start_window_queries_single_read(
+        J.classify_stream(obs_stream(spark, sf_dir)), {"city": city_writer},
+        f"{base}/checkpoint", query_name=f"window_shared_{base[-12:]}", available_now=True)
+    q.awaitTermination()
+    return S.latest_updates(spark, f"{base}/city", W.WINDOW_KEYS["city"])
+
+
 @register("stream_win_global_append", speed.ORACLES_FOR_STREAMS["win_global"].replace(
     "FROM wins GROUP BY window_start",
     "FROM wins GROUP BY window_start\nHAVING window_start + INTERVAL 5 MINUTE <= "

@@ -44,6 +44,33 @@ def start_window_queries(classified: DataFrame, sink, size: str = W.DEFAULT_SIZE
             for kind in W.WINDOW_AGGREGATES}
 
 
+def start_window_queries_single_read(classified: DataFrame, writers: dict, checkpoint: str,
+                                     size: str = W.DEFAULT_SIZE, slide: str = W.DEFAULT_SLIDE,
+                                     watermark: str = W.DEFAULT_WATERMARK,
+                                     ts_col: str = "event_time",
+                                     query_name: str = "window_aggregates",
+                                     available_now: bool = False,
+                                     processing_time: str | None = None) -> StreamingQuery:
+    """The four window aggregates from one read and one state store (update
+    mode).  ``writers[kind](df, epoch_id)`` receives each micro-batch's rows
+    of that aggregate; the batch is cached once for the four writers."""
+    df = event_time_to_timestamp(classified, ts_col)
+    combined = W.window_all_sets(df, ts_col, size, slide, watermark)
+
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        for kind, part in W.split_window_sets(batch).items():
+            if kind in writers:
+                writers[kind](part, epoch_id)
+
+    writer = (combined.writeStream.outputMode("update").foreachBatch(S.fan_out(write_batch))
+              .option("checkpointLocation", checkpoint).queryName(query_name))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_time",
                          digits: int | None = None, kafka_servers: str | None = None,
                          kafka_topic: str = "weather_anomalies"):

@@ -163,3 +163,30 @@ def test_classification_writer_on_a_text_stream(spark, tmp_dir):
     assert out[0].country_code == "FR" and out[0].event_time.startswith("2026-01-13")
     rej = spark.read.parquet(rejects).collect()
     assert [(r._raw, r.reason) for r in rej] == [("{broken", "unparseable")]
+
+
+def test_single_read_window_aggregates_equal_separate_batch_ones(spark, tmp_dir):
+    from squall.streaming.jobs import start_window_queries_single_read
+    src = os.path.join(tmp_dir, "in")
+    rows = [(t(m, s), c, "X", 15.0 + 3 * m, 4.0 * m) for m in range(0, 14, 2)
+            for s, c in ((0, "A"), (20, "B"), (40, "A"))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(src)
+    stream = with_alert_levels(spark.readStream.schema(
+        spark.read.parquet(src).schema).parquet(src))
+    paths = {k: os.path.join(tmp_dir, k) for k in W.WINDOW_AGGREGATES}
+
+    def table_writer(path):
+        def write(part, epoch):
+            (part.withColumn("_epoch", F.lit(epoch)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("_epoch").parquet(path))
+        return write
+    q = start_window_queries_single_read(
+        stream, {k: table_writer(p) for k, p in paths.items()},
+        os.path.join(tmp_dir, "ck"), available_now=True)
+    q.awaitTermination()
+    batch = with_alert_levels(spark.read.parquet(src))
+    for kind, fn in W.WINDOW_AGGREGATES.items():
+        got = S.latest_updates(spark, paths[kind], W.WINDOW_KEYS[kind])
+        want = fn(batch)
+        assert got.count() == want.count(), kind
+        assert got.select(*want.columns).exceptAll(want).count() == 0, kind
