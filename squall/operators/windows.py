@@ -1,11 +1,12 @@
 """Sliding event-time window aggregates (global, level mix, per city,
 critical alerts).
 
-``window(ts, size, slide)`` assigns each row to ``size / slide`` windows;
-the aggregation is a hash aggregate with a map-side partial step, so a hot
-city or a burst of rows in one minute is combined before the shuffle.  On a
-stream the same functions run behind a watermark; the state store keeps one
-row per open window and key.
+Batch inputs are aggregated per slide-length pane first and only the pane
+aggregates are expanded to their windows (see ``_aggregate_windows``);
+streams use ``window(ts, size, slide)`` directly behind a watermark, one
+stateful aggregate per query, or all four aggregates from one read with
+``window_all_sets``.  Every aggregation has a map-side partial step, so a
+hot city or a burst of rows in one minute is combined before the shuffle.
 """
 
 from __future__ import annotations
