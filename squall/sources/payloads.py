@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Archive array field -> daily column (fixed field names of the archive API).
+# Archive API array fields and the daily column each one fills.
 ARCHIVE_FIELDS = [
     ("time", "date"),
     ("temperature_2m_max", "temp_max"),
@@ -68,7 +68,7 @@ def pack_archive(daily: DataFrame) -> DataFrame:
     return grouped.select(*HEADER, "year", arrays.alias("daily"))
 
 
-# Current-weather block field -> observation column.
+# Current-weather API fields and the observation column each one fills.
 CURRENT_FIELDS = [
     ("temperature_2m", "temperature"),
     ("wind_speed_10m", "windspeed"),
