@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from squall.functions._col import as_col
 
-# Fixed thresholds of the alert scheme (m/s and degrees C).
+# Thresholds of the alert scheme (m/s and degrees C).
 WIND_BOUNDS = (10.0, 20.0)
 HEAT_BOUNDS = (25.0, 35.0)
 
