@@ -175,3 +175,10 @@ def run_until_any_stops(spark: SparkSession, timeout_s: float | None = None) ->
     finally:
         for q in spark.streams.active:
             q.stop()
+
+
+def drain_and_stop(query: StreamingQuery) -> None:
+    """Process everything already available (the last partial micro-batch
+    is written, nothing is left buffered), then stop the query."""
+    query.processAllAvailable()
+    query.stop()
