@@ -72,15 +72,18 @@ def with_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
 
 
 def count_rejects(parsed: DataFrame, fields: list[str], name: str = "parse_quality"):
-    """Attach valid / rejected row counters to a parse (batch or stream) with
-    ``observe``; the counts are read from the returned ``Observation`` after
-    an action (or from the streaming progress events)."""
+    """Attach valid / rejected row counters to a parse with ``observe``.
+
+    Batch: returns ``(df, Observation)``; read ``Observation.get`` after an
+    action.  Stream: returns ``(df, name)``; each micro-batch's counts appear
+    in the query progress under ``observedMetrics[name]``."""
+    rejected = reject_flag(fields)
+    metrics = (F.count_if(~rejected).alias("valid"), F.count_if(rejected).alias("rejected"))
+    if parsed.isStreaming:
+        return parsed.observe(name, *metrics), name
     from pyspark.sql import Observation
     obs = Observation(name)
-    rejected = reject_flag(fields)
-    out = parsed.observe(obs, F.count_if(~rejected).alias("valid"),
-                         F.count_if(rejected).alias("rejected"))
-    return out, obs
+    return parsed.observe(obs, *metrics), obs
 
 
 def split_rejects(parsed: DataFrame, fields: list[str], raw_col: str = "_raw",

@@ -128,3 +128,21 @@ def test_parse_kafka_records_with_envelope(spark):
     assert (r.city, r.temperature, r.units["temperature_2m"]) == ("Lyon", 3.5, "°C")
     assert (r.topic, r.partition, r.offset) == ("weather_stream", 0, 42)
     assert r.timestamp == "2026-01-13T15:00:00" and r.kafka_timestamp is not None
+
+
+def test_count_rejects_on_a_stream(spark, tmp_dir):
+    import os
+    from squall.functions.parsing import count_rejects
+    src = os.path.join(tmp_dir, "msgs")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write('{"city": "Lyon"}\n{bad\n{"city": "Rome"}\n')
+    parsed = parse_json_column(spark.readStream.format("text").load(src), OBSERVATION)
+    out, name = count_rejects(parsed, OBSERVATION.fieldNames())
+    q = (out.writeStream.format("noop").option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    metrics = [p.observedMetrics.get(name) for p in q.recentProgress
+               if p.observedMetrics and name in p.observedMetrics]
+    row = metrics[0]
+    assert (row["valid"], row["rejected"]) == (2, 1)
