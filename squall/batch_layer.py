@@ -50,14 +50,29 @@ def basic_profile_document(profile: DataFrame, keys=("country", "city"),
             .withColumn("generated_at", F.current_timestamp()))
 
 
+# Topic receiving the records documents.
+TOPIC_RECORDS = "weather_records"
+
+
 def run_batch_layer(spark: SparkSession, history: DataFrame | str, out_root: str,
-                    year: int | None = None) -> dict[str, str]:
-    """Compute and write the three document sets; returns their folders."""
+                    year: int | None = None,
+                    kafka_servers: str | None = None) -> dict[str, str]:
+    """Compute and write the three document sets; returns their folders.
+    With ``kafka_servers`` the records documents are also published, one
+    message per location (``timestamp``, ``city``, ``country``, ``records``)."""
     daily = load_history(spark, history) if isinstance(history, str) else history
     daily = materialize(P.for_year(daily, year))
     out = {"records": f"{out_root}/records", "profiles": f"{out_root}/seasonal_profile",
            "enriched": f"{out_root}/seasonal_profile_enriched"}
-    write_documents(R.records_document(R.climate_records(daily)), out["records"])
+    records = R.records_document(R.climate_records(daily))
+    write_documents(records, out["records"])
+    if kafka_servers:
+        from squall.streaming.sinks import batch_to_kafka
+        doc_cols = [c for c in records.columns if c not in ("country", "city")]
+        msgs = records.select(F.date_format(F.current_timestamp(),
+                                            "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+                              "city", "country", F.struct(*doc_cols).alias("records"))
+        batch_to_kafka(msgs, kafka_servers, TOPIC_RECORDS)
     write_documents(basic_profile_document(P.seasonal_profile(daily)), out["profiles"])
     monthly = materialize(P.enriched_profile(daily, with_quality=True))
     enriched = P.profile_document(monthly, P.validation_from_monthly(monthly), year=year)
