@@ -81,3 +81,14 @@ def test_baseline_from_indented_profile_documents(spark, tmp_dir):
     obs = _obs(spark, [("France", "Lyon", 9.0, 10.0), ("France", "Lyon", 5.0, 17.0)])
     got = [(r.anomaly_type, r.threshold) for r in detect_anomalies(obs, base).collect()]
     assert got == [("heat_wave", 4.0), ("wind_storm", 6.0)]
+
+
+def test_baseline_rounding_option(spark):
+    from squall.operators.anomalies import baseline
+    prof = spark.createDataFrame([("X", "A", 1, 10.126, 2.004, 5.555, 1.0)],
+                                 "country string, city string, month int, temp_mean double, "
+                                 "temp_stddev double, wind_mean double, wind_stddev double")
+    full = baseline(prof).first()
+    rounded = baseline(prof, digits=2).first()
+    assert full.base_temp_mean == 10.126
+    assert (rounded.base_temp_mean, rounded.base_temp_stddev) == (10.13, 2.0)
