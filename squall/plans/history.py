@@ -51,6 +51,7 @@ LEFT JOIN snow ON snow.country = st.country AND snow.city = st.city""")
 
 @register("records_by_city", RECORDS_SQL)
 def records_by_city(spark, sf_dir):
+    """Climate records per location: extreme days, wettest 30-row period, totals."""
     return R.climate_records(daily(spark, sf_dir))
 
 
@@ -66,6 +67,7 @@ SELECT country, city, date, precipitation,
                                 ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS rain_30days
 FROM daily"""))
 def rolling_30(spark, sf_dir):
+    """Precipitation summed over the last 30 rows of each location's history."""
     return (R.rolling_sum(daily(spark, sf_dir), "precipitation", 30, "rain_30days")
             .select("country", "city", "date", "precipitation", "rain_30days"))
 
@@ -76,6 +78,7 @@ SELECT country, city, date, precipitation,
             RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW) AS rain_30days
 FROM daily"""))
 def rolling_30_days(spark, sf_dir):
+    """Precipitation summed over the last 30 calendar days (gaps respected)."""
     return (R.rolling_sum(daily(spark, sf_dir), "precipitation", 30, "rain_30days",
                           mode="range")
             .select("country", "city", "date", "precipitation", "rain_30days"))
@@ -103,6 +106,7 @@ PROFILE_CTE = f"""prof AS (
 @register("seasonal_profile", with_views(ctes("daily", extra=[PROFILE_CTE]),
                                           "SELECT * FROM prof"))
 def seasonal_profile(spark, sf_dir):
+    """Basic monthly profile per location (means, std-devs, extremes, alert shares)."""
     return P.seasonal_profile(daily(spark, sf_dir))
 
 
@@ -128,6 +132,7 @@ LEFT JOIN hottest_month h ON h.country = agg.country AND h.city = agg.city
 LEFT JOIN coldest_month c ON c.country = agg.country AND c.city = agg.city
 LEFT JOIN windiest_month w ON w.country = agg.country AND w.city = agg.city"""))
 def annual_summary(spark, sf_dir):
+    """Annual means and hottest / coldest / windiest month per location."""
     return P.annual_summary(P.seasonal_profile(daily(spark, sf_dir)))
 
 
@@ -154,6 +159,7 @@ ENRICHED_CTE = """eprof AS (
 @register("enriched_profile", with_views(ctes("daily", extra=[ENRICHED_CTE]), """
 SELECT *, temp_q75 - temp_q25 AS temp_iqr, wind_q75 - wind_q25 AS wind_iqr FROM eprof"""))
 def enriched_profile(spark, sf_dir):
+    """Monthly profile with medians, quartiles, IQR and precipitation spread."""
     return P.enriched_profile(daily(spark, sf_dir))
 
 
@@ -204,6 +210,7 @@ def _validation_report(df):
 
 @register("profile_validation", _validation_sql(60, 60))
 def profile_validation(spark, sf_dir):
+    """Validation report per location (12 months, missing and implausible values)."""
     return _validation_report(P.validate_profile(daily(spark, sf_dir)))
 
 
@@ -218,6 +225,7 @@ def profile_validation_strict(spark, sf_dir):
 @register("monthly_nulls", with_views(ctes("daily", extra=[_quality_cte(60, 60)]),
                                        "SELECT * FROM mq"))
 def monthly_nulls(spark, sf_dir):
+    """Missing and implausible measures per (location, month)."""
     return P.monthly_quality(daily(spark, sf_dir))
 
 
@@ -290,6 +298,7 @@ def anomalies_all(spark, sf_dir, only_anomalies=True):
 @register("anomalies", with_views(ctes("obs", "daily", extra=ANOMALY_CTES),
                                    "SELECT * FROM a WHERE is_anomaly"))
 def anomalies(spark, sf_dir):
+    """Observations more than 2 sigma from their location-month profile."""
     return anomalies_all(spark, sf_dir)
 
 
@@ -313,6 +322,7 @@ SELECT strftime(event_timestamp, '%Y-%m-%d %H:%M:%S') AS event_time_text, countr
             ELSE (observed_value - expected_value) / expected_value * 100 END AS pct_deviation
 FROM a WHERE is_anomaly"""))
 def anomaly_feed(spark, sf_dir):
+    """Anomaly read-out: formatted time, label, unit, percent gap."""
     return A.anomaly_feed(anomalies_all(spark, sf_dir))
 
 

@@ -26,6 +26,7 @@ OBS_FIELDS = ["city", "country", "latitude", "longitude", "temperature", "windsp
 @register("parse_event_props", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
 def parse_event_props(spark, sf_dir):
+    """JSON ``props`` of the events parsed to typed columns."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "props")
     return parse_json_column(ev, "k int", "props", keep=("event_id",))
 
@@ -110,6 +111,7 @@ SELECT event_id, weather_code, {WEATHER_LABEL_SQL} AS weather_label,
          AS month_name
 FROM obs"""))
 def label_codes(spark, sf_dir):
+    """Weather-code labels and French month names."""
     return obs(spark, sf_dir).select(
         "event_id", "weather_code", weather_label("weather_code").alias("weather_label"),
         month_name_fr(F.month("event_time")).alias("month_name"))

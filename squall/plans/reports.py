@@ -31,6 +31,7 @@ SELECT count(*) AS total_alerts, count(DISTINCT country) AS countries,
        avg(windspeed) AS avg_windspeed
 FROM cobs WHERE event_time IS NOT NULL"""))
 def kpis(spark, sf_dir):
+    """Overview KPIs: rows, countries, cities, mean temperature and wind."""
     return RP.kpis(classified(spark, sf_dir))
 
 
@@ -39,6 +40,7 @@ SELECT city, country, count(*) AS alert_count, avg(temperature) AS avg_temperatu
        avg(windspeed) AS avg_windspeed
 FROM cobs WHERE city IS NOT NULL AND country IS NOT NULL GROUP BY city, country"""))
 def city_overview(spark, sf_dir):
+    """Rows, mean temperature and wind per city, busiest first."""
     return RP.city_overview(classified(spark, sf_dir))
 
 
@@ -49,6 +51,7 @@ SELECT country, city, avg(temperature) AS temp_mean, min(temperature) AS temp_mi
        count(*) FILTER (WHERE heat_alert_level IS DISTINCT FROM 'level_0') AS heat_alerts
 FROM cobs WHERE country IS NOT NULL AND city IS NOT NULL GROUP BY country, city"""))
 def city_stats(spark, sf_dir):
+    """Temperature / wind statistics and raised-level counts per city."""
     return RP.city_stats(classified(spark, sf_dir))
 
 
@@ -59,6 +62,7 @@ UNION ALL
 SELECT 'heat' AS kind, heat_alert_level AS level, count(*) AS n FROM cobs
 WHERE heat_alert_level IS NOT NULL GROUP BY heat_alert_level"""))
 def level_counts(spark, sf_dir):
+    """Value counts of the wind and heat levels."""
     return RP.level_counts(classified(spark, sf_dir))
 
 
@@ -66,6 +70,7 @@ def level_counts(spark, sf_dir):
 SELECT country, {WEATHER_LABEL_SQL} AS weather_description, count(*) AS count
 FROM cobs WHERE country IS NOT NULL GROUP BY ALL"""))
 def weather_by_country(spark, sf_dir):
+    """Row count per (country, weather label)."""
     return RP.weather_by_country(classified(spark, sf_dir))
 
 
@@ -76,12 +81,14 @@ SELECT country, weather_description, count FROM (
   SELECT *, row_number() OVER (PARTITION BY country ORDER BY count DESC,
                                weather_description) AS rn FROM c) WHERE rn = 1"""))
 def top_weather_by_country(spark, sf_dir):
+    """Most frequent weather label per country (alphabetical on ties)."""
     return RP.top_weather_by_country(classified(spark, sf_dir))
 
 
 @register("latest_50", with_views(ctes("cobs"), """
 SELECT * FROM cobs ORDER BY event_time DESC, event_id DESC LIMIT 50"""))
 def latest_50(spark, sf_dir):
+    """The 50 most recent observations."""
     return RP.latest(classified(spark, sf_dir), 50)
 
 
@@ -99,6 +106,7 @@ def realtime_view(spark, sf_dir):
 @register("pick_lists", with_views(ctes("obs"), """
 SELECT DISTINCT country, city FROM obs WHERE country IS NOT NULL AND city IS NOT NULL"""))
 def pick_lists(spark, sf_dir):
+    """Sorted distinct (country, city) pairs."""
     return RP.pick_lists(obs(spark, sf_dir))
 
 
@@ -107,6 +115,7 @@ SELECT country, city, CAST(year(date) AS INTEGER) AS year, avg(temp_mean) AS tem
        avg(windspeed_max) AS wind_mean, sum(precipitation) AS precipitation_total
 FROM daily GROUP BY ALL"""))
 def yearly_evolution(spark, sf_dir):
+    """Yearly mean temperature, mean wind and total precipitation per location."""
     return RP.yearly_evolution(daily(spark, sf_dir))
 
 
@@ -118,6 +127,7 @@ SELECT country, city, CAST(month(date) AS INTEGER) AS month, """ + ", ".join(
     f'avg(temp_mean) FILTER (WHERE year(date) = {y}) AS "{y}"' for y in PIVOT_YEARS) + """
 FROM daily GROUP BY ALL"""))
 def month_year_pivot(spark, sf_dir):
+    """Mean temperature per month with one column per year."""
     return RP.month_year_table(daily(spark, sf_dir), PIVOT_YEARS)
 
 
@@ -130,6 +140,7 @@ UNION ALL
 SELECT cycle_start, NULL, NULL, avg(temperature), avg(windspeed), avg(humidity), 'mean'
 FROM pc GROUP BY cycle_start"""))
 def cycle_summary(spark, sf_dir):
+    """Per hourly cycle: one row per city plus an unweighted mean row."""
     return RP.cycle_summary(obs(spark, sf_dir), cycle="1 hour")
 
 
@@ -202,6 +213,7 @@ SELECT event_id, country, city,
        replace(replace(replace(city, ' ', '_'), '/', '_'), '''', '') AS location
 FROM obs"""))
 def safe_location(spark, sf_dir):
+    """Path-safe folder names (three rule sets) and the location key."""
     o = obs(spark, sf_dir)
     return o.select("event_id", "country", "city",
                     safe_name("country", "basic").alias("country_basic"),

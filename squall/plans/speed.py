@@ -16,6 +16,7 @@ def classified(spark, sf_dir):
 
 @register("classify_obs", with_views(COBS, "SELECT * FROM cobs"))
 def classify_obs(spark, sf_dir):
+    """Observations with wind and heat alert levels."""
     return classified(spark, sf_dir)
 
 
@@ -24,6 +25,7 @@ SELECT event_id, event_time, city, country, temperature, windspeed,
        wind_alert_level, heat_alert_level
 FROM cobs WHERE wind_alert_level = 'level_2' OR heat_alert_level = 'level_2'"""))
 def critical_obs(spark, sf_dir):
+    """Observations with a level-2 wind or heat alert."""
     return (classified(spark, sf_dir).filter(critical_flag())
             .select("event_id", "event_time", "city", "country", "temperature",
                     "windspeed", "wind_alert_level", "heat_alert_level"))
@@ -61,21 +63,25 @@ FROM wins GROUP BY window_start, city, country""")
 
 @register("win_global", WIN_GLOBAL_SQL)
 def win_global(spark, sf_dir):
+    """Global statistics per 5-minute window sliding by 1 minute."""
     return W.window_global_stats(classified(spark, sf_dir))
 
 
 @register("win_levels", WIN_LEVELS_SQL)
 def win_levels(spark, sf_dir):
+    """Row count per (window, wind level, heat level)."""
     return W.window_level_distribution(classified(spark, sf_dir))
 
 
 @register("win_city", WIN_CITY_SQL)
 def win_city(spark, sf_dir):
+    """Per-city statistics per sliding window (flagship query)."""
     return W.window_city_stats(classified(spark, sf_dir))
 
 
 @register("win_critical", WIN_CRITICAL_SQL)
 def win_critical(spark, sf_dir):
+    """Level-1/2 alert counts per (window, city) over raised rows only."""
     return W.window_critical_alerts(classified(spark, sf_dir))
 
 

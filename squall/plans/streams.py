@@ -31,6 +31,7 @@ def obs_stream(spark, sf_dir, max_files_per_trigger=None):
 
 @register("stream_classify", speed.ORACLES_FOR_STREAMS["classify_obs"])
 def stream_classify(spark, sf_dir):
+    """Classification as an append-mode stream over the events drop folder."""
     path = S.run_append_to_table(J.classify_stream(obs_stream(spark, sf_dir)), "classify")
     return spark.read.parquet(path)
 
