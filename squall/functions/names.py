@@ -28,3 +28,14 @@ def location_key(country="country", city="city") -> Column:
 def split_location_key(c="location") -> tuple[Column, Column]:
     parts = F.split(as_col(c), "/", 2)
     return F.get(parts, 0), F.get(parts, 1)
+
+
+def display_key(city="city", country="country") -> Column:
+    """``"city, country"`` label used by selection lists."""
+    return F.concat_ws(", ", as_col(city), as_col(country))
+
+
+def split_display_key(c="label") -> tuple[Column, Column]:
+    """Inverse of ``display_key``: (city, country)."""
+    parts = F.split(as_col(c), ", ", 2)
+    return F.get(parts, 0), F.get(parts, 1)

@@ -146,3 +146,12 @@ def test_count_rejects_on_a_stream(spark, tmp_dir):
                if p.observedMetrics and name in p.observedMetrics]
     row = metrics[0]
     assert (row["valid"], row["rejected"]) == (2, 1)
+
+
+def test_display_key_round_trip(spark):
+    from squall.functions.names import display_key, split_display_key
+    df = spark.createDataFrame([("Lyon", "France")], "city string, country string")
+    label = df.select(display_key().alias("label"))
+    assert label.first().label == "Lyon, France"
+    city, country = split_display_key("label")
+    assert tuple(label.select(city, country).first()) == ("Lyon", "France")
