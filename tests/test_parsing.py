@@ -155,3 +155,9 @@ def test_display_key_round_trip(spark):
     assert label.first().label == "Lyon, France"
     city, country = split_display_key("label")
     assert tuple(label.select(city, country).first()) == ("Lyon", "France")
+
+
+def test_tolerant_timestamp_with_offset(spark):
+    df = spark.createDataFrame([("2026-01-13T17:26:59+02:00",)], "s string")
+    (v,) = df.select(tolerant_timestamp("s").cast("timestamp_ntz")).first()
+    assert v == dt.datetime(2026, 1, 13, 15, 26, 59)      # UTC session time
