@@ -208,3 +208,18 @@ def test_retried_epoch_replaces_its_earlier_attempt(spark, tmp_dir):
     got = {r.k: r.v for r in S.latest_updates(spark, path, keys).collect()}
     assert got == {"a": 2, "b": 1}
     assert spark.read.parquet(path).count() == 3
+
+
+def test_console_sink_update_mode(spark, tmp_dir, capsys):
+    src = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([(t(0), "A", "X", 20.0, 5.0)], SCHEMA).write.parquet(src)
+    stream = with_alert_levels(spark.readStream.schema(
+        spark.read.parquet(src).schema).parquet(src))
+    agg = W.window_global_stats(stream, size="1 minute", slide="1 minute")
+    q = S.to_console(agg, mode="update", query_name="console_probe",
+                     checkpoint=os.path.join(tmp_dir, "ck"))
+    q.processAllAvailable()
+    assert q.name == "console_probe"
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1
+    q.stop()
+    assert not q.isActive
