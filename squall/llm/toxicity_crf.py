@@ -3,8 +3,8 @@
 Labels exist for documents only, so training words are labelled first: word
 and prefix features far more common in toxic than in clean training documents
 mark their words in toxic documents as toxic.  A two-state chain is trained on
-these words; its emissions are sums of hashed word, prefix, suffix and
-character features, so unseen words with known parts are covered.  To score a
+these words; its emissions are sums of hashed word, prefix and
+suffix features, so unseen words with known parts are covered.  To score a
 document, forward-backward marginals of all its words add up to its evidence
 of at least one toxic word, which a logistic link turns into the score; runs
 of words with a marginal of one half or more are the offending spans.
@@ -27,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 
 from squall.llm.common import bounded_batches
 
-MAX_CLEAN, MAX_TOXIC, MAX_BYTES = 4000, 2000, 16_000
+MAX_CLEAN, MAX_TOXIC, MAX_BYTES = 2500, 1500, 16_000
 SPACE = 1 << 18
-EPOCHS, RATE, DECAY = 60, 0.15, 1e-6
+EPOCHS, RATE, DECAY = 30, 0.3, 1e-6
 FOLDS = 5
 _KEPT = 400_000
 _OUT = ["score", "predicted", "n_spans", "spans"]
@@ -67,7 +67,6 @@ def word_features(word: bytes) -> list[int]:
     f = [b"=" + word]
     f += [w[:k] for k in range(3, min(8, len(w)) + 1)]
     f += [b"~" + w[-k:] for k in range(3, min(6, len(w)) + 1)]
-    f += [b"*" + w[i:i + 5] for i in range(1, min(len(w), 24) - 5)]
     return [zlib.crc32(x) & (SPACE - 1) for x in f]
 
 
@@ -155,20 +154,35 @@ class _Adam:
         return x - self.rate * (m / (1 - 0.9 ** self.t)) / (np.sqrt(v / (1 - 0.99 ** self.t)) + 1e-9)
 
 
+def toxic_marks(docs: list[list[bytes]], y: np.ndarray) -> set[bytes]:
+    """Features far more common in toxic than in clean documents that explain
+    toxic documents which no more common mark explains: what copies of one
+    toxic document share by chance is explained by its marks already."""
+    n1, n0 = y.sum(), (~y).sum()
+    clean: Counter = Counter()
+    holders = defaultdict(list)
+    for i in np.flatnonzero(y):
+        for f in {f for w in set(docs[i]) for f in _lexical(w)}:
+            holders[f].append(i)
+    for i in np.flatnonzero(~y):
+        clean.update({f for w in set(docs[i]) for f in _lexical(w) if f in holders})
+    rare = [f for f, ds in holders.items() if len(ds) >= 3 and len(ds) / n1 > 20 * (clean[f] + 0.5) / n0]
+    explained, marks = np.zeros(len(docs), bool), set()
+    for f in sorted(rare, key=lambda f: (-len(holders[f]), len(f), f)):
+        if len(holders[f]) >= 0.05 * n1 or (~explained[holders[f]]).sum() >= 3:
+            marks.add(f)
+            explained[holders[f]] = True
+    return marks
+
+
 def train(texts: list[bytes], toxic: list[int], prior: float | None = None) -> Model | None:
     """``prior``: share of toxic rows among all labelled training rows."""
-    docs = [t.translate(_FOLD).split() for t in texts]
-    y = np.array(toxic, bool)
+    copies = dict(zip(texts, toxic, strict=True))  # one of each text
+    docs = [t.translate(_FOLD).split() for t in copies]
+    y = np.array(list(copies.values()), bool)
     if not y.any() or y.all():
         return None
-    # word labels: features of toxic documents that clean ones lack
-    seen = (Counter(), Counter())
-    for ws, t in zip(docs, y, strict=True):
-        seen[int(t)].update({f for w in set(ws) for f in _lexical(w)})
-    n1, n0 = y.sum(), (~y).sum()
-    marks = {f for f, k in seen[1].items() if k >= 3 and k / n1 > 20 * (seen[0][f] + 0.5) / n0}
-    # a mark must explain words that its longer forms do not: rare chance marks go
-    marks = {f for f in marks if seen[1][f] >= max(3, 0.002 * n1)}
+    marks = toxic_marks(docs, y)
     types: dict[bytes, int] = {}
     ids = [np.fromiter((types.setdefault(w, len(types)) for w in ws), np.int64, len(ws)) for ws in docs]
     marked = np.array([any(f in marks for f in _lexical(w)) for w in types] or [False])
