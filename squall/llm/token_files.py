@@ -48,8 +48,12 @@ _BLOCK_SQL = ("part int, seq int, first_id long, last_id long, n_docs int, n_ids
 
 # Fixed value: the split pattern of the vocabulary whose words are memoised
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PRINTABLE = re.compile(rb"[!-~]+")
+# the same pattern over lower-case words of printable ASCII and Latin-1 letters,
+# which normalisation leaves alone but for case
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+# byte-level form: bytes that are not printable in Latin-1 move up, in order
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -57,6 +61,25 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Memo(dict):
+    """Results of the last ``_KEPT`` to twice ``_KEPT`` arguments used: a full
+    memo becomes the old one, from which what is used again moves on."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        if len(self) >= _KEPT:
+            self.old = dict(self)
+            self.clear()
+        out = self.old.get(key)
+        if out is None:
+            out = self.make(key)
+        self[key] = out
+        return out
+
+
 class Encoder:
     """Text to id bytes with the tokenizers library.
 
@@ -73,8 +96,8 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.by_word = self._cuts_at_blanks(spec)
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Memo(self._word)
+        self.pieces = _Memo(self._piece)
 
     @staticmethod
     def _cuts_at_blanks(spec: dict) -> bool:
@@ -92,29 +115,20 @@ class Encoder:
         return np.array(ids, self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if len(self.pieces) >= _KEPT:
-            self.pieces.clear()
-        out = self.pieces[piece] = self._bytes([t.id for t in self.tok.model.tokenize(piece)])
-        return out
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        return self._bytes([t.id for t in self.tok.model.tokenize(piece)])
 
     def _word(self, word: bytes) -> bytes:
-        if len(self.words) >= _KEPT:
-            self.words.clear()
-        if _PRINTABLE.fullmatch(word) and b"<|" not in word:
-            # printable ASCII is its own byte-level form, only case changes
-            found = [self.pieces.get(p) or self._piece(p) for p in _ASCII_PIECES.findall(word.lower().decode())]
-            out = b"".join(found)
-        else:
-            text = word.decode("utf-8", "replace")
-            out = self._bytes(self.tok.encode(text, add_special_tokens=False).ids)
-        self.words[word] = out
-        return out
+        text = word.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([self.pieces[p] for p in _PLAIN_PIECES.findall(text.lower())])
+        return self._bytes(self.tok.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: bytes) -> bytes:
         if not self.by_word:
             return self._bytes(self.tok.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        known = self.words
-        return b"".join([known[w] if w in known else self._word(w) for w in text.split()])
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
