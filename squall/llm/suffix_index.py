@@ -127,7 +127,7 @@ def runs(data: np.ndarray, lens: np.ndarray, length: int, gram: int):
     n = np.diff(np.append(first, len(at)))
     # a periodic text may go on with one anchor: cut such runs so that the two
     # end windows always cover all their bytes
-    most = length - gram
+    most = length - gram + 1
     if (n > most).any():
         parts = -(-n // most)
         start = np.repeat(first, parts)
