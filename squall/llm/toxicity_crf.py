@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from squall.llm.common import bounded_batches
 
-MAX_CLEAN, MAX_TOXIC, MAX_BYTES = 2500, 1500, 16_000
+MAX_CLEAN, MAX_TOXIC, MAX_BYTES = 1800, 1200, 12_000
 SPACE = 1 << 18
 EPOCHS, RATE, DECAY = 30, 0.3, 1e-6
 FOLDS = 5
