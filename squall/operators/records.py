@@ -88,6 +88,12 @@ def _num(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+def _described(text: str, c: str) -> Column:
+    """The text with the value, null without one."""
+    return F.when(F.col(c).isNotNull(), F.format_string(text, _num(c)))
+
+
+# The description texts.
 def records_document(records: DataFrame, keys=LOCATION) -> DataFrame:
     """Nested records document (one per location) with text descriptions."""
     return records.select(
@@ -95,26 +101,25 @@ def records_document(records: DataFrame, keys=LOCATION) -> DataFrame:
         F.struct(F.col("hottest_date").cast("string").alias("date"),
                  F.col("hottest_temp_max").alias("temp_max"),
                  F.col("hottest_temp_min").alias("temp_min"),
-                 F.format_string("Jour le plus chaud: %s°C", _num("hottest_temp_max"))
+                 _described("Jour le plus chaud: %s°C", "hottest_temp_max")
                  .alias("description")).alias("hottest_day"),
         F.struct(F.col("coldest_date").cast("string").alias("date"),
                  F.col("coldest_temp_max").alias("temp_max"),
                  F.col("coldest_temp_min").alias("temp_min"),
-                 F.format_string("Jour le plus froid: %s°C", _num("coldest_temp_min"))
+                 _described("Jour le plus froid: %s°C", "coldest_temp_min")
                  .alias("description")).alias("coldest_day"),
         F.struct(F.col("windiest_date").cast("string").alias("date"),
                  F.col("windiest_gust").alias("windgusts_max"),
                  F.col("windiest_speed").alias("windspeed_max"),
-                 F.format_string("Rafale la plus forte: %s m/s", _num("windiest_gust"))
+                 _described("Rafale la plus forte: %s m/s", "windiest_gust")
                  .alias("description")).alias("windiest_day"),
         F.struct(F.col("rainiest_date").cast("string").alias("date"),
                  F.col("rain_30days"),
-                 F.format_string("Période la plus pluvieuse (30 jours): %.1f mm",
-                                 F.col("rain_30days")).alias("description"))
+                 F.when(F.col("rain_30days").isNotNull(), F.format_string("Période la plus pluvieuse (30 jours): %.1f mm", F.col("rain_30days"))).alias("description"))
         .alias("rainiest_period"),
         F.struct(F.col("snowiest_date").cast("string").alias("date"),
                  F.col("snowfall"),
-                 F.format_string("Jour le plus neigeux: %s cm", _num("snowfall"))
+                 _described("Jour le plus neigeux: %s cm", "snowfall")
                  .alias("description")).alias("snowiest_day"),
         F.struct("absolute_max_temp", "absolute_min_temp", "absolute_max_wind",
                  "total_precipitation", "total_snowfall", "total_days")

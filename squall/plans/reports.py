@@ -119,16 +119,18 @@ def yearly_evolution(spark, sf_dir):
     return RP.yearly_evolution(daily(spark, sf_dir))
 
 
-PIVOT_YEARS = list(range(1995, 2002))
-
-
 @register("month_year_pivot", with_views(ctes("daily"), """
-SELECT country, city, CAST(month(date) AS INTEGER) AS month, """ + ", ".join(
-    f'avg(temp_mean) FILTER (WHERE year(date) = {y}) AS "{y}"' for y in PIVOT_YEARS) + """
+SELECT country, city, CAST(month(date) AS INTEGER) AS month,
+       CAST(year(date) AS VARCHAR) AS year, avg(temp_mean) AS temp_mean
 FROM daily GROUP BY ALL"""))
 def month_year_pivot(spark, sf_dir):
-    """Mean temperature per month with one column per year."""
-    return RP.month_year_table(daily(spark, sf_dir), PIVOT_YEARS)
+    """Mean temperature per month and year: pivoted to one column for every
+    year present, then listed, so the result's columns do not depend on the
+    data."""
+    keys = ["country", "city", "month"]
+    table = RP.month_year_table(daily(spark, sf_dir))
+    years = [c for c in table.columns if c not in keys]
+    return table.unpivot(keys, years, "year", "temp_mean").filter("temp_mean IS NOT NULL")
 
 
 @register("cycle_summary", with_views(ctes("obs", extra=[

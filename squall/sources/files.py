@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -55,9 +55,28 @@ def catalogue(df: DataFrame) -> DataFrame:
     return df.select("country_dir", "city_dir").distinct().orderBy("country_dir", "city_dir")
 
 
-def load_history(spark: SparkSession, path: str) -> DataFrame:
-    """Daily history JSON Lines (one or many locations) with ``date`` typed;
-    unparseable dates become null instead of failing the job."""
+def split_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Daily history JSON Lines as (valid rows with ``date`` typed, rejects).
+
+    A reject has its raw line and a reason: ``malformed`` (no JSON, or a value
+    of the wrong type), ``bad_date`` (missing or no date) or
+    ``duplicate_day`` (all but the least line of a location's day)."""
     from squall.schemas import DAILY_RAW
-    df = read_json_lines(spark, path, DAILY_RAW)
-    return df.withColumn("date", F.col("date").try_cast("date"))
+    full = StructType([*DAILY_RAW.fields, StructField("_bad", StringType())])
+    rows = (spark.read.text(path).filter(F.trim("value") != "")
+            .select(F.col("value").alias("_raw"), F.from_json(
+                "value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+            .select("_raw", "r.*").withColumn("date", F.col("date").try_cast("date")))
+    day = Window.partitionBy("country", "city", "date").orderBy("_raw")
+    usable = F.col("_bad").isNull() & F.col("date").isNotNull()
+    rows = rows.withColumn("_reason", F.when(F.col("_bad").isNotNull(), "malformed")
+                           .when(F.col("date").isNull(), "bad_date"))
+    good = rows.filter(usable).withColumn("_reason", F.when(F.row_number().over(day) > 1, "duplicate_day"))
+    rejects = (rows.filter(~usable).select("_raw", F.col("_reason").alias("reason"))
+               .unionByName(good.filter(F.col("_reason").isNotNull()).select("_raw", F.col("_reason").alias("reason"))))
+    return good.filter(F.col("_reason").isNull()).drop("_raw", "_bad", "_reason"), rejects
+
+
+def load_history(spark: SparkSession, path: str) -> DataFrame:
+    """The valid rows of ``split_history``."""
+    return split_history(spark, path)[0]

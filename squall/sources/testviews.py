@@ -71,20 +71,9 @@ def obs_from_events(events: DataFrame, loc: DataFrame) -> DataFrame:
                     "precipitation"))
 
 
-def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
-    """Round-robin an input that the scan could not split (e.g. one large
-    Parquet row group) over the default parallelism, so the row-wise work
-    after it (JSON parsing, classification) uses every core.  Inputs that
-    already arrive in at least that many splits — any multi-file table on a
-    cluster — are returned unchanged, so no shuffle is added there."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat observations (event time is TIMESTAMP_NTZ, as stored)."""
-    events = spread_if_underpartitioned(
-        read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props"))
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
     return obs_from_events(events, locations(spark, sf_dir))
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from squall.functions.classify import with_alert_levels
 from squall.functions.parsing import parse_json_column, split_rejects, tolerant_timestamp
@@ -58,9 +58,7 @@ def classification_batch_writer(publish, console: bool = False,
         if console:
             S.console_batch_writer()(out, epoch_id)
         if rejects_path:
-            (rejected.withColumn("_epoch", F.lit(epoch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_epoch").parquet(rejects_path))
+            rejected.write.mode("overwrite").parquet(f"{rejects_path}/_epoch={epoch_id}")
     return S.fan_out(write_batch)
 
 
@@ -108,7 +106,7 @@ def start_aggregates(spark: SparkSession, servers: str, checkpoint_root: str,
 def _console_part(kind: str):
     def write(part: DataFrame, epoch_id: int) -> None:
         print(f"-- {kind} (batch {epoch_id})")
-        part.show(20, truncate=False)
+        part.show(part.count(), truncate=False)
     return write
 
 
@@ -154,12 +152,27 @@ def start_anomaly_monitor(spark: SparkSession, servers: str,
     return S.to_console(A.anomaly_feed(df), query_name="anomaly_monitor")
 
 
-def message_counts(queries) -> dict[str, int]:
-    """Rows consumed per query over its recent progress reports (Spark
-    keeps the last ``spark.sql.streaming.numRecentProgressUpdates``)."""
-    def rows(p):
-        return p["numInputRows"] if isinstance(p, dict) else p.numInputRows
-    return {q.name or str(q.id): sum(rows(p) for p in q.recentProgress) for q in queries}
+class MessageCounter(StreamingQueryListener):
+    """Rows consumed per query since the listener was added
+    (``spark.streams.addListener``), over all progress reports: a query's own
+    list of them is cut to the latest."""
+
+    def __init__(self):
+        self.counts: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.counts.setdefault(event.name or str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        name = p.name or str(p.id)
+        self.counts[name] = self.counts.get(name, 0) + p.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
 
 
 def run_until_any_stops(spark: SparkSession, timeout_s: float | None = None) -> None:

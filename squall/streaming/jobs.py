@@ -82,13 +82,14 @@ def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_
         spark = batch.sparkSession
         profile = spark.read.parquet(profile_path)
         base = checked_broadcast(A.baseline(profile, digits=digits), bound_by=profile)
-        found = A.detect_anomalies(batch, base, ts_col)
-        (found.withColumn("_epoch", F.lit(epoch_id))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("_epoch").parquet(out_path))
-        if kafka_servers:
-            S.batch_to_kafka(spark.read.parquet(f"{out_path}/_epoch={epoch_id}"),
-                             kafka_servers, kafka_topic)
+        found = A.detect_anomalies(batch, base, ts_col).persist()
+        try:
+            # the epoch's own folder: a retry with fewer or no rows replaces it
+            found.write.mode("overwrite").parquet(f"{out_path}/_epoch={epoch_id}")
+            if kafka_servers:
+                S.batch_to_kafka(found, kafka_servers, kafka_topic)
+        finally:
+            found.unpersist()
     return write_batch
 
 

@@ -78,9 +78,7 @@ def run_updates_to_table(df: DataFrame, name: str, available_now: bool = True) -
     data = f"{base}/data"
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        (batch.withColumn("_epoch", F.lit(epoch_id))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("_epoch").parquet(data))
+        batch.write.mode("overwrite").parquet(f"{data}/_epoch={epoch_id}")
 
     writer = (df.writeStream.outputMode("update").foreachBatch(write_batch)
               .option("checkpointLocation", f"{base}/checkpoint")

@@ -13,13 +13,13 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "latest", **options) -> DataFrame:
     """Subscribe to one topic.  The envelope columns (topic, partition,
     offset, timestamp, key, value) are kept; offsets live in the query's
-    checkpoint, which replaces consumer-group offsets.  Needs the Kafka
+    checkpoint, which replaces consumer-group offsets; lost offsets fail the
+    query (Spark's default) unless ``failOnDataLoss`` is passed.  Needs the Kafka
     connector on the classpath (not bundled here, so untested)."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
-              .option("startingOffsets", starting_offsets)
-              .option("failOnDataLoss", "false"))
+              .option("startingOffsets", starting_offsets))
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load()

@@ -86,4 +86,10 @@ def test_load_history_types_dates(spark, tmp_dir):
            + json.dumps({"date": "not-a-date", "city": "Lyon"}) + "\n")
     rows = load_history(spark, p).collect()
     assert str(rows[0].date) == "2014-01-01" and rows[0].temp_max == 3.0
-    assert rows[1].date is None
+    assert len(rows) == 1
+    from squall.sources.files import split_history
+    with open(p, "a") as f:
+        f.write("\nno json\n" + json.dumps({"date": "2014-01-02", "city": "Lyon", "temp_max": "hot"}) + "\n"
+                + json.dumps({"date": "2014-01-01", "city": "Lyon", "temp_max": 9}) + "\n")
+    _, rejects = split_history(spark, p)
+    assert sorted(r["reason"] for r in rejects.collect()) == ["bad_date", "duplicate_day", "malformed", "malformed"]

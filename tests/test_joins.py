@@ -45,13 +45,3 @@ def test_hot_location_same_result_with_and_without_broadcast(spark):
     b = broadcast.collect()
     assert len(a) == len(b) == 1800
     assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)
-
-
-def test_spread_only_touches_under_split_inputs(spark):
-    from squall.sources.testviews import spread_if_underpartitioned
-    want = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=want * 2)
-    assert spread_if_underpartitioned(wide) is wide            # no shuffle added
-    narrow = spark.range(0, 1000, numPartitions=1)
-    spread = spread_if_underpartitioned(narrow)
-    assert spread.rdd.getNumPartitions() == want and spread.count() == 1000
