@@ -25,6 +25,7 @@ output column are replaced.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -252,8 +253,23 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     sample = (docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("t"))
               .filter(F.octet_length("t") <= max_bytes).join(F.broadcast(chosen), "id")
               .groupBy("id", "y").agg(F.min("t").alias("t")))
-    got = sorted(sample.collect(), key=lambda r: r["id"])
-    return train([bytes(r["t"]) for r in got], [r["y"] for r in got], counts[1] / (counts[0] + counts[1]))
+    # the bounded sample is trained on in one task, not in the driver
+    prior = counts[1] / (counts[0] + counts[1])
+    got = sample.select("id", "t", "y").repartition(1).mapInArrow(_trainer(prior), "model binary").collect()
+    if not got:
+        return None
+    parts = pickle.loads(bytes(got[0]["model"]))
+    return Model(*parts) if parts else None
+
+
+def _trainer(prior: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        if rows:
+            m = train([r[1] for r in rows], [r[2] for r in rows], prior)
+            parts = m and (m.weights, m.bias, m.trans, m.start, m.link)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(parts)], pa.binary())], ["model"])
+    return run
 
 
 def _scorer(model: Model | None):
