@@ -40,7 +40,7 @@ MAX_SOURCES = 256
 RESOLUTION = 1000
 
 _OUT = ["source_block", "mix_slot", "mix_position"]
-_PHASES = "src string, first_block long, end_block long, base long, period long, a long, slots array<int>"
+_PHASES = ("__in string, __first long, __end long, __base long, __period long, __a long, __slots array<int>")
 
 
 def integer_weights(weights: dict, resolution: int = RESOLUTION) -> dict:
@@ -132,11 +132,11 @@ def mix_sources(docs: DataFrame, *, weights: dict | None = None, doc_id: str = "
                   & (F.col("d.__bucket") == F.col("b.__bucket")))
           .select("d.*", "__before").withColumn("__no", F.col("__before") + F.col("__rank"))
           .withColumn("source_block", F.floor(F.col("__no") / block_docs).cast("long")))
-    df = df.join(lookup, df["__src"].eqNullSafe(lookup["src"])
-                 & (F.col("source_block") >= F.col("first_block")) & (F.col("source_block") < F.col("end_block")))
-    j = F.col("source_block") - F.col("first_block")
-    slot = (F.col("base") + F.floor(j / F.col("a")).cast("long") * F.col("period")
-            + F.get("slots", (j % F.col("a")).cast("int")))
+    df = df.join(lookup, df["__src"].eqNullSafe(lookup["__in"])
+                 & (F.col("source_block") >= F.col("__first")) & (F.col("source_block") < F.col("__end")))
+    j = F.col("source_block") - F.col("__first")
+    slot = (F.col("__base") + F.floor(j / F.col("__a")).cast("long") * F.col("__period")
+            + F.get("__slots", (j % F.col("__a")).cast("int")))
     return (df.withColumn("mix_slot", slot)
             .withColumn("mix_position", F.col("mix_slot") * block_docs + F.col("__no") % block_docs)
             .select(*rest, *_OUT))
