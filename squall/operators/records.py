@@ -85,12 +85,15 @@ def climate_records(daily: DataFrame, keys=LOCATION, rain_days: int = 30,
 
 
 def _num(c: str) -> Column:
-    return F.col(c).cast("string")
+    """Plain digits, never an exponent: one to six decimals; null for a value
+    that is not a number."""
+    digits = F.col(c).try_cast("decimal(38,6)").cast("string")
+    return F.regexp_replace(digits, "0{1,5}$", "")
 
 
 def _described(text: str, c: str) -> Column:
     """The text with the value, null without one."""
-    return F.when(F.col(c).isNotNull(), F.format_string(text, _num(c)))
+    return F.when(_num(c).isNotNull(), F.format_string(text, _num(c)))
 
 
 # The description texts.

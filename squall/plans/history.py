@@ -55,10 +55,43 @@ def records_by_city(spark, sf_dir):
     return R.climate_records(daily(spark, sf_dir))
 
 
-@register("records_document")
+def _num_sql(c: str) -> str:
+    return "regexp_replace(CAST(CAST(" + c + " AS DECIMAL(38,6)) AS VARCHAR), '0{1,5}$', '')"
+
+
+# The description texts.
+RECORDS_DOCUMENT_SQL = f"""
+SELECT country, city, CAST(hottest_date AS VARCHAR) AS hottest_day_date,
+       hottest_temp_max AS hottest_day_temp_max, hottest_temp_min AS hottest_day_temp_min,
+       'Jour le plus chaud: ' || {_num_sql("hottest_temp_max")} || '°C' AS hottest_day_description,
+       CAST(coldest_date AS VARCHAR) AS coldest_day_date,
+       coldest_temp_max AS coldest_day_temp_max, coldest_temp_min AS coldest_day_temp_min,
+       'Jour le plus froid: ' || {_num_sql("coldest_temp_min")} || '°C' AS coldest_day_description,
+       CAST(windiest_date AS VARCHAR) AS windiest_day_date,
+       windiest_gust AS windiest_day_windgusts_max, windiest_speed AS windiest_day_windspeed_max,
+       'Rafale la plus forte: ' || {_num_sql("windiest_gust")} || ' m/s' AS windiest_day_description,
+       CAST(rainiest_date AS VARCHAR) AS rainiest_period_date,
+       rain_30days AS rainiest_period_rain_30days,
+       CASE WHEN rain_30days IS NOT NULL THEN
+         printf('Période la plus pluvieuse (30 jours): %.1f mm', rain_30days) END
+         AS rainiest_period_description,
+       CAST(snowiest_date AS VARCHAR) AS snowiest_day_date, snowfall AS snowiest_day_snowfall,
+       'Jour le plus neigeux: ' || {_num_sql("snowfall")} || ' cm' AS snowiest_day_description,
+       absolute_max_temp AS statistics_absolute_max_temp,
+       absolute_min_temp AS statistics_absolute_min_temp,
+       absolute_max_wind AS statistics_absolute_max_wind,
+       total_precipitation AS statistics_total_precipitation,
+       total_snowfall AS statistics_total_snowfall, total_days AS statistics_total_days
+FROM ({RECORDS_SQL})"""
+
+
+@register("records_document", RECORDS_DOCUMENT_SQL)
 def records_document(spark, sf_dir):
-    """Nested records documents (one per location); compared by row count."""
-    return R.records_document(R.climate_records(daily(spark, sf_dir)))
+    """Records documents (one per location), their nested fields laid flat."""
+    docs = R.records_document(R.climate_records(daily(spark, sf_dir)))
+    parts = [f for f in docs.schema.fields if f.name not in ("country", "city")]
+    return docs.select("country", "city", *[F.col(f"{p.name}.{c}").alias(f"{p.name}_{c}")
+                                            for p in parts for c in p.dataType.names])
 
 
 @register("rolling_30", with_views(ctes("daily"), """
@@ -262,7 +295,7 @@ FROM eprof JOIN nm ON nm.country = eprof.country AND nm.city = eprof.city"""))
 def profile_document_year(spark, sf_dir):
     """Validated profile documents of one year: the year filters the history
     and tags the documents."""
-    docs = _validated_documents(P.for_year(daily(spark, sf_dir), 1998), year=1998)
+    docs = _validated_documents(daily(spark, sf_dir, year=1998), year=1998)
     return P.explode_profiles(docs.select("country", "city", "year", "validation",
                                           "profiles"), keys=("country", "city", "year"))
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.operators.joins import checked_broadcast
+from squall.operators.profiles import for_year
 
 # Fixed values of the mapping (shared with the SQL oracle text).
 NATION_COUNT = 25            # events.user_id % 25 picks the nation
@@ -77,9 +78,13 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs_from_events(events, locations(spark, sf_dir))
 
 
-def order_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-order wind and snow measures from lineitem (one row per order)."""
+def order_weather(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Per-order wind and snow measures from lineitem (one row per order),
+    of the given orders only if there are any given."""
     li = read_table(spark, sf_dir, "lineitem")
+    if orders is not None:
+        wanted = orders.select(F.col("o_orderkey").alias("l_orderkey"))
+        li = li.join(wanted, "l_orderkey", "left_semi")
     return (li.groupBy("l_orderkey")
             .agg(F.max("l_quantity").alias("q_max"),
                  F.sum(F.when(F.col("l_returnflag") == "R",
@@ -87,16 +92,18 @@ def order_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .alias("snow")))
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily history rows (schema of the archive ingestion, ``date`` typed)."""
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+def daily(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
+    """Daily history rows (schema of the archive ingestion, ``date`` typed).
+    With ``year`` only its orders are read, and only their lineitems are
+    aggregated."""
+    orders = for_year(read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"), year, "o_orderdate")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     loc = locations(spark, sf_dir)
     per_order = (orders
                  .join(customer, orders.o_custkey == customer.c_custkey)
                  .join(loc, F.col("c_nationkey").cast("bigint") == loc.loc_id)
-                 .join(order_weather(spark, sf_dir),
+                 .join(order_weather(spark, sf_dir, None if year is None else orders),
                        F.col("o_orderkey") == F.col("l_orderkey"), "left"))
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return (per_order
