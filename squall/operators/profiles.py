@@ -93,8 +93,9 @@ def enriched_profile(daily: DataFrame, keys=LOCATION, accuracy: int = 10000,
     df = with_month(daily)
     quality = _quality_aggs(temp_range, wind_range) if with_quality else []
 
-    def q(c, p):
-        return F.percentile_approx(c, p, accuracy)
+    def quartiles(c):
+        # one sketch for the three of them
+        return F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy)
 
     agg = df.groupBy(*keys, "month").agg(
         F.avg("temp_mean").alias("temp_mean"),
@@ -103,24 +104,21 @@ def enriched_profile(daily: DataFrame, keys=LOCATION, accuracy: int = 10000,
         F.stddev_samp("temp_mean").alias("temp_stddev"),
         F.min("temp_min").alias("temp_abs_min"),
         F.max("temp_max").alias("temp_abs_max"),
-        q("temp_mean", 0.5).alias("temp_median"),
-        q("temp_mean", 0.25).alias("temp_q25"),
-        q("temp_mean", 0.75).alias("temp_q75"),
+        quartiles("temp_mean").alias("_temp"),
         F.avg("windspeed_max").alias("wind_mean"),
         F.avg("windgusts_max").alias("windgust_mean"),
         F.stddev_samp("windspeed_max").alias("wind_stddev"),
         F.min("windspeed_max").alias("wind_abs_min"),
         F.max("windgusts_max").alias("wind_abs_max"),
-        q("windspeed_max", 0.5).alias("wind_median"),
-        q("windspeed_max", 0.25).alias("wind_q25"),
-        q("windspeed_max", 0.75).alias("wind_q75"),
+        quartiles("windspeed_max").alias("_wind"),
         F.avg("precipitation").alias("precipitation_mean"),
         F.stddev_samp("precipitation").alias("precipitation_stddev"),
         F.max("precipitation").alias("precipitation_max"),
         F.count(F.lit(1)).alias("days_count"), *quality)
-    return agg.withColumns({
-        "temp_iqr": F.col("temp_q75") - F.col("temp_q25"),
-        "wind_iqr": F.col("wind_q75") - F.col("wind_q25")})
+    values = {f"{m}_{name}": F.col(f"_{m}")[i] for m in ("temp", "wind")
+              for i, name in enumerate(("q25", "median", "q75"))}
+    spread = {f"{m}_iqr": F.col(f"_{m}")[2] - F.col(f"_{m}")[0] for m in ("temp", "wind")}
+    return agg.withColumns({**values, **spread}).drop("_temp", "_wind")
 
 
 def annual_summary(profile: DataFrame, keys=LOCATION) -> DataFrame:

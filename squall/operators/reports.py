@@ -23,13 +23,19 @@ def drop_null_keys(df: DataFrame, *keys: str) -> DataFrame:
 
 def kpis(alerts: DataFrame, ts_col: str = "event_time") -> DataFrame:
     """One row: total rows, distinct countries and cities, mean temperature
-    and wind (rows without a parseable time are dropped first)."""
-    a = drop_null_keys(alerts, ts_col)
-    return a.agg(F.count(F.lit(1)).alias("total_alerts"),
-                 F.count_distinct("country").alias("countries"),
-                 F.count_distinct("city").alias("cities"),
-                 F.avg("temperature").alias("avg_temperature"),
-                 F.avg("windspeed").alias("avg_windspeed"))
+    and wind (rows without a parseable time are dropped first).
+
+    The rows are aggregated per place first, so the distinct counts expand
+    one row per place, not the observations."""
+    places = drop_null_keys(alerts, ts_col).groupBy("country", "city").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("temperature").alias("t"), F.count("temperature").alias("nt"),
+        F.sum("windspeed").alias("w"), F.count("windspeed").alias("nw"))
+    return places.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_alerts"),
+                      F.count_distinct("country").alias("countries"),
+                      F.count_distinct("city").alias("cities"),
+                      F.try_divide(F.sum("t"), F.sum("nt")).alias("avg_temperature"),
+                      F.try_divide(F.sum("w"), F.sum("nw")).alias("avg_windspeed"))
 
 
 def city_overview(alerts: DataFrame) -> DataFrame:
