@@ -2,10 +2,10 @@
 monthly profiles and validated enriched profiles, written as documents
 partitioned by location.
 
-The history is read once and materialised in the shared folder
-(``checkpoint``), so the three document sets are computed from the same
-snapshot without re-reading the source, and a lost executor recomputes
-from the checkpoint rather than from the raw files.  Writes use dynamic
+The history is read once and written as a Parquet snapshot in the shared
+folder, so the three document sets are computed from the same rows without
+re-reading the source, each reads only its columns, and a lost executor
+recomputes from the snapshot; it is deleted at the end.  Writes use dynamic
 partition overwrite: re-running for some locations (or one year) replaces
 only their folders.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from squall.operators import profiles as P
 from squall.operators import records as R
 from squall.operators.joins import materialize
+from squall.session import snapshot
 from squall.sinks.files import write_documents
 from squall.sources.files import load_history
 
@@ -61,7 +62,12 @@ def run_batch_layer(spark: SparkSession, history: DataFrame | str, out_root: str
     With ``kafka_servers`` the records documents are also published, one
     message per location (``timestamp``, ``city``, ``country``, ``records``)."""
     daily = load_history(spark, history) if isinstance(history, str) else history
-    daily = materialize(P.for_year(daily, year))
+    with snapshot(P.for_year(daily, year), "daily") as daily:
+        return _write_documents(daily, out_root, year, kafka_servers)
+
+
+def _write_documents(daily: DataFrame, out_root: str, year: int | None,
+                     kafka_servers: str | None) -> dict[str, str]:
     out = {"records": f"{out_root}/records", "profiles": f"{out_root}/seasonal_profile",
            "enriched": f"{out_root}/seasonal_profile_enriched"}
     records = R.records_document(R.climate_records(daily))

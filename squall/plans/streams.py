@@ -61,10 +61,8 @@ def stream_win_city_shared(spark, sf_dir):
 
     def city_writer(part, epoch_id):
         (part.withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"),
-                           "window_end": F.col("window_end").cast("timestamp_ntz"),
-                           "_epoch": F.lit(epoch_id)})
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_epoch").parquet(f"{base}/city"))
+                           "window_end": F.col("window_end").cast("timestamp_ntz")})
+         .write.mode("overwrite").parquet(f"{base}/city/_epoch={epoch_id}"))
     q = J.start_window_queries_single_read(
         J.classify_stream(obs_stream(spark, sf_dir)), {"city": city_writer},
         f"{base}/checkpoint", query_name=f"window_shared_{base[-12:]}", available_now=True)

@@ -12,8 +12,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the package depends on.  Anything already set by the cluster
 # (spark-defaults, spark-submit --conf) wins over these defaults.
@@ -100,6 +102,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def snapshot(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written once as Parquet in the shared folder and read back
+    (filters and columns still reach the scan); the folder is deleted at the
+    end of the block."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_file_uri(path: str) -> str:
     return path if "://" in path else "file://" + os.path.abspath(path)
 
