@@ -16,6 +16,7 @@ from squall.operators import windows as W
 from squall.plans import history, ingest, reports, speed
 from squall.plans.registry import register
 from squall.session import scratch_path
+from squall.sources.files import read_location_store
 from squall.sources.testviews import daily, locations, obs_from_events, read_table
 from squall.streaming import jobs as J
 from squall.streaming import sinks as S
@@ -106,7 +107,7 @@ def stream_alert_feed(spark, sf_dir):
 def stream_store(spark, sf_dir):
     """Classified stream appended to the per-location store, then audited."""
     path = J.store_stream(J.classify_stream(obs_stream(spark, sf_dir)))
-    stored = spark.read.json(path)
+    stored = read_location_store(spark, path, drop_malformed=False)
     return (stored.rollup("country_dir", "city_dir")
             .agg(F.grouping_id().cast("int").alias("level"),
                  F.count(F.lit(1)).alias("n_alerts")))

@@ -25,11 +25,15 @@ def with_location_dirs(df: DataFrame, rule: str = "default",
 
 
 def write_location_store(df: DataFrame, path: str, fmt: str = "json", mode: str = "append",
-                         rule: str = "default", max_records_per_file: int = 5_000_000) -> None:
+                         rule: str = "default", max_records_per_file: int = 5_000_000,
+                         partition_overwrite: str = "dynamic") -> None:
     """Append rows under ``path/country_dir=…/city_dir=…`` (JSON Lines by
-    default, Parquet with ``fmt="parquet"``)."""
+    default, Parquet with ``fmt="parquet"``).  ``mode="overwrite"`` replaces
+    the locations written, or all of ``path`` with
+    ``partition_overwrite="static"``."""
     out = with_location_dirs(df, rule).hint("rebalance", *DIR_COLS)
     (out.write.mode(mode).partitionBy(*DIR_COLS)
+        .option("partitionOverwriteMode", partition_overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
         .format(fmt).save(path))
 

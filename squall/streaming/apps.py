@@ -127,11 +127,10 @@ def start_anomalies(spark: SparkSession, servers: str, checkpoint_root: str,
 
 def start_store(spark: SparkSession, servers: str, checkpoint_root: str, store_path: str,
                 trigger: str = "1 minute") -> StreamingQuery:
-    """weather_transformed -> JSON Lines store partitioned by location."""
-    from squall.sinks.files import DIR_COLS, with_location_dirs
-    alerts = with_location_dirs(classified_stream(spark, servers))
-    return (alerts.writeStream.format("json").outputMode("append")
-            .partitionBy(*DIR_COLS).option("path", store_path)
+    """weather_transformed -> JSON Lines store partitioned by location (see
+    ``jobs.store_batch_writer``)."""
+    return (classified_stream(spark, servers).writeStream
+            .foreachBatch(J.store_batch_writer(store_path))
             .option("checkpointLocation", f"{checkpoint_root}/store")
             .trigger(processingTime=trigger).queryName("store").start())
 

@@ -12,7 +12,8 @@ from squall.functions.parsing import with_defaults
 from squall.operators import anomalies as A
 from squall.operators import windows as W
 from squall.operators.joins import checked_broadcast
-from squall.sinks.files import with_location_dirs
+from squall.session import scratch_path
+from squall.sinks.files import write_location_store
 from squall.streaming import sinks as S
 from squall.streaming.sources import event_time_to_timestamp
 
@@ -107,9 +108,22 @@ def run_anomaly_stream(observations: DataFrame, profile_path: str, base_dir: str
     return out
 
 
+def store_batch_writer(store_path: str):
+    """``foreachBatch`` function: each micro-batch goes to its own
+    ``store_path/_epoch=N``, rebalanced by location (about one file per
+    location and batch, a hot one split); a retry replaces the folder whole."""
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        write_location_store(batch, f"{store_path}/_epoch={epoch_id}", mode="overwrite",
+                             partition_overwrite="static")
+    return write_batch
+
+
 def store_stream(classified: DataFrame, name: str = "alert_store") -> str:
-    """Classified stream -> per-location JSON Lines store (append)."""
-    alerts = with_location_dirs(classified)
-    return S.run_append_to_table(alerts, name, partition_cols=("country_dir", "city_dir"),
-                                 fmt="json")
+    """Classified stream -> per-location JSON Lines store, run to its end."""
+    base = scratch_path(classified.sparkSession, f"stream-{name}")
+    q = (classified.writeStream.foreachBatch(store_batch_writer(f"{base}/data"))
+         .option("checkpointLocation", f"{base}/checkpoint")
+         .queryName(f"{name}_{base[-12:]}").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return f"{base}/data"
 

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from squall.operators.records import climate_records, rolling_sum
+from squall.operators.records import climate_records, records_document, rolling_sum
 
 COLS = ("date date, city string, country string, temp_max double, temp_min double, "
         "temp_mean double, precipitation double, snowfall double, windspeed_max double, "
@@ -46,6 +46,15 @@ def test_rolling_rows_vs_range_with_gaps(spark):
     assert by_days == [1.0, 3.0, 4.0, 12.0]     # calendar days
 
 
+def test_descriptions_have_plain_digits_or_are_null(spark):
+    rows = [(d(0), "A", "X", 12345678.25, -0.0005, 1.0, 1.0, None, 5.0, 100.0)]
+    doc = records_document(climate_records(_daily(spark, rows))).collect()[0]
+    assert doc.hottest_day.description == "Jour le plus chaud: 12345678.25°C"
+    assert doc.coldest_day.description == "Jour le plus froid: -0.0005°C"
+    assert doc.windiest_day.description == "Rafale la plus forte: 100.0 m/s"
+    assert doc.snowiest_day is None or doc.snowiest_day.description is None
+
+
 def test_rolling_window_is_partitioned_by_location(spark):
     rows = [(d(i), c, "X", 1.0, 1.0, 1.0, 1.0, 0.0, 1.0, 1.0) for i in range(3) for c in "AB"]
     df = rolling_sum(_daily(spark, rows), "precipitation", 30, "s")

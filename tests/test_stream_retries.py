@@ -46,3 +46,16 @@ def test_no_description_without_a_value(spark):
     doc = R.records_document(R.climate_records(day)).collect()[0]
     assert doc["snowiest_day"]["description"] is None
     assert doc["hottest_day"]["description"].endswith("1.0°C")
+
+
+def test_store_batches_make_one_file_a_location_and_replace_themselves(spark, tmp_dir):
+    rows = [(dt.datetime(2024, 1, 5), "F", c, float(i), 5.0) for i in range(40) for c in "LMN"]
+    batch = spark.createDataFrame(rows, OBS).repartition(8)
+    write = J.store_batch_writer(f"{tmp_dir}/store")
+    write(batch, 0)
+    write(batch, 1)
+    write(batch.filter("city = 'L'"), 1)         # a retry with fewer places
+    files = [f for f in spark.read.text(f"{tmp_dir}/store").inputFiles()]
+    assert len(files) == 4
+    stored = spark.read.json(f"{tmp_dir}/store")
+    assert stored.count() == 160 and stored.filter("city_dir = 'M'").count() == 40
