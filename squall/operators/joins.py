@@ -1,9 +1,9 @@
 """Join helpers: broadcast a side only after its size has been checked.
 
-``checked_broadcast`` counts the candidate side (for a Parquet dimension the
-count is answered from file footers; for a derived side, materialise it
-first with ``materialize``) and marks it for broadcast only when it has at
-most ``max_rows`` rows.  Beyond the bound the DataFrame is returned
+``checked_broadcast`` measures the candidate side (materialise a derived side
+first with ``materialize``) in one aggregate whose tasks each send a single
+row, and marks it for broadcast only when it has at most ``max_rows`` rows
+and ``max_bytes`` bytes.  Beyond either bound the DataFrame is returned
 unchanged and Spark plans a shuffle join, which adaptive execution can
 still convert or split for skew at run time.
 """
@@ -13,18 +13,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows that are safe to ship to every executor (a few tens of MB at the
-# widths used here).
+# What is safe to ship to every executor: rows, and bytes of the rows as text.
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 ** 2
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      bound_by: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` (or ``bound_by``, a DataFrame whose row
-    count bounds ``df``'s) has at most ``max_rows`` rows; else ``df``."""
-    probe = bound_by if bound_by is not None else df
-    n = probe.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows and
+    ``max_bytes`` bytes (as JSON text); else ``df``."""
+    size = df.select(F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns]))).cast("long").alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -35,9 +35,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location dimension: nation joined to its region.  Its row count is
-    bounded by ``nation``'s (a footer-only count), which decides whether it
-    is broadcast to the joins that use it."""
+    """Location dimension: nation joined to its region.  Its measured
+    size decides whether it is broadcast to the joins that use it."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     loc = (nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -46,7 +45,7 @@ def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("country"),
                     F.col("n_nationkey").cast("double").alias("latitude"),
                     F.col("r_regionkey").cast("double").alias("longitude")))
-    return checked_broadcast(loc, bound_by=nation)
+    return checked_broadcast(loc)
 
 
 def obs_from_events(events: DataFrame, loc: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         profile = spark.read.parquet(profile_path)
-        base = checked_broadcast(A.baseline(profile, digits=digits), bound_by=profile)
+        base = checked_broadcast(A.baseline(profile, digits=digits))
         found = A.detect_anomalies(batch, base, ts_col).persist()
         try:
             # the epoch's own folder: a retry with fewer or no rows replaces it

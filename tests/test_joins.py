@@ -26,6 +26,22 @@ def test_checked_broadcast_respects_bound(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
+def test_checked_broadcast_bounds_bytes_of_wide_rows(spark):
+    wide = spark.range(20).selectExpr("id", "repeat('x', 10000) AS t")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        over = spark.range(1000).join(checked_broadcast(wide, max_bytes=100_000), "id")
+        under = spark.range(1000).join(checked_broadcast(wide, max_bytes=1_000_000), "id")
+        assert "BroadcastHashJoin" not in _plan(over)
+        assert "BroadcastHashJoin" in _plan(under)
+        assert over.count() == under.count() == 20
+        empty = wide.filter("id < 0")
+        assert spark.range(5).join(checked_broadcast(empty), "id").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
 def test_hot_location_same_result_with_and_without_broadcast(spark):
     t = dt.datetime(2024, 1, 15)
     base = spark.createDataFrame([("X", c, 1, 10.0, 2.0, 5.0, 1.0) for c in "ABCDEF"], BASE)
