@@ -29,8 +29,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines removed as cross-site boilerplate, per document."""
-    return line_spread.line_dedup(table(spark, sf_dir, "documents")).select(
+    """Lines removed as cross-site boilerplate, per document (digit runs as
+    one, like its SQL)."""
+    return line_spread.line_dedup(table(spark, sf_dir, "documents"), fold_digits=True).select(
         "doc_id", "n_lines", "n_removed_lines", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
