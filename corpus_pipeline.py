@@ -6,20 +6,21 @@ with the columns of ``documents`` (the last one returns the packing); its
 result is written as Parquet and read again as the next stage's ``docs``.
 
 Defined cases: those of the operators; besides, line dedup drops a document
-only when the lines removed leave it without a word, rows that repeat a
-``doc_id`` are brought down to one by the near-duplicate stage (the least row),
-columns beyond those of ``documents`` travel along unchanged, and an empty
-table passes through.
+only when the lines removed leave it without a word; the near-duplicate stage
+decides row by row: rows equal in id and text are one (the least row), rows
+that share an id or have none go only if their own texts are linked to the row
+that stays (unlike texts all stay); columns beyond those of ``documents``
+travel along unchanged, and an empty table passes through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.llm.bbit_minhash import near_duplicates
 from squall.llm.binpack import best_fit_pack
-from squall.llm.common import BLANKS, null_safe, scratch_table, table
+from squall.llm.common import BLANKS, cut_lineage, null_safe, scratch_table, table, text_or_empty
 from squall.llm.line_spread import line_dedup
 from squall.llm.pfair import in_mix_order, mix_sources
 from squall.llm.toxicity_crf import fit, score_documents
@@ -44,12 +45,28 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    df = docs.join(kept, null_safe(docs["doc_id"], kept["__kept"]), "left_semi")
-    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-        first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*docs.columns))
-        df = df.withColumn("__row", first).filter("__row = 1").drop("__row")
-    return df.select(*docs.columns)
+    shared = cut_lineage(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__shared")))
+    if shared.isEmpty():
+        kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept"))
+        return docs.join(kept, docs["doc_id"] == kept["__kept"], "left_semi").select(*docs.columns)
+    # rows without an id of their own go by the hash of id and text, one row
+    # for each; the others keep their id
+    alone = docs.filter("doc_id IS NOT NULL").join(shared, docs["doc_id"] == shared["__shared"], "left_anti")
+    rows = docs.join(shared, null_safe(docs["doc_id"], shared["__shared"]), "left_semi")
+    rows = rows.groupBy(F.xxhash64(F.lit("row"), "doc_id", text_or_empty()).alias("__row")).agg(
+        F.min(F.struct(*docs.columns)).alias("__least"))
+    rows = cut_lineage(rows.select("__row", "__least.*"))
+    near = near_duplicates(alone.select(F.col("doc_id").alias("__row"), "text").union(rows.select("__row", "text")),
+                           doc_id="__row").select(F.col("doc_id").alias("__node"), "component_id")
+    ids = rows.select(F.col("__row").alias("__of"), F.col("doc_id").alias("__id"))
+    named = near.join(ids, near["__node"] == ids["__of"], "left").withColumn(
+        "__id", F.when(F.col("__of").isNull(), F.col("__node")).otherwise(F.col("__id")))
+    # the smallest id of a component stays, a row without id only among its like
+    kept = cut_lineage(named.groupBy("component_id").agg(F.min(F.struct(
+        F.col("__id").isNull(), "__id", "__node"))["__node"].alias("__kept")).select("__kept"))
+    return (alone.join(kept, alone["doc_id"] == kept["__kept"], "left_semi").select(*docs.columns)
+            .union(rows.join(kept, rows["__row"] == kept["__kept"], "left_semi").select(*docs.columns)))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
