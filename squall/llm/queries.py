@@ -11,8 +11,11 @@ from squall.llm import (
     binpack,
     license_digests,
     line_spread,
+    merkle_manifest,
     pfair,
+    prefix_trie,
     quality_lines,
+    quality_rank,
     suffix_index,
     taat_topk,
     token_files,
@@ -79,10 +82,29 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_digests.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rank.score_documents(docs, quality_rank.fit(docs, labels), columns=["doc_id"]).select(
+        "doc_id", quality_rank.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check of every document."""
+    return merkle_manifest.merkle_manifest(table(spark, sf_dir, "documents")).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_line_dedup, op3_suffix_dedup, op4_exact_topk, op5_best_fit_packing,
-        op6_source_mixing, op7_minhash_dedup, op8_token_files, op9_toxicity, op10_license_scan)}
+        op6_source_mixing, op7_minhash_dedup, op8_token_files, op9_toxicity, op10_license_scan,
+        op11_quality_ranking, op12_merkle_manifest, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:

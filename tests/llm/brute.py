@@ -73,3 +73,89 @@ def token_rows(rows, path, end_id=1):
         out[d] = (start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids)))
         start += len(ids)
     return out
+
+
+def digest(*parts):
+    return hashlib.sha256(b"".join(p if isinstance(p, bytes) else p.encode() for p in parts)).hexdigest()
+
+
+def framed(value):
+    if value is None:
+        return b"-"
+    b = str(value).encode()
+    return str(len(b)).encode() + b":" + b
+
+
+def merkle_tree(digests, fanout=16):
+    """(root, [(left, right) per level] of every leaf)."""
+    nodes = [(d, [i]) for i, d in enumerate(digests)]
+    paths = [[] for _ in digests]
+    while len(nodes) > 1:
+        up = []
+        for a in range(0, len(nodes), fanout):
+            run = nodes[a:a + fanout]
+            for j, (_, leaves) in enumerate(run):
+                for i in leaves:
+                    paths[i].append(("".join(d for d, _ in run[:j]), "".join(d for d, _ in run[j + 1:])))
+            up.append((digest(*(d for d, _ in run)), [i for _, leaves in run for i in leaves]))
+        nodes = up
+    return nodes[0][0], paths
+
+
+def merkle_manifest(rows):
+    """(doc_id, source, lang, n_chars, text) rows to rows (doc_id, leaf,
+    subroot, root, proof, folded root, verified)."""
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1]].append((digest(*map(framed, r)), r))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = []
+    for g in names:
+        groups[g].sort(key=lambda x: (x[1][0] is not None, x[1][0] or 0, x[0]))
+        trees.append(merkle_tree([leaf for leaf, _ in groups[g]]))
+    if not trees:
+        return []
+    root, upper = merkle_tree([t[0] for t in trees])
+    out = []
+    for g, (subroot, paths), above in zip(names, trees, upper, strict=True):
+        for (leaf, r), path in zip(groups[g], paths, strict=True):
+            seen = leaf
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[4] is not None:
+                seen = digest(*map(framed, (*r[:4], "".join(c.lower() if "A" <= c <= "Z" else c for c in r[4]))))
+            for left, right in path + above:
+                seen = digest(left, seen, right)
+            out.append((r[0], leaf, subroot, root, digest(*(x + y for x, y in path + above)), seen, seen == root))
+    return out
+
+
+def prefix_trie(rows):
+    """(conv_id, turn, role, text) rows to rows (conv_id, depth,
+    parent_conv_id, n_convs, n_children, n_leaves, saved, ends sha256)."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        own[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v)] for c, v in own.items()}
+    built = {}
+    for c, turns in own.items():
+        h = 0 if c is None else zlib.crc32(str(c).encode()) % 6
+        base = [] if c is None else own.get(c - (c % 100 if c >= 0 else -(-c % 100)), [])
+        built[c] = base[:h] + turns[h:]
+    members = defaultdict(list)
+    for c, turns in built.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    name = {n: min(m, key=lambda c: 1 << 63 if c is None else c) for n, m in members.items()}
+    leaves, saved = {}, {}
+    for n in sorted(members, key=len, reverse=True):
+        leaves[n] = sum(leaves[k] for k in children[n]) or 1
+        saved[n] = sum(saved[k] for k in children[n]) + ((len(members[n]) - 1) * len(n[-1][1]) if n else 0)
+    out = []
+    for n, m in members.items():
+        ends = sorted(c for c in m if c is not None and len(built[c]) == len(n))
+        out.append((name[n], len(n), name[n[:-1]] if n else None, len(m), len(children[n]), leaves[n], saved[n],
+                    digest(",".join(map(str, ends)))))
+    return out
