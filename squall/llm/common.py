@@ -59,3 +59,10 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sql_crc32(text: str) -> str:
+    """DuckDB expression of the unsigned CRC-32 of an ASCII text."""
+    bits = "list_reduce(list_concat([xor(a, b)], range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))"
+    over = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {over}), lambda a, b: {bits}), 4294967295)"

@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from squall.llm.common import scratch_table
+from squall.llm.common import scratch_table, sql_crc32
 from squall.llm.ordering import numbered
 
 FANOUT = 16
@@ -135,3 +135,52 @@ def merkle_manifest(docs: DataFrame, *, key: str = "doc_id", group: str = "sourc
     return rows.select(F.col("id").alias(key), F.col("digest").alias("leaf"), "subroot", "root", "path",
                        proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _sql_leaf(text: str) -> str:
+    frame = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    return "sha256(" + " || ".join(frame.format(text if f == "text" else f) for f in FIELDS) + ")"
+
+
+# level by level: the runs' digests, then every node's siblings; the upper tree's levels follow from 100 on
+SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {_sql_leaf("text")}) - 1 AS idx,
+    {_sql_leaf("text")} AS leaf,
+    CASE WHEN {sql_crc32("doc_id::VARCHAR")} % {TAMPERED_OF} = 0
+      THEN {_sql_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} ELSE {_sql_leaf("text")} END AS seen
+  FROM documents),
+t AS (
+  SELECT 0 AS l, source AS g, idx, leaf AS x FROM d
+  UNION ALL
+  SELECT l + 1, g, idx // {FANOUT}, sha256(string_agg(x, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM t) WHERE n > 1 GROUP BY l, g, idx // {FANOUT}),
+sub AS (SELECT g, l AS top, x AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS no
+  FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY l DESC) AS r FROM t) WHERE r = 1),
+u AS (
+  SELECT 100 AS l, no AS idx, subroot AS x FROM sub
+  UNION ALL
+  SELECT l + 1, idx // {FANOUT}, sha256(string_agg(x, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY l, idx // {FANOUT}),
+root AS (SELECT x AS root, l AS last FROM u ORDER BY l DESC LIMIT 1),
+spot AS (SELECT doc_id, leaf, seen, l, source AS g, idx // ({FANOUT} ** l)::BIGINT AS i
+       FROM d JOIN sub ON source IS NOT DISTINCT FROM g, unnest(range(top)) AS s(l)
+  UNION ALL SELECT doc_id, leaf, seen, l, NULL, no // ({FANOUT} ** (l - 100))::BIGINT
+       FROM d JOIN sub ON source IS NOT DISTINCT FROM g, root, unnest(range(100, last)) AS s(l)),
+nodes AS (SELECT l, g, idx, x FROM t UNION ALL SELECT l, NULL, idx, x FROM u),
+way AS (
+  SELECT doc_id, leaf, seen, spot.l, coalesce(string_agg(x, '' ORDER BY idx) FILTER (idx < i), '') AS lhs,
+    coalesce(string_agg(x, '' ORDER BY idx) FILTER (idx > i), '') AS rhs
+  FROM spot JOIN nodes n ON n.l = spot.l AND n.g IS NOT DISTINCT FROM spot.g AND n.idx // {FANOUT} = i // {FANOUT}
+  GROUP BY doc_id, leaf, seen, spot.l, i),
+p AS (SELECT doc_id, leaf, seen, list(lhs ORDER BY l) AS ls, list(rhs ORDER BY l) AS rs FROM way GROUP BY ALL),
+f AS (
+  SELECT doc_id, leaf, 0 AS k, seen AS y, ls, rs FROM p
+  UNION ALL SELECT doc_id, leaf, k + 1, sha256(ls[k + 1] || y || rs[k + 1]), ls, rs FROM f WHERE k < len(ls)),
+e AS (SELECT doc_id, leaf, y, sha256(array_to_string(list_transform(range(1, len(ls) + 1), lambda j: ls[j] || rs[j]), '')) AS proof
+  FROM f WHERE k = len(ls))
+SELECT d.doc_id, d.leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, coalesce(y, seen) AS folded_root,
+  coalesce(y, seen) = root AS verified
+FROM d JOIN sub ON source IS NOT DISTINCT FROM g CROSS JOIN root
+LEFT JOIN e ON e.doc_id IS NOT DISTINCT FROM d.doc_id AND e.leaf = d.leaf
+"""

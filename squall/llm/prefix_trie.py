@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squall.llm.common import scratch_table
+from squall.llm.common import scratch_table, sql_crc32
 from squall.llm.ordering import numbered, running
 
 HUNDRED, OPENING = 100, 6
@@ -236,3 +236,24 @@ def prefix_trie(convs: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn
     return (tree.drop("n_leaves", "saved_tokens").join(sums, "nid").join(end_digests(ends, block), ["depth", "p1", "p2"], "left")
             .select(named, "depth", F.when(F.col("parent") != NO_ID, F.col("parent")).alias("parent_conv_id"), "n_convs",
                     "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(_EMPTY)).alias("ends_sha256")))
+
+
+# a node is the list of its turns; its subtree are the lists that go on from it
+SQL = rf"""
+WITH t AS (SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+    ORDER BY turn NULLS FIRST, role, text) AS turns FROM conversations GROUP BY conv_id),
+h AS (SELECT *, conv_id - conv_id % {HUNDRED} AS base, {sql_crc32("conv_id::VARCHAR")} % {OPENING} AS h FROM t),
+b AS (SELECT h.conv_id, list_concat(coalesce(o.turns, [])[:h], h.turns[h + 1:]) AS turns
+  FROM h LEFT JOIN t o ON o.conv_id = h.base),
+p AS (SELECT conv_id, d, turns[:d] AS k, turns[:d - 1] AS up, len(turns) = d AS ends, turns[d].x AS x
+  FROM (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS d FROM b)),
+n AS (SELECT d, k, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(length(x)), 0) AS chars,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY d, k),
+c AS (SELECT n.*, q.conv_id AS parent_conv_id, (SELECT count(*) FROM n m WHERE m.d = n.d + 1 AND m.up = n.k) AS n_children
+  FROM n LEFT JOIN n q ON q.d = n.d - 1 AND q.k = n.up)
+SELECT a.conv_id, a.d AS depth, a.parent_conv_id, a.n_convs, a.n_children, count(*) FILTER (z.n_children = 0) AS n_leaves,
+  sum(CASE WHEN z.d > 0 THEN (z.n_convs - 1) * z.chars ELSE 0 END)::BIGINT AS saved_tokens, a.ends_sha256
+FROM c a JOIN c z ON z.k[:a.d] = a.k AND z.d >= a.d
+GROUP BY a.conv_id, a.d, a.parent_conv_id, a.n_convs, a.n_children, a.ends_sha256
+"""

@@ -110,4 +110,5 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     """Operators that SQL can express; the others are tested by brute force."""
     return {"op1_quality_rules": quality_lines.SQL, "op2_line_dedup": line_spread.SQL,
-            "op4_exact_topk": taat_topk.SQL, "op10_license_scan": license_digests.sql()}
+            "op4_exact_topk": taat_topk.SQL, "op10_license_scan": license_digests.sql(),
+            "op12_merkle_manifest": merkle_manifest.SQL, "op13_prefix_trie": prefix_trie.SQL}

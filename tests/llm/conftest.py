@@ -24,7 +24,7 @@ def duck():
     if not os.path.isdir(SF):
         pytest.skip("driver test data not present")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return con
 
