@@ -32,8 +32,9 @@ Defined cases: a null text is empty; documents shorter than ``LENGTH`` bytes
 lose nothing; rows that repeat a ``doc_id`` are one document for the
 comparison (they do not repeat each other) and each has its own result; a null
 ``doc_id`` is smaller than none and larger than all: its row is compared with
-every other document but removes nothing from it; an empty table gives an
-empty result; input columns named like an output column are replaced.
+every other document but removes nothing from it; a text of more than
+``BATCH_BYTES`` is cut in overlapping pieces of that size; an empty table gives
+an empty result; input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -48,7 +49,7 @@ from pyspark.sql import functions as F
 from squall.llm.common import bounded_batches, scratch_table, shuffle_parts
 
 LENGTH, GRAM = 50, 16
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 HOT = 4096
 NO_ID = (1 << 63) - 1  # stands for a null id: after all others
 _OUT = ["n_bytes", "n_removed", "n_spans", "kept_bytes"]
@@ -173,9 +174,9 @@ class LogIndex:
 
 
 # ``mark`` tells rows that repeat an id apart (a hash of the text, 0 if ids are unique)
-_RUN = "kind int, shard long, key int, doc long, mark int, at int, n int"
-_HIT = "kind int, anchor long, doc long, mark int, at int, n int"
-_PART = "kind int, shard long, doc long, mark int, at int, n int, data binary"
+_RUN = "kind int, shard long, key int, doc long, mark long, at int, n int"
+_HIT = "kind int, anchor long, doc long, mark long, at int, n int"
+_PART = "kind int, shard long, doc long, mark long, at int, n int, data binary"
 _KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
 
@@ -212,6 +213,19 @@ def _by_bytes(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Itera
         yield held
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], length: int, limit: int) -> Iterator[tuple[list, list, np.ndarray, list]]:
+    """Batches of (ids, marks, offsets, texts); a text above ``limit`` comes in
+    pieces that overlap by all but one byte of a window."""
+    for ids, marks, texts in _by_bytes(batches, 2, limit):
+        short = [i for i, t in enumerate(texts) if len(t) <= limit]
+        if short:
+            yield [ids[i] for i in short], [marks[i] for i in short], np.zeros(len(short), np.int64), [texts[i] for i in short]
+        for i, t in enumerate(texts):
+            if len(t) > limit:
+                for at in range(0, len(t) - length + 1, limit):
+                    yield [ids[i]], [marks[i]], np.array([at]), [t[at:at + limit + length - 1]]
+
+
 def _spread(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A shard for rows that only pass through."""
     return (doc.astype(np.uint64) * _STEP[0] + at.astype(np.uint64)).view(np.int64)
@@ -234,12 +248,12 @@ def _groups(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _cut(length: int, gram: int, limit: int):
     """Rows (doc, mark, text) to runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, marks, texts in _by_bytes(batches, 2, limit):
+        for ids, marks, starts, texts in _pieces(batches, length, limit):
             lens = np.array([len(t) for t in texts], np.int64)
             row, at, n, anchor, key = runs(np.frombuffer(b"".join(texts), np.uint8), lens, length, gram)
             if not len(row):
                 continue
-            doc, mark = np.array(ids, np.int64)[row], np.array(marks, np.int64)[row]
+            doc, mark, at = np.array(ids, np.int64)[row], np.array(marks, np.int64)[row], at + starts[row]
             anchor, key = anchor.view(np.int64), key.astype(np.uint32).view(np.int32)
             order = np.lexsort((at, row, doc, key, anchor))
             row, doc, mark, at, n, anchor, key = (x[order] for x in (row, doc, mark, at, n, anchor, key))
@@ -273,7 +287,7 @@ class _Firsts:
     """What the index points to: the first run of each anchor."""
 
     def __init__(self):
-        self.n, self.cols = 0, [np.empty(1024, t) for t in (np.int32, np.int64, np.int32, np.int32, np.int32, bool)]
+        self.n, self.cols = 0, [np.empty(1024, t) for t in (np.int32, np.int64, np.int64, np.int32, np.int32, bool)]
 
     def add(self, *columns: np.ndarray) -> np.ndarray:
         m = self.n + len(columns[0])
@@ -419,15 +433,14 @@ def _remove(length: int, keep: int):
             out = []
             for t, found in zip(b.column(keep), b.column(keep + 1), strict=True):
                 t, found = t.as_py() or b"", found.as_py() or []
-                gone = np.zeros(len(t) + 1, np.int32)
-                if found:
-                    at = np.array([r["at"] for r in found])
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + np.array([r["n"] for r in found]) + length - 1, -1)
-                gone = np.cumsum(gone[:-1]) > 0
-                edges = np.count_nonzero(gone[1:] & ~gone[:-1]) + (len(gone) > 0 and bool(gone[0]))
-                data = np.frombuffer(t, np.uint8)
-                out.append((len(t), int(gone.sum()), int(edges), data[~gone].tobytes() if found else t))
+                at = np.array([r["at"] for r in found], np.int64)
+                order = np.argsort(at)
+                reach = np.maximum.accumulate((at + np.array([r["n"] for r in found], np.int64) + length - 1)[order])
+                at = at[order]
+                new = np.append(True, at[1:] > reach[:-1])[:len(at)]
+                starts, stops = at[new], reach[np.append(new[1:], True)[:len(at)]]
+                kept = b"".join(t[a:b] for a, b in zip([0, *stops], [*starts, len(t)], strict=True))
+                out.append((len(t), len(t) - len(kept), len(starts), kept))
             cols = list(zip(*out, strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:keep], *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.binary()], strict=True))],
@@ -441,7 +454,7 @@ def repeats(docs: DataFrame, keys: list[str], *, length: int = LENGTH, gram: int
     unique) and t."""
     spark = docs.sparkSession
     parts = shuffle_parts(spark)
-    mark = F.col("mark") if "mark" in keys else F.lit(0).alias("mark")
+    mark = F.col("mark") if "mark" in keys else F.lit(0).cast("long").alias("mark")
     found = docs.filter(F.octet_length("t") >= length).select("doc", mark, "t").mapInArrow(
         _cut(length, gram, BATCH_BYTES), _RUN)
     # rows that only pass through are dealt anywhere
@@ -472,7 +485,7 @@ def suffix_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     utf8 = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     own = {f"c{i}": c for i, c in enumerate(rest) if c != doc_id}
     keyed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), utf8.alias("t"),
-                        *([] if unique else [F.xxhash64(utf8).cast("int").alias("mark")]),
+                        *([] if unique else [F.xxhash64(utf8).alias("mark")]),
                         *[F.col(c).alias(k) for k, c in own.items()])
     gone = (repeats(keyed.select(*keys, "t"), keys, length=length, gram=gram, hot=hot).groupBy(*keys)
             .agg(F.collect_list(F.struct("at", "n")).alias("gone")))

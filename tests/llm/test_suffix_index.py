@@ -92,3 +92,15 @@ def test_equal_windows_have_equal_runs():
     inner = [(int(x), int(k)) for d, x, k in zip(doc, anchor, key, strict=True) if d == 1][1:-1]
     assert inner and set(inner) <= own
     assert n[doc == 0].sum() == 451 and n[doc == 1].sum() == 251
+
+
+def test_texts_above_a_batch_are_cut_in_pieces(docs_of, monkeypatch):
+    from brute import suffix_dedup as plain
+
+    from squall.llm import suffix_index
+    monkeypatch.setattr(suffix_index, "BATCH_BYTES", 300)
+    rnd = np.random.default_rng(5)
+    a = "".join(map(chr, rnd.integers(97, 123, 2000)))
+    rows = [(1, a), (2, a[700:1500] + "x" * 400), (3, "tail " + a[290:360] + " and " + a[1200:]), (4, "é" * 500), (5, a)]
+    got = suffix_dedup(docs_of(rows)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256)).collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == plain(rows)
