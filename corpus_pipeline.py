@@ -10,11 +10,13 @@ only when the lines removed leave it without a word; the near-duplicate stage
 decides row by row: rows equal in id and text are one (the least row), rows
 that share an id or have none go only if their own texts are linked to the row
 that stays (unlike texts all stay); columns beyond those of ``documents``
-travel along unchanged, and an empty table passes through.
+travel along unchanged, under names of their own within a stage, and an empty table passes through.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,12 +28,27 @@ from squall.llm.pfair import in_mix_order, mix_sources
 from squall.llm.toxicity_crf import fit, score_documents
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def apart(stage: Callable) -> Callable:
+    """The stage with the columns beyond ``documents`` out of its operator's
+    way, whatever they are called."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        own = {c: f"__own{i}" for i, c in enumerate(docs.columns) if c not in COLUMNS}
+        return stage(spark, docs.withColumnsRenamed(own), sf_dir).withColumnsRenamed({n: c for c, n in own.items()})
+    run.__name__, run.__doc__ = stage.__name__, stage.__doc__
+    return run
+
+
+@apart
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
     scored = score_documents(docs, fit(docs, table(spark, sf_dir, "labels")))
     return scored.filter("predicted = 0").select(*docs.columns)
 
 
+@apart
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cross-site boilerplate lines go, but for their first document."""
     df = line_dedup(docs)
@@ -43,6 +60,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
+@apart
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     shared = cut_lineage(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
@@ -69,6 +87,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .union(rows.join(kept, rows["__row"] == kept["__kept"], "left_semi").select(*docs.columns)))
 
 
+@apart
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in the order of the mix; files hold stretches of it."""
     return in_mix_order(mix_sources(docs)).select(*docs.columns)
