@@ -63,12 +63,14 @@ def test_stage_edges(spark, name):
     rows = [(1, t, "en", "a", len(t)), (1, t, "en", "a", len(t)), (2, None, None, None, None), (3, "", "en", "b", 0),
             (None, "no id here", "en", None, 10), (4, "word " * 30_000, "en", "a", 150_000)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("kept", F.lit("mine")).withColumn("score", F.lit(9)).withColumn("key", F.lit(9))
+    df = df.withColumns({c: F.lit("own") for c in ("kept_text", "n_lines", "mix_slot", "mix_position", "source_block", "spans")})
     got = stage(spark, df, SF)
     ids = sorted(str(r["doc_id"]) for r in got.select("doc_id").distinct().collect())
     assert ids == ["1", "2", "3", "4", "None"]
     if name != "packing":
         assert got.columns == df.columns
         assert {(r["kept"], r["score"], r["key"]) for r in got.collect()} == {("mine", 9, 9)}
+        assert {tuple(r[-6:]) for r in got.collect()} == {("own",) * 6}
     if name == "near_duplicates":
         assert got.filter("doc_id = 1").count() == 1
 
