@@ -15,12 +15,16 @@ from squall.operators import profiles as P
 from squall.operators import windows as W
 from squall.plans import history, ingest, reports, speed
 from squall.plans.registry import register
+from squall.plans.sqlviews import COBS, ctes, with_views
 from squall.session import scratch_path
 from squall.sources.files import read_location_store
 from squall.sources.testviews import daily, locations, obs_from_events, read_table
 from squall.streaming import jobs as J
 from squall.streaming import sinks as S
-from squall.streaming.sources import file_stream
+from squall.streaming.keyed_flush import flush_by_key, start_flush
+from squall.streaming.landing import replay, time_parts
+from squall.streaming.sources import event_time_to_timestamp, file_stream
+from squall.streaming.update_store import read_updates, update_writer
 
 
 def obs_stream(spark, sf_dir, max_files_per_trigger=None):
@@ -111,3 +115,100 @@ def stream_store(spark, sf_dir):
     return (stored.rollup("country_dir", "city_dir")
             .agg(F.grouping_id().cast("int").alias("level"),
                  F.count(F.lit(1)).alias("n_alerts")))
+
+
+# --- several runs on one checkpoint -----------------------------------------
+
+LANDINGS, LATE_LANDINGS, LATE_EVERY = 4, 5, 50
+_UNTIMED = {"window_start": F.col("window_start").cast("timestamp_ntz"), "window_end": F.col("window_end").cast("timestamp_ntz")}
+
+
+def _window_table(spark, sf_dir, name, kind, part, n, every=2):
+    """The shared window job over events that land in ``n`` pieces, each read
+    by a new run on the same checkpoint; returns the table of one output."""
+    base = scratch_path(spark, name)
+    events = read_table(spark, sf_dir, "events")
+    loc, schemas = locations(spark, sf_dir), []
+
+    def write(rows, epoch_id):
+        rows = rows.withColumns(_UNTIMED)
+        schemas.append(rows.schema)
+        update_writer(f"{base}/{kind}", W.WINDOW_KEYS[kind], rows.schema, every)(rows, epoch_id)
+
+    def start():
+        stream = obs_from_events(file_stream(spark, f"{base}/landed", events.schema), loc)
+        return J.start_window_queries_single_read(J.classify_stream(stream), {kind: write}, f"{base}/checkpoint",
+                                                  query_name=f"{name}_{base[-12:]}", available_now=True)
+    replay(events, part(events), n, f"{base}/landed", start)
+    return read_updates(spark, f"{base}/{kind}", W.WINDOW_KEYS[kind], schemas[0])
+
+
+@register("stream_resumed_city", speed.ORACLES_FOR_STREAMS["win_city"])
+def stream_resumed_city(spark, sf_dir):
+    """City windows of a stateful stream that is stopped after each quarter of
+    the events and started again on its checkpoint: state, watermark and
+    offsets are recovered, so the table equals that of all events at once."""
+    return _window_table(spark, sf_dir, "stream-resumed", "city", lambda e: time_parts(e, "ts", LANDINGS), LANDINGS)
+
+
+_LATE = f"event_id % {LATE_EVERY} = 0 AND (epoch_us(event_time) - lo) * {LATE_LANDINGS} // (hi - lo + 1) < 2"
+_KEPT_SQL = (",\nspan AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM obs),\n"
+             f"kept AS (SELECT cobs.* FROM cobs, span WHERE NOT ({_LATE}))")
+
+
+def _without_late(sql):
+    return sql.replace("FROM cobs", "FROM kept").replace(COBS, COBS + _KEPT_SQL)
+
+
+def _late_part(events):
+    """Time order, but every 50th row of the first two fifths lands last."""
+    part = time_parts(events, "ts", LATE_LANDINGS)
+    late = (F.col("event_id") % LATE_EVERY == 0) & (part < 2)
+    return F.when(late, LATE_LANDINGS - 1).otherwise(part)
+
+
+def _late_query(kind):
+    def run(spark, sf_dir):
+        return _window_table(spark, sf_dir, f"stream-late-{kind}", kind, _late_part, LATE_LANDINGS)
+    run.__name__ = f"stream_late_{kind}"
+    run.__doc__ = (f"Window aggregate '{kind}' of the shared job over five landings, the last with rows days behind "
+                   "the watermark: their windows are closed and evicted, so they are dropped.")
+    return run
+
+
+for _kind in W.WINDOW_AGGREGATES:
+    register(f"stream_late_{_kind}", _without_late(speed.ORACLES_FOR_STREAMS[f"win_{_kind}"]))(_late_query(_kind))
+
+
+FLUSH_ROWS = 10
+
+
+@register("stream_keyed_flush", with_views(ctes("obs"), f"""
+SELECT country, city, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS sum_event_id,
+       CAST(count(*) // {FLUSH_ROWS} AS BIGINT) AS n_full,
+       CAST(ceil(count(*) / {FLUSH_ROWS}.0) AS BIGINT) AS n_flushes,
+       CAST((count(*) - 1) % {FLUSH_ROWS} + 1 AS BIGINT) AS last_rows
+FROM obs GROUP BY country, city"""))
+def stream_keyed_flush(spark, sf_dir):
+    """Observations buffered per location and passed on ten at a time over
+    four runs on one checkpoint; a row from the future ends the stream, so
+    what is left of every location leaves as a last, smaller batch."""
+    base = scratch_path(spark, "stream-flush")
+    events, loc = read_table(spark, sf_dir, "events"), locations(spark, sf_dir)
+
+    def start():
+        rows = event_time_to_timestamp(obs_from_events(file_stream(spark, f"{base}/landed", events.schema), loc)).select(
+            "country", "city", "event_id", "event_time", "temperature", "windspeed")
+        flushed = flush_by_key(rows.withWatermark("event_time", W.DEFAULT_WATERMARK), ["country", "city"], "event_time",
+                               FLUSH_ROWS, "60 days", tick="event_id")
+        return start_flush(flushed, f"{base}/data", f"{base}/checkpoint")
+    closing = {"ts": F.max("ts") + F.expr("INTERVAL 61 DAYS"), "user_id": F.lit(0).cast("long")}
+    closing = events.agg(*[closing.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in events.schema.fields])
+    replay(events, time_parts(events, "ts", LANDINGS), LANDINGS, f"{base}/landed", start, last=closing)
+    out = spark.read.parquet(f"{base}/data")
+    batches = out.groupBy("country", "city", "flush_no").agg(
+        F.count(F.lit(1)).alias("n"), F.max("flush_rows").alias("said"), F.sum("event_id").alias("s"))
+    return batches.groupBy("country", "city").agg(
+        F.sum("n").alias("n_rows"), F.sum("s").alias("sum_event_id"),
+        F.count_if((F.col("n") == FLUSH_ROWS) & (F.col("said") == FLUSH_ROWS)).alias("n_full"),
+        F.max("flush_no").alias("n_flushes"), F.max_by("n", "flush_no").alias("last_rows"))
