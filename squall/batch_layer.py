@@ -59,11 +59,13 @@ def run_batch_layer(spark: SparkSession, history: DataFrame | str, out_root: str
                     year: int | None = None,
                     kafka_servers: str | None = None) -> dict[str, str]:
     """Compute and write the three document sets; returns their folders.
-    With ``kafka_servers`` the records documents are also published, one
+    History lines that cannot be used are written to ``rejects`` with their
+    reason.  With ``kafka_servers`` the records documents are also published, one
     message per location (``timestamp``, ``city``, ``country``, ``records``)."""
-    daily = load_history(spark, history) if isinstance(history, str) else history
+    rejects = {"rejects": f"{out_root}/rejects"} if isinstance(history, str) else {}
+    daily = load_history(spark, history, rejects["rejects"]) if rejects else history
     with snapshot(P.for_year(daily, year), "daily") as daily:
-        return _write_documents(daily, out_root, year, kafka_servers)
+        return _write_documents(daily, out_root, year, kafka_servers) | rejects
 
 
 def _write_documents(daily: DataFrame, out_root: str, year: int | None,

@@ -1,36 +1,80 @@
 """Climate records per location: rolling 30-day rain, arg-max / arg-min
 days, and whole-period statistics.
 
-Everything is computed per location in a single pass: the rolling sum is a
-window partitioned by location and ordered by date (each partition holds one
-row per day, so its size is bounded by the length of the history, not by the
-data volume), and the records are ``max_by`` / ``min_by`` aggregates grouped
-by the same keys, so Spark reuses the window's partitioning instead of
-shuffling again and never sorts the whole table for a top-1.
+The rolling sum is a window over bounded ranges of a location's history, each
+with the rows before it that its first rows need; the records are ``max_by`` /
+``min_by`` aggregates with partial aggregation, so a location holding a third
+of all rows is spread in both steps and no top-1 sorts the table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from squall.operators.joins import materialize
+
 LOCATION = ("country", "city")
 
 
+SPAN_DAYS = 366       # calendar days of a location that are numbered together
+RANGE_ROWS = 4096     # rows of a location that are summed together
+
+
+def _same(a: DataFrame, b: DataFrame, keys) -> Column:
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
+
+
+def _with_places(df: DataFrame, keys, order_col: str, span_days: int) -> DataFrame:
+    """``df`` with ``_no``, each row's number (from 0) in its location, from
+    the counts of the calendar spans before its own."""
+    df = df.withColumn("_span", F.coalesce(F.floor(F.unix_date(order_col) / span_days), F.lit(-(2 ** 31))))
+    before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = df.groupBy(*keys, "_span").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = Window.partitionBy(*keys, "_span").orderBy(order_col)
+    df = df.withColumn("_no", F.row_number().over(own) - 1)
+    return (df.join(spans, _same(df, spans, [*keys, "_span"]))
+            .select(*[df[c] for c in df.columns if c not in ("_span", "_no")],
+                    (df["_no"] + F.col("_before")).alias("_no")))
+
+
 def rolling_sum(df: DataFrame, value_col: str = "precipitation", n: int = 30,
                 out_col: str = "rain_30days", keys=LOCATION, order_col: str = "date",
-                mode: str = "rows") -> DataFrame:
+                mode: str = "rows", span_days: int = SPAN_DAYS,
+                range_rows: int = RANGE_ROWS) -> DataFrame:
     """Sum of ``value_col`` over the last ``n`` rows (``mode="rows"``) or the
     last ``n`` calendar days (``mode="range"``, gaps in dates respected),
-    ending at the current row; the first rows of a location are partial."""
-    base = Window.partitionBy(*keys)
+    ending at the current row; the first rows of a location are partial.
+
+    A location's history is cut into ranges that are summed apart, each with
+    the rows before it that its first rows still need (``n`` - 1 rows, or the
+    rows of ``n`` - 1 days), so one long history spreads over many tasks.
+    Numbering the rows reads ``df`` twice, so it is materialised first."""
+    cols = df.columns
+    halo = F.array("_range", F.col("_range") + 1)
     if mode == "rows":
-        w = base.orderBy(order_col).rowsBetween(-(n - 1), 0)
+        size = max(range_rows, n)
+        df = _with_places(materialize(df), keys, order_col, span_days)
+        df = df.withColumn("_range", F.expr(f"_no div {size}"))
+        needed = F.col("_no") % size >= size - (n - 1)
+        own = F.expr(f"_no div {size}")
+        order, frame = "_no", lambda w: w.rowsBetween(-(n - 1), 0)
     elif mode == "range":
-        w = base.orderBy(F.unix_date(F.col(order_col))).rangeBetween(-(n - 1), 0)
+        size = max(span_days, n)
+        day = F.unix_date(order_col)
+        df = df.withColumn("_no", day).withColumn("_range", F.coalesce(F.floor(day / size), F.lit(-(2 ** 31))))
+        needed = F.coalesce(F.pmod(day, F.lit(size)) >= size - (n - 1), F.lit(False))
+        own = F.coalesce(F.floor(F.col("_no") / size), F.lit(-(2 ** 31)))
+        order, frame = "_no", lambda w: w.rangeBetween(-(n - 1), 0)
     else:
         raise ValueError(f"mode must be 'rows' or 'range', not {mode!r}")
-    return df.withColumn(out_col, F.sum(value_col).over(w))
+    df = df.withColumn("_at", F.explode(F.when(needed, halo).otherwise(F.array("_range"))))
+    w = frame(Window.partitionBy(*keys, "_at").orderBy(order))
+    return df.withColumn(out_col, F.sum(value_col).over(w)).filter(F.col("_at") == own).select(
+        *[c for c in cols if c != out_col], out_col)
 
 
 def _rank_key(measure: str, date_col: str, largest: bool) -> Column:

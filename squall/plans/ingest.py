@@ -16,7 +16,9 @@ from squall.plans.speed import classified
 from squall.plans.sqlviews import MONTH_NAME, ctes, with_views
 from squall.schemas import (ARCHIVE_PAYLOAD, CLASSIFIED_OBSERVATION, FLAT_OBSERVATION,
                             NESTED_OBSERVATION, OBSERVATION)
+from squall.session import scratch_path
 from squall.sources import payloads as PL
+from squall.sources.files import load_history, rejects_by_reason
 from squall.sources.testviews import daily, locations, obs, read_table
 
 OBS_FIELDS = ["city", "country", "latitude", "longitude", "temperature", "windspeed",
@@ -132,6 +134,29 @@ def archive_explode(spark, sf_dir):
     return PL.explode_archive(parsed).select(*DAILY_COLS)
 
 
+@register("history_rejects", with_views(ctes("daily", extra=["d AS (SELECT day(date) AS d FROM daily)"]), """
+SELECT 'valid' AS outcome, count(*) AS n FROM d WHERE d NOT IN (7, 14, 21, 22)
+UNION ALL SELECT 'malformed', count(*) FROM d WHERE d IN (7, 14)
+UNION ALL SELECT 'bad_date', count(*) FROM d WHERE d IN (21, 22)
+UNION ALL SELECT 'duplicate_day', count(*) FROM d WHERE d = 28"""))
+def history_rejects(spark, sf_dir):
+    """History lines, some of them damaged (cut off, a text for a number, no
+    date, a date that is none, a day twice), read into valid rows and rejects
+    that are written beside them and counted by reason."""
+    day = F.dayofmonth("date")
+    date = F.when(day == 22, "soon").when(day != 21, F.col("date").cast("string"))
+    line = F.to_json(F.struct(date.alias("date"), *DAILY_COLS[1:]))
+    hot = F.regexp_replace(line, '"temp_max":[^,]*', '"temp_max":"hot"')
+    rows = daily(spark, sf_dir).select(day.alias("day"), F.when(day == 14, hot).otherwise(line).alias("line"))
+    line = F.when(F.col("day") == 7, F.expr("left(line, length(line) - 5)")).otherwise(F.col("line"))
+    rows = rows.select(line.alias("line"), F.explode(F.array_repeat(F.lit(1), F.when(F.col("day") == 28, 2).otherwise(1))))
+    base = scratch_path(spark, "history")
+    rows.select("line").write.text(f"{base}/lines")
+    valid = load_history(spark, f"{base}/lines", f"{base}/rejects")
+    return valid.agg(F.lit("valid").alias("outcome"), F.count(F.lit(1)).alias("n")).unionByName(
+        rejects_by_reason(spark, f"{base}/rejects").withColumnRenamed("reason", "outcome"))
+
+
 # Units block attached to current-weather payloads.
 CURRENT_UNITS = {"temperature_2m": "°C", "wind_speed_10m": "km/h",
                  "relative_humidity_2m": "%", "precipitation": "mm"}

@@ -15,7 +15,8 @@ from squall.schemas import STORED_ALERT
 from squall.session import scratch_path
 from squall.sinks.files import write_location_store
 from squall.functions.parsing import tolerant_timestamp
-from squall.sources.files import catalogue, read_location_store
+from squall.sources.files import read_location_store
+from squall.sources.files import store_catalogue as list_store
 from squall.sources.testviews import daily, obs
 
 WEATHER_LABEL_SQL = ("CASE weather_code WHEN 0 THEN 'Ciel dégagé' WHEN 1 THEN 'Dégagé' "
@@ -149,14 +150,18 @@ def cycle_summary(spark, sf_dir):
 def stored_alerts(spark, sf_dir):
     """Classified observations written to the per-location store in the
     shared folder and read back (store -> scan round trip)."""
+    schema = StructType([StructField("event_id", LongType())] + list(STORED_ALERT.fields))
+    return read_location_store(spark, _write_alerts(spark, sf_dir), schema)
+
+
+def _write_alerts(spark, sf_dir):
     path = scratch_path(spark, "alert-store")
     alerts = classified(spark, sf_dir).select(
         "event_id", F.col("original_timestamp").alias("event_time"), "city", "country",
         F.lit(None).cast("string").alias("country_code"), "temperature", "windspeed",
         "wind_alert_level", "heat_alert_level", "weather_code", "humidity", "precipitation")
     write_location_store(alerts, path)
-    schema = StructType([StructField("event_id", LongType())] + list(STORED_ALERT.fields))
-    return read_location_store(spark, path, schema)
+    return path
 
 
 _STORE_SQL = ("st AS (SELECT replace(replace(replace(country, ' ', '_'), '/', '_'), '''', '') "
@@ -201,8 +206,9 @@ def store_kpis(spark, sf_dir):
 @register("store_catalogue", with_views(ctes("cobs", extra=[_STORE_SQL]), """
 SELECT DISTINCT country_dir, city_dir FROM st"""))
 def store_catalogue(spark, sf_dir):
-    """Which locations have stored alerts (folder names of the store)."""
-    return catalogue(stored_alerts(spark, sf_dir))
+    """Which locations have stored alerts: folder names from the listing of
+    the store, whose files are not read."""
+    return list_store(spark, _write_alerts(spark, sf_dir))
 
 
 @register("safe_location", with_views(ctes("obs"), """

@@ -55,6 +55,22 @@ def catalogue(df: DataFrame) -> DataFrame:
     return df.select("country_dir", "city_dir").distinct().orderBy("country_dir", "city_dir")
 
 
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """(country_dir, city_dir, file) of every file of a location store, from
+    its listing: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+
+    def name(i: int):
+        part = F.regexp_extract("path", r"/country_dir=([^/]*)/city_dir=([^/]*)/[^/]+$", i)
+        return F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    return files.select(name(1).alias("country_dir"), name(2).alias("city_dir"), F.col("path").alias("file"))
+
+
+def store_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """Which locations a store has files of, sorted; reads the listing only."""
+    return catalogue(stored_files(spark, path))
+
+
 def split_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Daily history JSON Lines as (valid rows with ``date`` typed, rejects).
 
@@ -77,6 +93,18 @@ def split_history(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return good.filter(F.col("_reason").isNull()).drop("_raw", "_bad", "_reason"), rejects
 
 
-def load_history(spark: SparkSession, path: str) -> DataFrame:
-    """The valid rows of ``split_history``."""
-    return split_history(spark, path)[0]
+def load_history(spark: SparkSession, path: str, rejects_path: str | None = None) -> DataFrame:
+    """The valid rows of ``split_history``; with ``rejects_path`` the rejects
+    are written there, a folder per reason (``rejects_by_reason`` counts
+    them)."""
+    valid, rejects = split_history(spark, path)
+    if rejects_path is not None:
+        (rejects.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("reason").parquet(rejects_path))
+    return valid
+
+
+def rejects_by_reason(spark: SparkSession, rejects_path: str) -> DataFrame:
+    """(reason, n) of the rejects written by ``load_history``."""
+    rows = spark.read.schema("_raw string, reason string").parquet(rejects_path)
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
