@@ -9,20 +9,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from squall.functions._col import as_col
 
 
 def parse_json_column(df: DataFrame, schema: StructType, value_col: str = "value",
-                      keep: tuple[str, ...] = (), raw_col: str | None = None) -> DataFrame:
+                      keep: tuple[str, ...] = (), raw_col: str | None = None,
+                      bad_col: str | None = None) -> DataFrame:
     """``from_json`` the (binary or string) column and star-expand the fields.
 
     ``keep`` columns are carried next to the parsed fields; ``raw_col`` keeps
-    the original text so rejected rows can be routed (see ``reject_flag``).
+    the original text so rejected rows can be routed (see ``reject_flag``);
+    ``bad_col`` is the text of messages that are no JSON or have a value of
+    the wrong type, null for the others (``schema`` is a ``StructType`` then).
     """
     text = F.col(value_col).cast("string")
-    cols = [F.from_json(text, schema).alias("__data")] + [F.col(k) for k in keep]
+    if bad_col:
+        full = StructType([*schema.fields, StructField(bad_col, StringType())])
+        data = F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad_col})
+    else:
+        data = F.from_json(text, schema)
+    cols = [data.alias("__data")] + [F.col(k) for k in keep]
     if raw_col:
         cols.append(text.alias(raw_col))
     out = df.select(*cols)
@@ -86,19 +94,30 @@ def count_rejects(parsed: DataFrame, fields: list[str], name: str = "parse_quali
     return parsed.observe(obs, *metrics), obs
 
 
+def reject_reason(fields: list[str], time_col: str | None = None, bad_col: str | None = None,
+                  require_time: bool = False) -> Column:
+    """Why a parsed message cannot be used, null if it can: ``unparseable`` (no
+    field could be read), ``wrong_type`` (``bad_col`` is set), ``bad_time``
+    (``time_col`` is no timestamp), ``missing_time`` (asked for with
+    ``require_time``)."""
+    reason = F.when(reject_flag(fields), F.lit("unparseable"))
+    if bad_col is not None:
+        reason = reason.when(F.col(bad_col).isNotNull(), F.lit("wrong_type"))
+    if time_col is not None:
+        reason = reason.when(F.col(time_col).isNotNull() & tolerant_timestamp(time_col).isNull(), F.lit("bad_time"))
+        if require_time:
+            reason = reason.when(F.col(time_col).isNull(), F.lit("missing_time"))
+    return reason
+
+
 def split_rejects(parsed: DataFrame, fields: list[str], raw_col: str = "_raw",
-                  time_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+                  time_col: str | None = None, bad_col: str | None = None,
+                  require_time: bool = False) -> tuple[DataFrame, DataFrame]:
     """Route parse failures to a side output.
 
     Returns ``(valid, rejected)``: ``rejected`` keeps the original text in
-    ``raw_col`` and a ``reason`` (``unparseable`` when no field could be
-    read, ``bad_time`` when ``time_col`` is present but not a timestamp)."""
-    unparseable = reject_flag(fields)
-    reason = F.when(unparseable, F.lit("unparseable"))
-    if time_col is not None:
-        bad_time = F.col(time_col).isNotNull() & tolerant_timestamp(time_col).isNull()
-        reason = reason.when(bad_time, F.lit("bad_time"))
-    tagged = parsed.withColumn("reason", reason)
-    valid = tagged.filter(F.col("reason").isNull()).drop("reason", raw_col)
+    ``raw_col`` and a ``reason`` (see ``reject_reason``)."""
+    tagged = parsed.withColumn("reason", reject_reason(fields, time_col, bad_col, require_time))
+    valid = tagged.filter(F.col("reason").isNull()).drop("reason", raw_col, *([bad_col] if bad_col else []))
     rejected = tagged.filter(F.col("reason").isNotNull()).select(raw_col, "reason")
     return valid, rejected

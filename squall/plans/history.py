@@ -4,13 +4,20 @@ profiles, validation) and the anomaly check of ``obs`` against profiles."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
+from squall.functions.classify import heat_level_num
+from squall.functions.rounding import exact_mean, exact_share, sql_rounded_ratio
 from squall.operators import anomalies as A
 from squall.operators import profiles as P
 from squall.operators import records as R
 from squall.operators.joins import materialize
 from squall.plans.registry import ORACLES, register
 from squall.plans.sqlviews import MONTH_NAME, ctes, with_views
+from squall.session import scratch_path
+from squall.sinks.files import swap_documents
+from squall.sources.files import read_json_documents
 from squall.sources.testviews import daily, obs
 
 
@@ -359,5 +366,46 @@ def anomaly_feed(spark, sf_dir):
     return A.anomaly_feed(anomalies_all(spark, sf_dir))
 
 
+ROUNDED_DOCUMENT = StructType([StructField("city", StringType()), StructField("country", StringType()), StructField(
+    "profiles", ArrayType(StructType([StructField("month", IntegerType()), *[StructField(c, DoubleType()) for c in (
+        "temp_mean", "precipitation_mean", "heat_alert_probability")], StructField("days_count", LongType())])))])
+
+
+@register("profile_documents_rounded", with_views(ctes("daily"), f"""
+SELECT country, city, CAST(month(date) AS INTEGER) AS month,
+       {sql_rounded_ratio("CAST(sum(CAST(round(temp_mean * 1000000) AS BIGINT)) AS HUGEINT)", "count(temp_mean)", 2, 6)} AS temp_mean,
+       {sql_rounded_ratio("CAST(sum(CAST(precipitation AS BIGINT)) AS HUGEINT)", "count(precipitation)", 2, 0)}
+         AS precipitation_mean,
+       {sql_rounded_ratio(f"count(CASE WHEN {_LVL_T} >= 1 THEN 1 END)", "count(*)", 4, 0)} AS heat_alert_probability,
+       count(*) AS days_count
+FROM daily GROUP BY country, city, month(date)"""))
+def profile_documents_rounded(spark, sf_dir):
+    """Monthly profiles rounded to 2 places (probabilities to 4) by exact
+    means, written as one document per location, half of the locations
+    replaced by a second run, and read back."""
+    path = scratch_path(spark, "rounded-documents")
+    months = daily(spark, sf_dir).groupBy("country", "city", F.month("date").alias("month")).agg(
+        exact_mean("temp_mean", 2).alias("temp_mean"), exact_mean("precipitation", 2, 0).alias("precipitation_mean"),
+        exact_share(heat_level_num("temp_mean") >= 1, 4).alias("heat_alert_probability"),
+        F.count(F.lit(1)).alias("days_count"))
+    month = F.struct("month", "temp_mean", "precipitation_mean", "heat_alert_probability", "days_count")
+    docs = materialize(months.groupBy("country", "city").agg(F.sort_array(F.collect_list(month)).alias("profiles")))
+    swap_documents(docs, path)
+    swap_documents(docs.filter(F.xxhash64("city") % 2 == 0), path)
+    back = read_json_documents(spark, f"{path}/*/*/*.json", ROUNDED_DOCUMENT)
+    return back.select("country", "city", F.inline("profiles"))
+
+
+# Two versions of the profile: the second half of the time meets one whose
+# mean temperatures are PROFILE_SHIFT higher.
+PROFILE_SHIFT = 5.0
+VERSIONED_SQL = with_views(ctes("obs", "daily", extra=[
+    "span AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM obs)", ANOMALY_CTES[0],
+    ANOMALY_CTES[1].replace("p.temp_mean AS tm", f"p.temp_mean + (v - 1) * {PROFILE_SHIFT} AS tm, v").replace(
+        "FROM obs o", "FROM (SELECT obs.*, (epoch_us(event_time) - lo) * 2 // (hi - lo + 1) + 1 AS v FROM obs, span) o"),
+    ANOMALY_CTES[2], ANOMALY_CTES[3].replace("temperature, windspeed,\n", "temperature, windspeed, v,\n", 1)]),
+    "SELECT * EXCLUDE (v), CAST(v AS INTEGER) AS profile_version FROM a WHERE is_anomaly")
+
+
 # Oracle texts reused by the streaming twins of these queries.
 ORACLES_FOR_STREAMS = {name: ORACLES[name] for name in ['anomalies']}

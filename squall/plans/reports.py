@@ -13,9 +13,9 @@ from squall.plans.speed import classified
 from squall.plans.sqlviews import ctes, with_views
 from squall.schemas import STORED_ALERT
 from squall.session import scratch_path
-from squall.sinks.files import write_location_store
+from squall.sinks.files import with_location_dirs, write_location_store
 from squall.functions.parsing import tolerant_timestamp
-from squall.sources.files import read_location_store
+from squall.sources.files import read_location_store, split_store
 from squall.sources.files import store_catalogue as list_store
 from squall.sources.testviews import daily, obs
 
@@ -211,6 +211,33 @@ def store_catalogue(spark, sf_dir):
     return list_store(spark, _write_alerts(spark, sf_dir))
 
 
+@register("store_scan", with_views(ctes("cobs", extra=[_STORE_SQL]), """
+SELECT country_dir, city_dir, count(*) FILTER (event_id % 10 > 1) AS n_rows,
+       count(*) FILTER (event_id % 10 <= 1) AS n_rejects,
+       max(temperature) FILTER (event_id % 10 > 1) AS max_temperature
+FROM st GROUP BY country_dir, city_dir"""))
+def store_scan(spark, sf_dir):
+    """Scan of the per-location alert files when every tenth line is cut off,
+    another tenth has a text for a number, and blank lines stand between:
+    rows and rejects of each location."""
+    path = scratch_path(spark, "alert-lines")
+    alerts = with_location_dirs(classified(spark, sf_dir))
+    line = F.to_json(F.struct(F.col("original_timestamp").alias("event_time"), "city", "country", "temperature",
+                              "windspeed", "wind_alert_level", "heat_alert_level", "weather_code"))
+    kind = F.col("event_id") % 10
+    lines = alerts.select("event_id", "country_dir", "city_dir", line.alias("line"))
+    damaged = (F.when(kind == 0, F.expr("left(line, length(line) - 9)"))
+               .when(kind == 1, F.regexp_replace("line", '"windspeed":[^,]*', '"windspeed":"calm"'))
+               .when(kind == 2, F.concat("line", F.lit("\n  "))).otherwise(F.col("line")))
+    lines.select("country_dir", "city_dir", damaged.alias("value")).write.partitionBy("country_dir", "city_dir").text(path)
+    rows, rejects = split_store(spark, path)
+    both = rows.select("country_dir", "city_dir", "temperature", F.lit(True).alias("ok")).unionByName(
+        rejects.select("country_dir", "city_dir", F.lit(None).cast("double").alias("temperature"), F.lit(False).alias("ok")))
+    return both.groupBy("country_dir", "city_dir").agg(
+        F.count_if("ok").alias("n_rows"), F.count_if(~F.col("ok")).alias("n_rejects"),
+        F.max("temperature").alias("max_temperature"))
+
+
 @register("safe_location", with_views(ctes("obs"), """
 SELECT event_id, country, city,
        replace(replace(country, ' ', '_'), '/', '_') AS country_basic,

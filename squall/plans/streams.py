@@ -11,18 +11,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from squall.functions.parsing import parse_json_column
 from squall.operators import profiles as P
 from squall.operators import windows as W
+from squall.operators.joins import materialize
 from squall.plans import history, ingest, reports, speed
 from squall.plans.registry import register
-from squall.plans.sqlviews import COBS, ctes, with_views
+from squall.plans.sqlviews import COBS, HEAT_LEVEL, WIND_LEVEL, ctes, with_views
+from squall.schemas import FLAT_OBSERVATION, OBSERVATION
 from squall.session import scratch_path
 from squall.sources.files import read_location_store
 from squall.sources.testviews import daily, locations, obs_from_events, read_table
 from squall.streaming import jobs as J
 from squall.streaming import sinks as S
+from squall.streaming.apps import classification_batch_writer
 from squall.streaming.keyed_flush import flush_by_key, start_flush
 from squall.streaming.landing import replay, time_parts
+from squall.streaming.metrics import read_metrics
 from squall.streaming.sources import event_time_to_timestamp, file_stream
 from squall.streaming.update_store import read_updates, update_writer
 
@@ -212,3 +217,79 @@ def stream_keyed_flush(spark, sf_dir):
         F.sum("n").alias("n_rows"), F.sum("s").alias("sum_event_id"),
         F.count_if((F.col("n") == FLUSH_ROWS) & (F.col("said") == FLUSH_ROWS)).alias("n_full"),
         F.max("flush_no").alias("n_flushes"), F.max_by("n", "flush_no").alias("last_rows"))
+
+
+@register("stream_anomalies_versions", history.VERSIONED_SQL)
+def stream_anomalies_versions(spark, sf_dir):
+    """Anomalies while the profile is replaced between two micro-batches:
+    every epoch keeps to the version that it has noted."""
+    base, root = scratch_path(spark, "stream-versions"), scratch_path(spark, "profile-versions")
+    events, loc = read_table(spark, sf_dir, "events"), locations(spark, sf_dir)
+    profile = materialize(P.seasonal_profile(daily(spark, sf_dir)))
+    versions = iter([profile, profile.withColumn("temp_mean", F.col("temp_mean") + history.PROFILE_SHIFT)])
+
+    def start():
+        J.publish_profile(next(versions), root)
+        stream = obs_from_events(file_stream(spark, f"{base}/landed", events.schema), loc)
+        return (stream.writeStream.foreachBatch(J.versioned_anomaly_writer(root, base))
+                .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    replay(events, time_parts(events, "ts", 2), 2, f"{base}/landed", start)
+    return spark.read.parquet(f"{base}/data").drop("_epoch")
+
+
+@register("stream_parse_metrics", with_views(ctes("obs", extra=[
+    "span AS (SELECT min(epoch_us(event_time)) AS lo, max(epoch_us(event_time)) AS hi FROM obs)",
+    f"m AS (SELECT (epoch_us(event_time) - lo) * {LANDINGS} // (hi - lo + 1) AS epoch, event_id % 20 AS k FROM obs, span)",
+    "e AS (SELECT epoch, count(*) FILTER (k > 3) AS valid, count(*) FILTER (k <= 3) AS rejected, "
+    "count(*) FILTER (k = 0) AS unparseable, count(*) FILTER (k = 1) AS missing_time, "
+    "count(*) FILTER (k = 2) AS wrong_type, count(*) FILTER (k = 3) AS bad_time FROM m GROUP BY epoch)"]), """
+SELECT *, CAST(sum(valid) OVER (ORDER BY epoch) AS BIGINT) AS total_valid,
+       CAST(sum(rejected) OVER (ORDER BY epoch) AS BIGINT) AS total_rejected,
+       CAST(sum(valid) OVER (ORDER BY epoch) AS DOUBLE) * 100
+         / CAST(sum(valid + rejected) OVER (ORDER BY epoch) AS DOUBLE) AS success_pct
+FROM e"""))
+def stream_parse_metrics(spark, sf_dir):
+    """Classification of messages, a fifth of them damaged, over four runs:
+    counts of usable and rejected messages per epoch and in total, from the
+    metrics table that the job writes."""
+    base = scratch_path(spark, "stream-metrics")
+    events, loc = read_table(spark, sf_dir, "events"), locations(spark, sf_dir)
+    kind = F.col("event_id") % 20
+    o = obs_from_events(events, loc)
+    time = F.when(kind == 3, "yesterday").when(kind != 1, F.col("original_timestamp"))
+    fields = ["city", "country", "latitude", "longitude", "temperature", "windspeed", "weather_code"]
+    msgs = o.select("event_id", "event_time", F.to_json(F.struct(time.alias("timestamp"), *fields)).alias("value"))
+    msgs = msgs.withColumn("value", F.when(kind == 0, F.expr("left(value, length(value) - 7)")).when(
+        kind == 2, F.regexp_replace("value", '"temperature":[^,]*', '"temperature":"hot"')).otherwise(F.col("value")))
+
+    def publish(df):
+        df.write.format("noop").mode("overwrite").save()
+
+    def start():
+        raw = file_stream(spark, f"{base}/landed", msgs.schema)
+        parsed = parse_json_column(raw, FLAT_OBSERVATION, raw_col="_raw", bad_col="_bad")
+        writer = classification_batch_writer(publish, rejects_path=f"{base}/rejects", metrics_path=f"{base}/metrics")
+        return (parsed.writeStream.foreachBatch(writer).option("checkpointLocation", f"{base}/checkpoint")
+                .trigger(availableNow=True).start())
+    replay(msgs, time_parts(msgs, "event_time", LANDINGS), LANDINGS, f"{base}/landed", start)
+    m = read_metrics(spark, f"{base}/metrics")
+    why = [F.coalesce(F.col("by_reason")[r], F.lit(0).cast("long")).alias(r)
+           for r in ("unparseable", "missing_time", "wrong_type", "bad_time")]
+    return m.select("epoch", "valid", "rejected", *why, "total_valid", "total_rejected", "success_pct")
+
+
+@register("stream_classify_defaults", with_views(ctes("obs", extra=[
+    "m AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN 'Unknown' ELSE city END AS city, "
+    "CASE WHEN event_id % 7 = 1 THEN 'Unknown' ELSE country END AS country, "
+    "CASE WHEN event_id % 7 = 2 THEN 0 ELSE temperature END AS temperature, "
+    "CASE WHEN event_id % 7 = 3 THEN 0 ELSE windspeed END AS windspeed FROM obs)"]), f"""
+SELECT *, {WIND_LEVEL} AS wind_alert_level, {HEAT_LEVEL} AS heat_alert_level FROM m"""))
+def stream_classify_defaults(spark, sf_dir):
+    """The loop variant of the classification: messages in which a field is
+    really missing get names ``Unknown`` and numbers 0, then their levels."""
+    o, kind = obs_stream(spark, sf_dir), F.col("event_id") % 7
+    fields = {c: F.when(kind != i, F.col(c)).alias(c) for i, c in enumerate(("city", "country", "temperature", "windspeed"))}
+    msgs = o.select("event_id", F.to_json(F.struct(*fields.values())).alias("value"))
+    parsed = parse_json_column(msgs, OBSERVATION, keep=("event_id",)).select("event_id", *fields)
+    path = S.run_append_to_table(J.classify_stream(parsed, defaults=True), "classify_defaults")
+    return spark.read.parquet(path)

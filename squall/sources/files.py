@@ -55,6 +55,19 @@ def catalogue(df: DataFrame) -> DataFrame:
     return df.select("country_dir", "city_dir").distinct().orderBy("country_dir", "city_dir")
 
 
+def split_store(spark: SparkSession, path: str, schema: StructType = STORED_ALERT) -> tuple[DataFrame, DataFrame]:
+    """A location store of JSON Lines as (rows, rejects): lines that are no
+    JSON or have a value of the wrong type are kept as ``_raw`` with their
+    location instead of being skipped; blank lines are neither."""
+    full = StructType([*schema.fields, StructField("_bad", StringType())])
+    lines = spark.read.schema("value string, country_dir string, city_dir string").text(path).filter(F.trim("value") != "")
+    rows = lines.select("country_dir", "city_dir", F.col("value").alias("_raw"), F.from_json(
+        "value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    ok = F.col("r._bad").isNull()
+    return (rows.filter(ok).select(*[F.col(f"r.{n}").alias(n) for n in schema.names], "country_dir", "city_dir"),
+            rows.filter(~ok).select("country_dir", "city_dir", "_raw"))
+
+
 def stored_files(spark: SparkSession, path: str) -> DataFrame:
     """(country_dir, city_dir, file) of every file of a location store, from
     its listing: no file is opened."""

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from squall.functions.classify import with_alert_levels
-from squall.functions.parsing import parse_json_column, split_rejects, tolerant_timestamp
+from squall.functions.parsing import (parse_json_column, reject_reason, split_rejects,
+                                      tolerant_timestamp)
 from squall.operators import anomalies as A
 from squall.operators import reports as RP
 from squall.operators import windows as W
 from squall.schemas import ANOMALY_EVENT, CLASSIFIED_OBSERVATION, FLAT_OBSERVATION
 from squall.streaming import jobs as J
+from squall.streaming import metrics as M
 from squall.streaming import sinks as S
 from squall.streaming.sources import kafka_json_stream, kafka_stream
 
@@ -43,15 +45,22 @@ def classified_from_observations(obs: DataFrame, event_time_col: str = "timestam
 
 
 def classification_batch_writer(publish, console: bool = False,
-                                rejects_path: str | None = None):
+                                rejects_path: str | None = None,
+                                metrics_path: str | None = None):
     """``foreachBatch`` function for parsed observation messages (with their
     raw text in ``_raw``): valid rows are classified and handed to
     ``publish(df)`` (the topic writer) and optionally printed; rejected ones
     — raw text and a reason — go to ``rejects_path/_epoch=N`` instead of
-    vanishing as all-null rows."""
+    vanishing as all-null rows.  With a ``_bad`` column (see
+    ``parse_json_column``) values of the wrong type and messages without a
+    time are rejected too.  ``metrics_path`` gets one row of counts per epoch
+    (see ``streaming.metrics``)."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        valid, rejected = split_rejects(batch, FLAT_OBSERVATION.fieldNames(),
-                                        time_col="timestamp")
+        bad = "_bad" if "_bad" in batch.columns else None
+        rule = {"time_col": "timestamp", "bad_col": bad, "require_time": bad is not None}
+        if metrics_path:
+            M.write_epoch(M.counted(batch, reject_reason(FLAT_OBSERVATION.fieldNames(), **rule)), metrics_path, epoch_id)
+        valid, rejected = split_rejects(batch, FLAT_OBSERVATION.fieldNames(), **rule)
         out = classified_from_observations(valid).withColumn(
             "event_time", F.col("event_time").cast("string"))
         publish(out)
@@ -64,13 +73,14 @@ def classification_batch_writer(publish, console: bool = False,
 
 def start_classification(spark: SparkSession, servers: str, checkpoint_root: str,
                          console: bool = False,
-                         rejects_path: str | None = None) -> StreamingQuery:
+                         rejects_path: str | None = None,
+                         metrics_path: str | None = None) -> StreamingQuery:
     """weather_stream -> classify -> weather_transformed, one read of the
     topic per micro-batch (see ``classification_batch_writer``)."""
     raw = kafka_stream(spark, servers, TOPIC_OBSERVATIONS)
-    parsed = parse_json_column(raw, FLAT_OBSERVATION, raw_col="_raw")
+    parsed = parse_json_column(raw, FLAT_OBSERVATION, raw_col="_raw", bad_col="_bad")
     writer = classification_batch_writer(
-        lambda df: S.batch_to_kafka(df, servers, TOPIC_CLASSIFIED), console, rejects_path)
+        lambda df: S.batch_to_kafka(df, servers, TOPIC_CLASSIFIED), console, rejects_path, metrics_path)
     return (parsed.writeStream.foreachBatch(writer)
             .option("checkpointLocation", f"{checkpoint_root}/classify")
             .queryName("classify").start())

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from squall.folders import delete, mark, names
 from squall.functions.classify import with_alert_levels
 from squall.functions.parsing import with_defaults
 from squall.operators import anomalies as A
@@ -94,6 +95,47 @@ def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_
     return write_batch
 
 
+def publish_profile(profile: DataFrame, root: str) -> int:
+    """Write the profile as the next version under ``root``; returns it.
+    Versions are never changed, so what an epoch has used stays readable."""
+    spark = profile.sparkSession
+    version = 1 + max((int(n.removeprefix("v=")) for n in names(spark, root) if n.startswith("v=")), default=0)
+    profile.write.parquet(f"{root}/v={version}")
+    return version
+
+
+def profile_version(spark: SparkSession, root: str, used: str, epoch_id: int) -> int:
+    """The profile version of an epoch: the one noted when the epoch was
+    first tried, else the newest whole one, which is noted.  A retry thus
+    uses the same profile even if a newer one was published meanwhile."""
+    noted = dict(map(int, n.split("_")) for n in names(spark, used))
+    if epoch_id not in noted:
+        whole = [int(n.removeprefix("v=")) for n in names(spark, root)
+                 if n.startswith("v=") and "_SUCCESS" in names(spark, f"{root}/{n}")]
+        if not whole:
+            raise FileNotFoundError(f"no profile under {root}")
+        noted[epoch_id] = max(whole)
+        mark(spark, f"{used}/{epoch_id:012d}_{noted[epoch_id]}")
+        # epochs before the last one are committed and never tried again
+        for old, version in noted.items():
+            if old < epoch_id - 1:
+                delete(spark, f"{used}/{old:012d}_{version}")
+    return noted[epoch_id]
+
+
+def versioned_anomaly_writer(profile_root: str, base_dir: str, ts_col: str = "event_time", digits: int | None = None):
+    """``foreachBatch`` function like ``anomaly_batch_writer`` over the
+    versions of ``publish_profile``; rows carry the version they were checked
+    against (``profile_version``)."""
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        version = profile_version(spark, profile_root, f"{base_dir}/used", epoch_id)
+        base = A.baseline(spark.read.parquet(f"{profile_root}/v={version}"), digits=digits)
+        found = A.detect_anomalies(batch, base, ts_col).withColumn("profile_version", F.lit(version))
+        found.write.mode("overwrite").parquet(f"{base_dir}/data/_epoch={epoch_id}")
+    return write_batch
+
+
 def run_anomaly_stream(observations: DataFrame, profile_path: str, base_dir: str,
                        available_now: bool = True) -> str:
     out = f"{base_dir}/data"

@@ -19,31 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-EVERY = 8
-
-
-def _folder(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
+from squall.folders import delete, mark, names
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _folder(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _folder(spark, path)
-    fs.delete(p, True)
+EVERY = 8
 
 
 def pointers(spark: SparkSession, base: str) -> list[tuple[int, int]]:
     """(snapshot, last epoch in it), oldest first."""
-    return [tuple(map(int, n.split("_"))) for n in _names(spark, f"{base}/pointers")]
+    return [tuple(map(int, n.split("_"))) for n in names(spark, f"{base}/pointers")]
 
 
 def epochs(spark: SparkSession, base: str) -> list[int]:
-    return sorted(int(n.removeprefix("_epoch=")) for n in _names(spark, f"{base}/epochs") if n.startswith("_epoch="))
+    return sorted(int(n.removeprefix("_epoch=")) for n in names(spark, f"{base}/epochs") if n.startswith("_epoch="))
 
 
 def _rows(spark: SparkSession, base: str, keys: list[str], schema: StructType, upto: int | None = None) -> DataFrame:
@@ -53,7 +40,7 @@ def _rows(spark: SparkSession, base: str, keys: list[str], schema: StructType, u
     parts = [spark.read.schema(full).parquet(f"{base}/snapshots/{version}")] if version else []
     # _SUCCESS tells a whole folder from one that a lost attempt left behind
     new = [f"{base}/epochs/_epoch={n}" for n in epochs(spark, base) if n > done and (upto is None or n <= upto)]
-    new = [p for p in new if "_SUCCESS" in _names(spark, p)]
+    new = [p for p in new if "_SUCCESS" in names(spark, p)]
     if new:
         parts.append(spark.read.schema(full).option("basePath", f"{base}/epochs").parquet(*new))
     df = parts[0] if parts else spark.createDataFrame([], full)
@@ -76,16 +63,14 @@ def compact(spark: SparkSession, base: str, keys: list[str], schema: StructType,
         return
     # a folder of this number without a pointer is left from a lost attempt
     _rows(spark, base, keys, schema, upto).write.mode("overwrite").parquet(f"{base}/snapshots/{version + 1}")
-    fs, p = _folder(spark, f"{base}/pointers/{version + 1:09d}_{upto:012d}")
-    fs.mkdirs(p.getParent())
-    if not fs.createNewFile(p):
-        raise RuntimeError(f"{p} stands already: two writers on one table")
+    if not mark(spark, pointer := f"{base}/pointers/{version + 1:09d}_{upto:012d}"):
+        raise RuntimeError(f"{pointer} stands already: two writers on one table")
     for n in epochs(spark, base):
         if n <= done:
-            _delete(spark, f"{base}/epochs/_epoch={n}")
+            delete(spark, f"{base}/epochs/_epoch={n}")
     for old, last in known[:-1]:
-        _delete(spark, f"{base}/snapshots/{old}")
-        _delete(spark, f"{base}/pointers/{old:09d}_{last:012d}")
+        delete(spark, f"{base}/snapshots/{old}")
+        delete(spark, f"{base}/pointers/{old:09d}_{last:012d}")
 
 
 def update_writer(base: str, keys: list[str], schema: StructType, every: int = EVERY) -> Callable[[DataFrame, int], None]:
