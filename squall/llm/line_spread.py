@@ -5,8 +5,7 @@ sketches of the sites it occurs on are merged by aggregation, and lines whose
 estimate lies near the limit get an exact distinct count.  Lines on
 ``min_sites`` sites or more are cross-site boilerplate: every occurrence goes
 except the one in the document with the smallest id, so no content is lost
-altogether.  With ``fold_digits`` every run of digits counts as 0 as well (as
-the query's SQL has it): lines that differ only in their numbers are then one
+altogether.  With ``fold_digits`` every run of digits counts as 0 as well: lines that differ only in their numbers are then one
 line, and those of other documents than the first are lost.
 
 The sketches merge map-side, so a line that a third of all documents share
@@ -96,7 +95,7 @@ def line_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", s
 
 SQL = rf"""
 WITH l AS (SELECT doc_id, source, i, ls[i] AS line,
-    trim(regexp_replace(regexp_replace(lower(ls[i]), '[0-9]+', '0', 'g'), '[ \t\x0B\f\r]+', ' ', 'g')) AS k
+    trim(regexp_replace(lower(ls[i]), '[ \t\x0B\f\r]+', ' ', 'g')) AS k
   FROM (SELECT doc_id, source, ls, unnest(range(1, len(ls) + 1)) AS i
         FROM (SELECT doc_id, source, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents))),
 s AS (SELECT k, min(doc_id) AS first_id, count(DISTINCT coalesce(source, chr(0))) AS n FROM l WHERE k <> '' GROUP BY 1),

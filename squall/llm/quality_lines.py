@@ -2,7 +2,9 @@
 
 Every line is normalised and hashed together with its host; distinct
 documents per (host, line) are counted, lines above the limit are removed,
-and a document that loses too much of its text is rejected.  Only built-in
+and a document that loses too much of its text is rejected.  The limit is a
+share of the host's documents, so a verdict does not depend on the size of the
+table, with a least number of documents below which a share says little.  Only built-in
 functions are used.
 
 A document contributes each of its distinct lines once, so the counts are
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from squall.llm.common import BLANKS, WORD, null_safe, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
-MAX_DOCS_PER_HOST = 100
+MAX_DOCS_PER_HOST, MAX_SHARE = 10, 0.05  # whichever is more
 MIN_KEPT_SHARE = 0.5
 MIN_WORDS = 50
 
@@ -47,7 +49,7 @@ def _line_key(host: Column, line: Column) -> Column:
 
 def line_structs(host: Column, text: Column) -> Column:
     """Array of (key, words) of the distinct normalised lines with a word."""
-    lines = F.transform(F.split(normalise_lines(text), "\n", -1), F.trim)
+    lines = F.transform(F.split(normalise_lines(text), "\n", -1), lambda x: F.trim(x))
     lines = F.array_distinct(F.filter(lines, lambda x: x != ""))
     return F.transform(lines, lambda x: F.struct(
         F.xxhash64(host, x).alias("key"), F.size(F.split(x, " ")).alias("w")))
@@ -84,14 +86,18 @@ def base_metrics(docs: DataFrame, text: str) -> DataFrame:
             .drop("__words", "__hash", "__sorted", "__at", "__lines"))
 
 
-def frequent_lines(docs: DataFrame, limit: int, *, doc_id: str, text: str, host: str) -> DataFrame:
-    """(key) of the (host, line) pairs in more than ``limit`` documents."""
-    keys = docs.select(F.explode(line_structs(F.col(host), text_or_empty(text))["key"]).alias("key"))
-    return keys.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > limit)
+def frequent_lines(docs: DataFrame, limit: int, share: float, *, doc_id: str, text: str, host: str) -> DataFrame:
+    """(key) of the (host, line) pairs in more than ``limit`` documents and
+    more than ``share`` of the host's."""
+    at = F.xxhash64(F.struct(host)).alias("at")
+    keys = docs.select(at, F.explode(line_structs(F.col(host), text_or_empty(text))["key"]).alias("key"))
+    many = keys.groupBy("key", "at").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") > limit)
+    hosts = docs.groupBy(at).agg(F.count(F.lit(1)).alias("n_host"))
+    return many.join(hosts, "at").filter(F.col("n_docs") > share * F.col("n_host")).select("key")
 
 
 def line_frequency_rules(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
-                         host: str = "source", max_docs_per_host: int = MAX_DOCS_PER_HOST,
+                         host: str = "source", max_docs_per_host: int = MAX_DOCS_PER_HOST, max_share: float = MAX_SHARE,
                          min_kept_share: float = MIN_KEPT_SHARE,
                          min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of ``docs`` plus the base counts, the line verdict and
@@ -102,7 +108,7 @@ def line_frequency_rules(docs: DataFrame, *, doc_id: str = "doc_id", text: str =
     """
     rest = [c for c in docs.columns if c not in _OUT]
     own = docs.select(*rest)
-    over = frequent_lines(docs, max_docs_per_host, doc_id=doc_id, text=text, host=host)
+    over = frequent_lines(docs, max_docs_per_host, max_share, doc_id=doc_id, text=text, host=host)
     rows = docs.select(F.col(doc_id).alias("__id"), F.explode(
         line_structs(F.col(host), text_or_empty(text))["key"]).alias("key"))
     hits = (rows.join(over.select("key"), "key").groupBy("__id")
@@ -142,10 +148,12 @@ dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM ln
 nl AS (SELECT DISTINCT doc_id, source, trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'),
         '[ \t\x0B\f\r]+', ' ', 'g')) AS l FROM ln),
 nw AS (SELECT *, len(string_split(l, ' ')) AS w FROM nl WHERE l <> ''),
-fr AS (SELECT *, count(*) OVER (PARTITION BY source, l) AS n FROM nw),
+hs AS (SELECT source AS host, count(*) AS n_host FROM documents GROUP BY 1),
+fr AS (SELECT nw.*, n > {MAX_DOCS_PER_HOST} AND n > CAST({MAX_SHARE} AS DOUBLE) * n_host AS often
+       FROM (SELECT *, count(*) OVER (PARTITION BY source, l) AS n FROM nw) nw JOIN hs ON source IS NOT DISTINCT FROM host),
 ag AS (SELECT doc_id, sum(w)::BIGINT AS n_line_words,
-       coalesce(sum(w) FILTER (n <= {MAX_DOCS_PER_HOST}), 0)::BIGINT AS n_kept_line_words,
-       count(*) FILTER (n > {MAX_DOCS_PER_HOST}) AS n_frequent_lines FROM fr GROUP BY 1),
+       coalesce(sum(w) FILTER (NOT often), 0)::BIGINT AS n_kept_line_words,
+       count(*) FILTER (often) AS n_frequent_lines FROM fr GROUP BY 1),
 b AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words,
       length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
       (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,

@@ -14,6 +14,8 @@ def test_query_matches_sql(spark, duck, name):
     want = duck.execute(corpus.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
+    # one pandas form for whole numbers with nulls
+    got = got.astype({c: t for c, t in want.dtypes.items() if str(t) == "Int64"})
     ok, diff = same_rows(got, want)
     assert ok, diff
 
