@@ -131,6 +131,17 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, text.split()))
 
 
+def encoder(path: str) -> Encoder:
+    """The worker process's encoder of a vocabulary: opened once, and its memo
+    (bounded) serves all tasks that the worker runs."""
+    import tokenizers  # a module of the worker's own, unlike this one, which travels with each task
+    held = tokenizers.__dict__.setdefault("__squall_encoders__", {})
+    if path not in held:
+        held.clear()
+        held[path] = Encoder(path)
+    return held[path]
+
+
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -194,7 +205,7 @@ def _writer(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, seq = TaskContext.get().partitionId(), 0
-        enc = Encoder(path)
+        enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
         ids: list[bytes] = []
         docs: list[int | None] = []
