@@ -171,15 +171,18 @@ def license_scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     entire document is no known text), ``licenses`` (sorted ids found in any
     unit), ``n_paragraph_hits`` and ``n_line_hits`` (distinct texts)."""
     table = F.broadcast(known_digests(docs.sparkSession, known))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), canonical(text_or_empty(text)).alias("__c"))
-    found = (rows.select("doc_id", F.xxhash64("__c").alias("__h"), F.explode(_units(F.col("__c"))).alias("u"))
+    # the raw text's hash leads matches back to their row, so the canonical form is made once
+    rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("__t"),
+                       F.xxhash64(text_or_empty(text)).alias("__h"))
+    found = (rows.select("doc_id", "__h", canonical(F.col("__t")).alias("__c"))
+             .select("doc_id", "__h", F.explode(_units(F.col("__c"))).alias("u"))
              .select("doc_id", "__h", "u.*").join(table, "digest")
              .groupBy("doc_id", "__h")
              .agg(F.min(F.when(F.col("kind") == "text", F.col("license_id"))).alias("whole_license"),
                   F.sort_array(F.collect_set("license_id")).alias("licenses"),
                   F.count_distinct(F.when(F.col("kind") == "paragraph", F.col("digest"))).alias("n_paragraph_hits"),
                   F.count_distinct(F.when(F.col("kind") == "line", F.col("digest"))).alias("n_line_hits")))
-    a, b = rows.select("doc_id", F.xxhash64("__c").alias("__h")).alias("a"), found.alias("b")
+    a, b = rows.select("doc_id", "__h").alias("a"), found.alias("b")
     zero = F.lit(0).cast("long")
     return (a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.__h") == F.col("b.__h")), "left")
             .select("a.doc_id", "whole_license",
