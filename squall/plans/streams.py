@@ -125,7 +125,11 @@ def stream_store(spark, sf_dir):
 # --- several runs on one checkpoint -----------------------------------------
 
 LANDINGS, LATE_LANDINGS, LATE_EVERY = 4, 5, 50
-_UNTIMED = {"window_start": F.col("window_start").cast("timestamp_ntz"), "window_end": F.col("window_end").cast("timestamp_ntz")}
+
+
+def _untimed(windows):
+    """Window bounds without a zone, as the SQL has them."""
+    return windows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 def _window_table(spark, sf_dir, name, kind, part, n, every=2):
@@ -136,7 +140,7 @@ def _window_table(spark, sf_dir, name, kind, part, n, every=2):
     loc, schemas = locations(spark, sf_dir), []
 
     def write(rows, epoch_id):
-        rows = rows.withColumns(_UNTIMED)
+        rows = _untimed(rows)
         schemas.append(rows.schema)
         update_writer(f"{base}/{kind}", W.WINDOW_KEYS[kind], rows.schema, every)(rows, epoch_id)
 
