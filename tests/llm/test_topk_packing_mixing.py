@@ -57,23 +57,28 @@ def test_topk_large_group_of_equal_vectors(spark):
 
 
 def plain_pack(lengths, capacities, open_cost):
-    """Best fit with trial filling of every capacity, by scanning lists."""
+    """Best fit over all open bins, by scanning lists: bins as [room, time of
+    the last change, pieces]."""
     waiting, bins = sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)), []
-    while waiting:
-        best = None
-        for c in sorted(capacities):
-            if c >= lengths[waiting[0]]:
-                room, chosen = c, []
-                for i in waiting:  # the longest that fits, again and again
-                    if lengths[i] <= room:
-                        chosen.append(i)
-                        room -= lengths[i]
-                cost = (c + open_cost) / (c - room)
-                if best is None or cost <= best[0]:
-                    best = (cost, chosen, c - room)
-        bins.append((min(c for c in capacities if c >= best[2]), best[1]))
-        waiting = [i for i in waiting if i not in set(best[1])]
-    return bins
+    for at, i in enumerate(waiting):
+        n = lengths[i]
+        holds = [b for b in bins if b[0] >= n]
+        if not holds:
+            left = sum(lengths[k] for k in waiting[at + 1:]) - sum(b[0] for b in bins)
+            costs = []
+            for c in capacities:
+                room = c - n
+                for k in waiting[at + 1:]:  # on trial: the longest that fits, again and again
+                    room -= lengths[k] if lengths[k] <= room else 0
+                if c >= n:
+                    costs.append(((c + open_cost) / (n + min(c - n - room, max(0, left))), -c))
+            holds = [[-min(costs)[1], 0, []]]
+            bins += holds
+        best = min(holds, key=lambda b: (b[0], -b[1]))
+        best[0] -= n
+        best[1] = at
+        best[2].append(i)
+    return [(min(c for c in capacities if c >= sum(lengths[i] for i in m)), m) for _, _, m in bins]
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -119,6 +124,22 @@ def test_packing_of_the_table_wastes_little(spark, real_rows):
     assert OPEN_COST > 0
 
 
+@pytest.mark.parametrize("parts", [1, 8, 64])
+def test_packing_of_many_small_inputs_fills_as_well(spark, docs_of, parts):
+    rnd = random.Random(parts)
+    rows = [(i, " ".join(["w"] * rnd.randint(1, 900))) for i in range(640)]
+    whole = pack([len(t.split()) for _, t in rows])  # all in one go
+    got = best_fit_pack(docs_of(rows).repartition(parts)).collect()
+    assert sorted((r["doc_id"], r["length"]) for r in got) == sorted((i, len(t.split())) for i, t in rows)
+    bins, held = {}, Counter()
+    for r in got:
+        k = r["bin_part"], r["bin_chunk"], r["bin_no"]
+        bins[k] = r["capacity"]
+        held[k] += r["length"]
+    assert all(held[k] <= c for k, c in bins.items())
+    assert sum(bins.values()) <= 1.03 * sum(c for c, _ in whole)
+
+
 @pytest.mark.parametrize("shares", [{"a": 1}, {"a": 1, "b": 1}, {"a": 500, "b": 333, "c": 167}, {"a": 997, "b": 1, None: 2},
                                     {f"s{i}": 1 + i * i % 17 for i in range(30)}])
 def test_edf_stays_within_one_block(shares):
