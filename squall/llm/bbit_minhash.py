@@ -20,8 +20,10 @@ falls below the cut with probability 1e-5.
 Defined cases: a null or blank text has an empty set and links with nothing;
 with fewer words than the shingle size the whole sequence is one shingle;
 rows that repeat a ``doc_id`` are one document (any of their texts may link);
-a null ``doc_id`` may join a component through equal sets but never names
-one; sets are compared by 64-bit shingle hashes; an empty table gives an
+a row with a null ``doc_id`` is a document of its own (rows without id and of
+equal text are one), known inside by the 64-bit hash of its text: it links like
+any other but never names a component, and one without any id has a null
+``component_id``; sets are compared by 64-bit shingle hashes; an empty table gives an
 empty result.
 """
 
@@ -51,7 +53,7 @@ _rng = np.random.default_rng(20240229)
 _MIX = _rng.integers(0, 2 ** 64, 64, dtype=np.uint64) | np.uint64(1)
 _XOR = _rng.integers(0, 2 ** 64, MINIMA, dtype=np.uint64)
 _MUL = _rng.integers(0, 2 ** 64, MINIMA, dtype=np.uint64) | np.uint64(1)
-_FEATURES = "doc_id long, n_shingles long, d0 long, d1 long, bands array<long>, sig array<long>"
+_FEATURES = "node long, doc_id long, n_shingles long, d0 long, d1 long, bands array<long>, sig array<long>"
 
 
 class _WordHash(dict):
@@ -107,25 +109,31 @@ def _features(size: int):
         words = _WordHash()
         for b in batches:
             rows = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for k, i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 s = shingle_set(t.as_py() or b"", words, size)
                 if len(s):
                     d = xxhash.xxh3_128_digest(s.tobytes())
                     low = minima(s)
-                    rows.append((i, len(s), int.from_bytes(d[:8], "little", signed=True),
+                    rows.append((k, i, len(s), int.from_bytes(d[:8], "little", signed=True),
                                  int.from_bytes(d[8:], "little", signed=True), band_keys(low), packed(low)))
                 else:
-                    rows.append((i, 0, None, None, None, None))
-            cols = list(zip(*rows, strict=True)) or [()] * 6
+                    rows.append((k, i, 0, None, None, None, None))
+            cols = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.list_(pa.int64())] * 2, strict=True)],
+                [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2, strict=True)],
                 [x.split()[0] for x in _FEATURES.split(", ")])
     return run
 
 
+def node(doc_id: str, text: str) -> Column:
+    """The number by which links know a row: its id, or its text's hash."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(F.lit("no id"), F.col(text).cast("string")))
+
+
 def features(docs: DataFrame, *, doc_id: str, text: str, size: int) -> DataFrame:
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("t"))
+    rows = docs.select(node(doc_id, text).alias("node"), F.col(doc_id).cast("long").alias("doc_id"),
+                       F.col(text).cast("string").cast("binary").alias("t"))
     return rows.mapInArrow(_features(size), _FEATURES)
 
 
@@ -279,9 +287,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     bounded_batches(docs.sparkSession)
     f = cut_lineage(features(docs, doc_id=doc_id, text=text, size=shingle))
     classes = (f.filter("n_shingles > 0").groupBy("d0", "d1")
-               .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
-    classes = cut_lineage(classes)
-    reps = classes.filter(F.col("rep").isNotNull())
+               .agg(F.coalesce(F.min("doc_id"), F.min("node")).alias("rep"), F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    reps = classes = cut_lineage(classes)
     # band buckets, their two centres, and the members' pairs with them
     members = reps.select("rep", F.explode("bands").alias("key"))
     centres = (members.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
@@ -291,7 +298,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
             .select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct())
     star = cut_lineage(star)
     known = star.select(F.col("a").alias("rep")).union(star.select("b")).distinct()
-    rows = docs.select(F.col(doc_id).cast("long").alias("rep"),
+    rows = docs.select(node(doc_id, text).alias("rep"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("t"))
     texts = cut_lineage(rows.join(known, "rep"))
     sigs = cut_lineage(reps.select("rep", "sig", "bands").join(known, "rep"))
@@ -320,8 +327,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     across = confirmed(across.select(F.col("p.rep").alias("a"), F.col("q.rep").alias("b")), texts, shingle, percent)
     # links between components on top of those inside them
     final = components(links.union(within).union(across))
-    named = classes.select("d0", "d1", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "d0", "d1", F.coalesce("comp", "rep").alias("comp"))
+    # the node that names a component inside may be a hash: its smallest id counts
+    final = final.withColumnRenamed("node", "rep")
+    least = final.join(classes.select("rep", "id"), "rep").groupBy("comp").agg(F.min("id").alias("least"))
+    named = classes.select("d0", "d1", "id", "rep").join(final.join(least, "comp"), "rep", "left").select(
+        "d0", "d1", F.coalesce("least", "id").alias("comp"))
     out = f.select("doc_id", "n_shingles", "d0", "d1").join(named, ["d0", "d1"], "left")
     component = F.when(F.col("d0").isNull(), F.col("doc_id")).otherwise(F.col("comp"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),

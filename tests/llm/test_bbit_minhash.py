@@ -83,6 +83,22 @@ def test_repeated_rows_null_ids_clashing_names_and_empty(spark, docs_of):
                    ("None", "None", True)]
 
 
+def test_documents_without_id_link_like_others(docs_of):
+    words = [f"n{i}" for i in range(60)]
+    near = [" ".join([*words[:k], "other", *words[k + 1:]]) for k in (0, 59)]
+    far = [" ".join(f"f{k}" for k in range(i * 100, i * 100 + 40)) for i in range(3)]
+    rows = [(None, near[0]), (None, near[1]), (5, " ".join(words)), (None, far[0]), (None, far[0] + " end"), (9, far[1])]
+    got = sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"], r["n_shingles"])
+                 for r in M.near_duplicates(docs_of(rows), shingle=4).collect())
+    assert got == [("5", "5", True, 57), ("9", "9", True, 37), ("None", "5", False, 57), ("None", "5", False, 57),
+                   ("None", "None", True, 37), ("None", "None", True, 38)]
+    # a chain whose middle has no id holds its ends together
+    chain = [" ".join(words[i * 6:i * 6 + 60 - 12]) for i in range(3)]
+    ends = {r["doc_id"]: r["component_id"] for r in M.near_duplicates(
+        docs_of([(1, chain[0]), (None, chain[1]), (2, chain[2])]), shingle=4, percent=70).collect()}
+    assert ends == {1: 1, 2: 1, None: 1}
+
+
 def test_very_long_text(docs_of):
     words = [f"v{i}" for i in range(60_000)]
     rows = [(1, " ".join(words)), (2, " ".join(words[3000:])), (3, " ".join(words[20_000:]))]
