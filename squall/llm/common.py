@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +40,19 @@ def bounded_batches(spark: SparkSession, rows: int = 2000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def byte_slices(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches of rows whose last column (binary) holds at most
+    ``limit`` bytes together; a longer value is a stretch of its own."""
+    first = held = 0
+    for i, n in enumerate(pc.binary_length(batch.column(batch.num_columns - 1)).to_pylist()):
+        if i > first and held + (n or 0) > limit:
+            yield batch.slice(first, i - first)
+            first, held = i, 0
+        held += n or 0
+    if batch.num_rows > first:
+        yield batch.slice(first)
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

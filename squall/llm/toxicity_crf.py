@@ -12,7 +12,8 @@ of words with a marginal of one half or more are the offending spans.
 The model is fitted on a bounded sample of labelled rows (``MAX_CLEAN`` and
 ``MAX_TOXIC`` documents of at most ``MAX_BYTES`` bytes, the smallest hashes of
 the id); its size is fixed (2**18 weights), so it travels with the task.
-Scoring runs over all documents and whole texts in one pass without a shuffle.
+Scoring runs over all documents and whole texts in one pass without a shuffle,
+about a megabyte of text at a time.
 
 Defined cases: a null text is empty; an empty text has the score of no
 evidence; rows with the same ``doc_id`` are scored each; a null id is never
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squall.llm.common import bounded_batches
+from squall.llm.common import bounded_batches, byte_slices
 
 MAX_CLEAN, MAX_TOXIC, MAX_BYTES = 1800, 1200, 12_000
 SPACE = 1 << 18
@@ -193,6 +194,7 @@ def train(texts: list[bytes], toxic: list[int], prior: float | None = None) -> M
         return None
     first = np.zeros(len(word), bool)
     first[(np.cumsum(lens) - lens)[lens > 0]] = True
+    del docs, copies, ids
     gold = marked[word] & np.repeat(y, lens)
     feats = [word_features(w) for w in types]
     f_len = np.array([len(f) for f in feats])
@@ -283,7 +285,7 @@ def _scorer(model: Model | None):
             return e
 
         span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
-        for b in batches:
+        for b in (part for whole in batches for part in byte_slices(whole)):
             folded = [(t.as_py() or b"").translate(_FOLD) for t in b.column(b.num_columns - 1)]
             docs = [t.split() for t in folded] if model else [[]] * len(folded)
             lens = np.array([len(d) for d in docs], np.int64)

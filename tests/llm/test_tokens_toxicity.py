@@ -169,3 +169,14 @@ def test_chain_is_the_sum_over_all_taggings():
             marg += w * np.array(tags)
         assert np.allclose(got[at:at + n], marg / total, atol=1e-9)
         at += n
+
+
+def test_byte_slices_keep_every_row():
+    import pyarrow as pa
+
+    from squall.llm.common import byte_slices
+    texts = [b"a" * 5, None, b"", b"b" * 30, b"c" * 4, b"d" * 6, b"e", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts, pa.binary())], ["k", "t"])
+    parts = [p.column(1).to_pylist() for p in byte_slices(batch, 10)]
+    assert parts == [texts[:3], texts[3:4], texts[4:6], texts[6:]]
+    assert list(byte_slices(batch.slice(0, 0))) == []
