@@ -53,9 +53,12 @@ def pack_archive(daily: DataFrame) -> DataFrame:
 
     Rows are first made unique per (location, date), so each group holds at
     most one row per calendar day (366) and the sorted ``collect_list`` is
-    bounded whatever the data volume.
+    bounded whatever the data volume.  Of conflicting rows for a day the least
+    one (by its measures in the order of ``ARCHIVE_FIELDS``, null first)
+    stays; ``archive_conflicts`` counts them.
     """
-    daily = daily.dropDuplicates(["country", "city", "latitude", "longitude", "date"])
+    keys, values = [*HEADER, "date"], [dst for _, dst in ARCHIVE_FIELDS if dst != "date"]
+    daily = daily.groupBy(*keys).agg(F.min(F.struct(*values)).alias("least")).select(*keys, "least.*")
     day = F.struct(*[F.col(dst).alias(src) if dst != "date"
                      else F.col("date").cast("string").alias("time")
                      for src, dst in ARCHIVE_FIELDS])
@@ -68,6 +71,16 @@ def pack_archive(daily: DataFrame) -> DataFrame:
     return grouped.select(*HEADER, "year", arrays.alias("daily"))
 
 
+def archive_conflicts(daily: DataFrame) -> DataFrame:
+    """Days that ``daily`` holds with different measures: the location, the
+    date, ``n_rows`` and ``n_versions`` (distinct rows, one of which
+    ``pack_archive`` keeps)."""
+    keys, values = [*HEADER, "date"], [dst for _, dst in ARCHIVE_FIELDS if dst != "date"]
+    versions = daily.groupBy(*keys, *values).agg(F.count(F.lit(1)).alias("n"))
+    return (versions.groupBy(*keys).agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_versions"))
+            .filter("n_versions > 1"))
+
+
 # Current-weather API fields and the observation column each one fills.
 CURRENT_FIELDS = [
     ("temperature_2m", "temperature"),

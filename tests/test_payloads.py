@@ -96,3 +96,22 @@ def test_gazetteer_resolution_matches_per_request_rule(spark):
            for r in PL.resolve_against_gazetteer(req, cands).collect()}
     assert got == {("Paris", "us"): ("Texas", True), ("Paris", "DE"): ("IDF", False),
                    ("Lyon", "FR"): ("ARA", True), ("Nowhere", "FR"): (None, False)}
+
+
+def test_conflicting_days_keep_the_least_row_and_are_counted(spark):
+    cols = ("date string, city string, country string, latitude double, longitude double, "
+            "temp_max double, temp_min double, temp_mean double, precipitation double, "
+            "rain double, snowfall double, windspeed_max double, windgusts_max double, "
+            "weather_code int")
+
+    def day(date, temp_max, code):
+        return (date, "A", "X", 1.0, 2.0, temp_max, 0.0, 5.0, 1.0, 0.5, 0.0, 3.0, 6.0, code)
+    rows = [day("2020-01-01", 9.0, 2), day("2020-01-01", 8.0, 3), day("2020-01-01", 9.0, 2),
+            day("2020-01-02", None, 1), day("2020-01-02", 7.0, 1), day("2020-01-03", 4.0, 5), day("2020-01-03", 4.0, 5)]
+    for order in (rows, rows[::-1]):
+        daily = spark.createDataFrame(order, cols).withColumnRenamed("date", "d").selectExpr(
+            "cast(d as date) as date", "* except (d)").repartition(4)
+        got = sorted((str(r.date), r.temp_max, r.weather_code) for r in PL.explode_archive(PL.pack_archive(daily)).collect())
+        assert got == [("2020-01-01", 8.0, 3), ("2020-01-02", None, 1), ("2020-01-03", 4.0, 5)]
+        assert sorted((str(r.date), r.n_rows, r.n_versions) for r in PL.archive_conflicts(daily).collect()) == [
+            ("2020-01-01", 3, 2), ("2020-01-02", 2, 2)]
