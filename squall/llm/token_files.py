@@ -6,15 +6,20 @@ lost task is simply written again.  A block holds
 
 * ``ids``: the raw token ids of its documents, one after another, little
   endian, ``width`` bytes each (2 if the vocabulary allows, else 4);
-* ``doc_ids``, ``starts``: the documents in order and where each begins;
-* ``seeds``, ``prints``, ``places``: the index.  A key's hash names a seed
-  bucket, hash and seed name one of as many slots as there are keys, and the
-  slot holds the key's 16-bit fingerprint and its place in the block.  A
-  lookup reads one seed, one slot and one stretch of ids.
+* ``doc_ids``, ``starts``: the documents in order and where each begins.
 
-``part`` and ``seq`` order the blocks.  Global offsets are prefix sums over the
+``part`` and ``seq`` order the blocks (``block`` is both in one number), each in
+a row group of its own or nearly so.  Global offsets are prefix sums over the
 blocks' totals, so no task sees more than the totals.
 
+Beside the blocks (``ids``) stands the index over all keys (``index``).  A key's
+hash names one of ``shards`` index rows of about ``SHARD_KEYS`` keys; in it
+another hash names a seed bucket, hash and seed name one of as many slots as
+the row has keys, and the slot holds the key's 16-bit fingerprint, its block
+and its place there.  So a lookup reads one index row, in a folder found from
+the key, and one block, in a file found from the entry, however many there
+are; the rows are built in Spark, one group per shard.
+
 Defined cases: a null or empty text is the end id alone; rows that repeat a
 ``doc_id`` stand next to each other ordered by text, share one index entry
 that finds the first, and each has its row; a null ``doc_id`` comes first and is not
@@ -29,10 +34,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from squall.folders import names
 from squall.llm.common import bounded_batches, cut_lineage, drop_path
 from squall.session import scratch_path
 
@@ -40,11 +47,18 @@ END_ID = 1
 BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 4096
 _KEPT = 400_000
-_BLOCK = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("first_id", pa.int64()), ("last_id", pa.int64()),
-                    ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("width", pa.int32())]
-                   + [(n, pa.binary()) for n in ("ids", "doc_ids", "nulls", "starts", "seeds", "prints", "places")])
-_BLOCK_SQL = ("part int, seq int, first_id long, last_id long, n_docs int, n_ids long, width int, ids binary, "
-              "doc_ids binary, nulls binary, starts binary, seeds binary, prints binary, places binary")
+SHARD_KEYS = 4096
+GROUP_SHARDS = 256
+_BLOCK = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("seq", pa.int32()), ("first_id", pa.int64()),
+                    ("last_id", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("width", pa.int32())]
+                   + [(n, pa.binary()) for n in ("ids", "doc_ids", "nulls", "starts")])
+_BLOCK_SQL = ("block long, part int, seq int, first_id long, last_id long, n_docs int, n_ids long, width int, "
+              "ids binary, doc_ids binary, nulls binary, starts binary")
+_ENTRY = "doc_id long, block long, place int"
+_INDEX = "shard long, shards long, seeds binary, prints binary, blocks binary, places binary"
+# a row group is closed after every row that fills it
+_ROW_GROUPS = {"parquet.block.size": str(1 << 20), "parquet.block.size.row.check.min": "1",
+               "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 
 # Fixed value: the split pattern of the vocabulary whose words are memoised
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -215,13 +229,10 @@ def _writer(path: str, end_id: int):
             null = np.array([d is None for d in docs])
             keys = np.array([d or 0 for d in docs], np.int64)
             starts = np.cumsum([0, *(len(x) // enc.dtype.itemsize for x in ids)]).astype("<u8")
-            own, first = np.unique(keys[~null], return_index=True)
-            seeds, prints, places = build_index(own)
-            places = np.flatnonzero(~null)[first][places] if len(own) else places
-            row = [part, seq, int(own[0]) if len(own) else None, int(own[-1]) if len(own) else None, len(docs),
-                   int(starts[-1]), enc.dtype.itemsize, b"".join(ids), keys.astype("<i8").tobytes(), null.tobytes(),
-                   starts.tobytes(), seeds.astype("<u4").tobytes(), prints.astype("<u2").tobytes(),
-                   np.asarray(places).astype("<u4").tobytes()]
+            own = keys[~null]
+            row = [part << 32 | seq, part, seq, int(own[0]) if len(own) else None, int(own[-1]) if len(own) else None,
+                   len(docs), int(starts[-1]), enc.dtype.itemsize, b"".join(ids), keys.astype("<i8").tobytes(),
+                   null.tobytes(), starts.tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
 
         for b in batches:
@@ -238,12 +249,16 @@ def _writer(path: str, end_id: int):
 
 
 def write_token_files(docs: DataFrame, path: str, *, tokenizer: str | None = None, doc_id: str = "doc_id",
-                      text: str = "text", end_id: int = END_ID) -> None:
-    """Write all documents' ids, in ascending id order, under ``path``."""
-    bounded_batches(docs.sparkSession)
+                      text: str = "text", end_id: int = END_ID, shard_keys: int = SHARD_KEYS) -> None:
+    """Write all documents' ids, in ascending id order, and their index
+    under ``path``."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("t"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "t")
-    ordered.mapInArrow(_writer(tokenizer or vocabulary_path(), end_id), _BLOCK_SQL).write.parquet(path)
+    (ordered.mapInArrow(_writer(tokenizer or vocabulary_path(), end_id), _BLOCK_SQL)
+     .write.options(**_ROW_GROUPS).parquet(f"{path}/ids"))
+    _write_index(spark, path, shard_keys)
 
 
 class Block:
@@ -254,19 +269,95 @@ class Block:
         self.doc_ids = np.frombuffer(row["doc_ids"], "<i8")
         self.nulls = np.frombuffer(row["nulls"], bool)
         self.starts = np.frombuffer(row["starts"], "<u8").astype(np.int64)
-        self.index = tuple(np.frombuffer(row[n], t) for n, t in (("seeds", "<u4"), ("prints", "<u2"), ("places", "<u4")))
-
-    def places(self, keys: np.ndarray) -> np.ndarray:
-        """First place of each key, -1 if the block does not have it."""
-        at = look_up(keys, *self.index)
-        return np.where((at >= 0) & (self.doc_ids[at] == keys), at, -1)
 
     def document(self, place: int) -> np.ndarray:
         return self.ids[self.starts[place]:self.starts[place + 1]]
 
 
-_DOC = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("seq", pa.int32()), ("place", pa.int32()),
-                  ("at", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+def _firsts(doc_ids: np.ndarray, nulls: np.ndarray) -> np.ndarray:
+    """Whether a place is the first of its key in the block (keys ascend)."""
+    new = np.ones(len(doc_ids), bool)
+    new[1:] = (doc_ids[1:] != doc_ids[:-1]) | nulls[:-1]
+    return new & ~nulls
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks to entries: the first place of each of their keys."""
+    for batch in batches:
+        for block, ids, nulls in zip(*(batch.column(n).to_pylist() for n in ("block", "doc_ids", "nulls")), strict=True):
+            ids, nulls = np.frombuffer(ids, "<i8"), np.frombuffer(nulls, bool)
+            at = np.flatnonzero(_firsts(ids, nulls))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[at], pa.int64()), pa.array(np.full(len(at), block), pa.int64()),
+                 pa.array(at, pa.int32())], ["doc_id", "block", "place"])
+
+
+def _shard(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(shards).cast("long"))
+
+
+def _build_shard(entries: pd.DataFrame) -> pd.DataFrame:
+    """One index row over the distinct keys of a shard."""
+    seeds, prints, at = build_index(entries["doc_id"].to_numpy(np.int64))
+    return pd.DataFrame({
+        "shard": entries["shard"].iloc[:1].to_numpy(), "shards": entries["shards"].iloc[:1].to_numpy(),
+        "seeds": [seeds.astype("<u4").tobytes()], "prints": [prints.astype("<u2").tobytes()],
+        "blocks": [entries["block"].to_numpy("<i8")[at].tobytes()],
+        "places": [entries["place"].to_numpy("<i4")[at].tobytes()]})
+
+
+def _write_index(spark: SparkSession, path: str, shard_keys: int) -> None:
+    blocks = spark.read.schema(_BLOCK_SQL).parquet(f"{path}/ids")
+    n = blocks.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]  # one number
+    shards = max(1, -(-n // shard_keys))
+    entries = (blocks.select("block", "doc_ids", "nulls").mapInArrow(_keys, _ENTRY)
+               .groupBy("doc_id").agg(F.min(F.struct("block", "place")).alias("e"))
+               .select("doc_id", "e.*", F.lit(shards).cast("long").alias("shards"),
+                       _shard(F.col("doc_id"), shards).alias("shard")))
+    rows = entries.groupBy("shard").applyInPandas(_build_shard, _INDEX)
+    (rows.withColumn("group", F.floor(F.col("shard") / GROUP_SHARDS)).repartition("group")
+     .sortWithinPartitions("group", "shard")
+     .write.options(**_ROW_GROUPS).partitionBy("group").parquet(f"{path}/index"))
+
+
+def _look_up_shard(keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    """Entries of the keys of one shard; a key whose slot holds another
+    fingerprint is not there."""
+    if not len(index) or not len(keys):
+        return pd.DataFrame({"doc_id": [], "block": [], "place": []}).astype("int64")
+    row, key = index.iloc[0], keys["doc_id"].to_numpy(np.int64)
+    seeds, prints = np.frombuffer(row["seeds"], "<u4"), np.frombuffer(row["prints"], "<u2")
+    slot = look_up(key, seeds, prints, np.arange(len(prints)))
+    there = slot >= 0
+    return pd.DataFrame({"doc_id": key[there], "block": np.frombuffer(row["blocks"], "<i8")[slot[there]],
+                         "place": np.frombuffer(row["places"], "<i4")[slot[there]]})
+
+
+def _look_up(keys: DataFrame, index: DataFrame, shards: int) -> DataFrame:
+    k = keys.select("doc_id", _shard(F.col("doc_id"), shards).alias("shard"))
+    return k.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(
+        _look_up_shard, _ENTRY)
+
+
+def _shards(spark: SparkSession, path: str) -> int:
+    """Number of index rows, noted in each of them; 0 without any key."""
+    groups = [g for g in names(spark, f"{path}/index") if g.startswith("group=")]
+    if not groups:
+        return 0
+    return spark.read.schema(_INDEX).parquet(f"{path}/index/{groups[0]}").select("shards").first()[0]
+
+
+def locate(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
+    """(doc_id, block, place) of the distinct, non-null ``doc_id`` of ``keys``
+    by the index alone.  A key that was never written is mostly left out; one
+    in 65,536 gets another's entry, which the block then shows."""
+    shards = _shards(spark, path)
+    if not shards:
+        return spark.createDataFrame([], _ENTRY)
+    return _look_up(keys, spark.read.schema(_INDEX).parquet(f"{path}/index"), shards)
+
+
+_DOC_SQL = "doc_id long, block long, place int, first boolean, at long, n_tokens long, ids_crc32 long"
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,55 +365,80 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
             b = Block(row)
-            # every document is found through the index; rows that repeat a key follow its first
-            at = np.where(b.nulls, np.arange(len(b.nulls)), b.places(b.doc_ids))
-            nth = np.arange(len(at)) - np.searchsorted(at, at) if len(at) else at
-            at = np.where(b.nulls, at, at + nth)
-            if (at < 0).any():
-                raise ValueError("a key of the block is not in its index")
-            out = [(None if b.nulls[p] else int(b.doc_ids[p]), row["part"], row["seq"], int(p), int(b.starts[p]),
-                    int(b.starts[p + 1] - b.starts[p]), zlib.crc32(b.document(p).astype("<u4").tobytes())) for p in at]
+            n = len(b.nulls)
+            crc = [zlib.crc32(b.document(p).astype("<u4").tobytes()) for p in range(n)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _DOC, strict=True)], schema=_DOC)
+                [pa.array(b.doc_ids, pa.int64(), mask=b.nulls), pa.array(np.full(n, row["block"]), pa.int64()),
+                 pa.array(np.arange(n), pa.int32()), pa.array(_firsts(b.doc_ids, b.nulls)),
+                 pa.array(b.starts[:-1], pa.int64()), pa.array(np.diff(b.starts), pa.int64()), pa.array(crc, pa.int64())],
+                ["doc_id", "block", "place", "first", "at", "n_tokens", "ids_crc32"])
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Per document: ``doc_id``, ``start`` (ids of all documents before it),
-    ``n_tokens`` and ``ids_crc32`` over 32-bit ids."""
-    blocks = spark.read.schema(_BLOCK_SQL).parquet(path)
+    ``n_tokens`` and ``ids_crc32`` over 32-bit ids.  Every key is looked up:
+    the job fails unless the index leads to the key's first document."""
+    blocks = spark.read.schema(_BLOCK_SQL).parquet(f"{path}/ids")
     per_part = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per partition
     before = per_part.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
-    base = (blocks.select("part", "seq", (F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq"))
-                                          - F.col("n_ids")).alias("in_part"))
-            .join(before, "part").select("part", "seq", (F.col("base") + F.col("in_part")).alias("base")))
-    docs = blocks.mapInArrow(_read, "doc_id long, part int, seq int, place int, at long, n_tokens long, ids_crc32 long")
-    return (docs.join(base, ["part", "seq"])
-            .select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"))
+    w = Window.partitionBy("part").orderBy("seq")
+    base = (blocks.select("part", "block", (F.sum("n_ids").over(w) - F.col("n_ids")).alias("in_part"),
+                          # the key that the block before this one ends with
+                          F.lag("last_id").over(w).alias("open_id"))
+            .join(before, "part").select("block", "open_id", (F.col("base") + F.col("in_part")).alias("base")))
+    docs = blocks.mapInArrow(_read, _DOC_SQL).join(base, "block")
+    new = F.col("first") & ~F.col("doc_id").eqNullSafe(F.col("open_id"))
+    docs = docs.withColumn("key", F.when(new, F.col("doc_id")))
+    keys = blocks.select("block", "doc_ids", "nulls").mapInArrow(_keys, _ENTRY).select("doc_id").distinct()
+    found = locate(spark, path, keys).select(
+        F.col("doc_id").alias("key"), F.col("block").alias("b"), F.col("place").alias("p"))
+    # rows that repeat a key follow its first; with the place in the join no key is hot
+    d = docs.join(found, (docs["key"] == found["key"]) & (docs["block"] == found["b"]) & (docs["place"] == found["p"]),
+                  "left")
+    lost = docs["key"].isNotNull() & F.col("p").isNull()
+    start = F.when(lost, F.raise_error(F.lit("the index does not lead to a key's document"))).otherwise(
+        F.col("base") + F.col("at"))
+    return d.select("doc_id", start.cast("long").alias("start"), "n_tokens", "ids_crc32")
+
+
+def blocks_of(spark: SparkSession, path: str, blocks: list[int]) -> DataFrame:
+    """The named blocks; only the files and row groups that hold them are read."""
+    parts = sorted({b >> 32 for b in blocks})
+    rows = spark.read.schema(_BLOCK_SQL).option("pathGlobFilter", "part-{%s}-*" % ",".join(f"{p:05d}" for p in parts))
+    return rows.parquet(f"{path}/ids").filter(F.col("block").isin(sorted(set(blocks))))
 
 
 def fetch(spark: SparkSession, path: str, ids: list[int], max_keys: int = 10_000) -> DataFrame:
-    """(doc_id, ids) of a bounded list of keys; only blocks whose id range
-    holds a key are read (Parquet statistics prune the rest)."""
+    """(doc_id, ids) of a bounded list of keys: reads the index rows of the
+    keys and the blocks that these name."""
     if len(ids) > max_keys:
         raise ValueError(f"{len(ids)} keys; at most {max_keys} in one call")
-    keys = np.unique(np.array(ids, np.int64))
+    shards = _shards(spark, path)
+    keys = spark.createDataFrame([(int(i),) for i in sorted(set(ids))], "doc_id long")
+    wanted = sorted({r[0] for r in keys.select(_shard(F.col("doc_id"), shards)).collect()}) if shards else []
+    there = set(names(spark, f"{path}/index"))
+    folders = [f"{path}/index/{g}" for g in sorted({f"group={s // GROUP_SHARDS}" for s in wanted}) if g in there]
+    out = "doc_id long, ids array<long>"
+    if not folders:
+        return spark.createDataFrame([], out)
+    index = spark.read.schema(_INDEX).parquet(*folders).filter(F.col("shard").isin(wanted))
+    entries: dict[int, list[tuple[int, int]]] = {}
+    for r in _look_up(keys, index, shards).collect():  # at most one for each key asked for
+        entries.setdefault(r["block"], []).append((r["doc_id"], r["place"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                b = Block({n: batch.column(n)[i].as_py() for n in batch.schema.names})
-                at = b.places(keys)
-                hit = np.flatnonzero(at >= 0)
+                row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+                b = Block(row)
+                hit = [(k, p) for k, p in entries[row["block"]] if b.doc_ids[p] == k and not b.nulls[p]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[hit], pa.int64()),
-                     pa.array([b.document(p).tolist() for p in at[hit]], pa.list_(pa.int64()))], ["doc_id", "ids"])
-
-    blocks = spark.read.schema(_BLOCK_SQL).parquet(path)
-    if len(keys):
-        blocks = blocks.filter((F.col("last_id") >= int(keys[0])) & (F.col("first_id") <= int(keys[-1])))
-    else:
-        blocks = blocks.limit(0)
-    return blocks.mapInArrow(run, "doc_id long, ids array<long>")
+                    [pa.array([k for k, _ in hit], pa.int64()),
+                     pa.array([b.document(p).tolist() for _, p in hit], pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    if not entries:
+        return spark.createDataFrame([], out)
+    return blocks_of(spark, path, list(entries)).mapInArrow(run, out)
 
 
 def write_and_read_back(docs: DataFrame, **options) -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from squall.llm import toxicity_crf as T
 from squall.llm.token_files import (
     Encoder,
+    blocks_of,
     build_index,
     fetch,
+    locate,
     look_up,
     read_token_files,
     vocabulary_path,
@@ -53,6 +55,38 @@ def test_fetch_by_key(spark, docs_of, tmp_path):
     assert fetch(spark, path, []).count() == 0
 
 
+def test_index_leads_from_key_to_block(spark, docs_of, tmp_path, monkeypatch):
+    from squall.llm import token_files
+    monkeypatch.setattr(token_files, "BLOCK_DOCS", 20)
+    path = f"{tmp_path}/ids"
+    rows = [(i * 3 - 90, f"w{i}") for i in range(400)] + [(600, f"again {i}") for i in range(50)] + [(None, "n")]
+    write_token_files(docs_of(rows), path, shard_keys=16)
+    n_blocks = spark.read.parquet(f"{path}/ids").count()
+    assert n_blocks >= 20 and spark.read.parquet(f"{path}/index").count() > 20
+    keys = spark.createDataFrame([(d,) for d in sorted({d for d, _ in rows if d is not None})], "doc_id long")
+    found = {r["doc_id"]: (r["block"], r["place"]) for r in locate(spark, path, keys).collect()}
+    assert len(found) == keys.count()
+    first = found[600][0]
+    read = blocks_of(spark, path, [found[-90][0], first, first])
+    assert read.count() == 2 and len(read.inputFiles()) <= 2 < n_blocks
+    assert {r["doc_id"] for r in fetch(spark, path, [-90, 600, -89]).collect()} == {-90, 600}
+    got = read_token_files(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d))
+
+
+def test_blocks_stand_in_row_groups_of_their_own(spark, docs_of, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    rnd = random.Random(1)
+    rows = [(i, " ".join(str(rnd.random()) for _ in range(30_000))) for i in range(12)]
+    path = f"{tmp_path}/ids"
+    write_token_files(docs_of(rows).coalesce(1), path)
+    n_blocks = spark.read.parquet(f"{path}/ids").count()
+    groups = sum(pq.ParquetFile(f).metadata.num_row_groups for f in glob.glob(f"{path}/ids/*.parquet"))
+    assert groups == n_blocks >= 4
+
+
 def test_repeated_null_and_missing_rows(spark, docs_of, tmp_path):
     assert write_and_read_back(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(2, "b"), (2, "a"), (2, "a"), (None, "n"), (None, None), (1, None), (3, "c d e")]
