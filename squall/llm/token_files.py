@@ -48,11 +48,11 @@ BLOCK_IDS = 1 << 20
 BLOCK_DOCS = 4096
 _KEPT = 400_000
 SHARD_KEYS = 4096
-GROUP_SHARDS = 256
-_BLOCK = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("seq", pa.int32()), ("first_id", pa.int64()),
-                    ("last_id", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("width", pa.int32())]
+GROUP_SHARDS = 64
+_BLOCK = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("seq", pa.int32()), ("continues", pa.bool_()),
+                    ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("width", pa.int32())]
                    + [(n, pa.binary()) for n in ("ids", "doc_ids", "nulls", "starts")])
-_BLOCK_SQL = ("block long, part int, seq int, first_id long, last_id long, n_docs int, n_ids long, width int, "
+_BLOCK_SQL = ("block long, part int, seq int, continues boolean, n_docs int, n_ids long, width int, "
               "ids binary, doc_ids binary, nulls binary, starts binary")
 _ENTRY = "doc_id long, block long, place int"
 _INDEX = "shard long, shards long, seeds binary, prints binary, blocks binary, places binary"
@@ -224,13 +224,13 @@ def _writer(path: str, end_id: int):
         ids: list[bytes] = []
         docs: list[int | None] = []
         held = 0
+        before: int | None = None  # the last key of the block before
 
         def block() -> pa.RecordBatch:
             null = np.array([d is None for d in docs])
             keys = np.array([d or 0 for d in docs], np.int64)
             starts = np.cumsum([0, *(len(x) // enc.dtype.itemsize for x in ids)]).astype("<u8")
-            own = keys[~null]
-            row = [part << 32 | seq, part, seq, int(own[0]) if len(own) else None, int(own[-1]) if len(own) else None,
+            row = [part << 32 | seq, part, seq, docs[0] is not None and docs[0] == before,
                    len(docs), int(starts[-1]), enc.dtype.itemsize, b"".join(ids), keys.astype("<i8").tobytes(),
                    null.tobytes(), starts.tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
@@ -242,7 +242,7 @@ def _writer(path: str, end_id: int):
                 held += len(ids[-1]) // enc.dtype.itemsize
                 if held >= BLOCK_IDS or len(docs) >= BLOCK_DOCS:
                     yield block()
-                    ids, docs, held, seq = [], [], 0, seq + 1
+                    before, ids, docs, held, seq = docs[-1], [], [], 0, seq + 1
         if docs:
             yield block()
     return run
@@ -274,19 +274,23 @@ class Block:
         return self.ids[self.starts[place]:self.starts[place + 1]]
 
 
-def _firsts(doc_ids: np.ndarray, nulls: np.ndarray) -> np.ndarray:
-    """Whether a place is the first of its key in the block (keys ascend)."""
+def _firsts(doc_ids: np.ndarray, nulls: np.ndarray, continues: bool) -> np.ndarray:
+    """Whether a place is the first of its key in all files: equal keys stand
+    together, and ``continues`` says that the block before ends with the
+    block's first key."""
     new = np.ones(len(doc_ids), bool)
+    new[:1] = not continues
     new[1:] = (doc_ids[1:] != doc_ids[:-1]) | nulls[:-1]
     return new & ~nulls
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks to entries: the first place of each of their keys."""
+    """Blocks to entries: each key and its first place."""
     for batch in batches:
-        for block, ids, nulls in zip(*(batch.column(n).to_pylist() for n in ("block", "doc_ids", "nulls")), strict=True):
-            ids, nulls = np.frombuffer(ids, "<i8"), np.frombuffer(nulls, bool)
-            at = np.flatnonzero(_firsts(ids, nulls))
+        for block, ids, nulls, continues in zip(
+                *(batch.column(n).to_pylist() for n in ("block", "doc_ids", "nulls", "continues")), strict=True):
+            ids = np.frombuffer(ids, "<i8")
+            at = np.flatnonzero(_firsts(ids, np.frombuffer(nulls, bool), continues))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[at], pa.int64()), pa.array(np.full(len(at), block), pa.int64()),
                  pa.array(at, pa.int32())], ["doc_id", "block", "place"])
@@ -296,11 +300,15 @@ def _shard(key: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(shards).cast("long"))
 
 
+def _group(shard: Column) -> Column:
+    return F.floor(shard / GROUP_SHARDS).cast("long")
+
+
 def _build_shard(entries: pd.DataFrame) -> pd.DataFrame:
     """One index row over the distinct keys of a shard."""
     seeds, prints, at = build_index(entries["doc_id"].to_numpy(np.int64))
     return pd.DataFrame({
-        "shard": entries["shard"].iloc[:1].to_numpy(), "shards": entries["shards"].iloc[:1].to_numpy(),
+        "group": entries["group"].iloc[:1].to_numpy(), "shard": entries["shard"].iloc[:1].to_numpy(), "shards": entries["shards"].iloc[:1].to_numpy(),
         "seeds": [seeds.astype("<u4").tobytes()], "prints": [prints.astype("<u2").tobytes()],
         "blocks": [entries["block"].to_numpy("<i8")[at].tobytes()],
         "places": [entries["place"].to_numpy("<i4")[at].tobytes()]})
@@ -310,33 +318,35 @@ def _write_index(spark: SparkSession, path: str, shard_keys: int) -> None:
     blocks = spark.read.schema(_BLOCK_SQL).parquet(f"{path}/ids")
     n = blocks.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]  # one number
     shards = max(1, -(-n // shard_keys))
-    entries = (blocks.select("block", "doc_ids", "nulls").mapInArrow(_keys, _ENTRY)
-               .groupBy("doc_id").agg(F.min(F.struct("block", "place")).alias("e"))
-               .select("doc_id", "e.*", F.lit(shards).cast("long").alias("shards"),
-                       _shard(F.col("doc_id"), shards).alias("shard")))
-    rows = entries.groupBy("shard").applyInPandas(_build_shard, _INDEX)
-    (rows.withColumn("group", F.floor(F.col("shard") / GROUP_SHARDS)).repartition("group")
-     .sortWithinPartitions("group", "shard")
-     .write.options(**_ROW_GROUPS).partitionBy("group").parquet(f"{path}/index"))
+    shard = _shard(F.col("doc_id"), shards)
+    entries = (blocks.select("block", "doc_ids", "nulls", "continues").mapInArrow(_keys, _ENTRY)
+               .withColumns({"shard": shard, "shards": F.lit(shards).cast("long"), "group": _group(shard)}))
+    # dealt by the folder, which the shards of a folder share: the rows are written where they are built
+    rows = entries.repartition("group").groupBy("group", "shard").applyInPandas(_build_shard, f"group long, {_INDEX}")
+    rows.write.options(**_ROW_GROUPS).partitionBy("group").parquet(f"{path}/index")
+
+
+def _entries(keys: np.ndarray, index: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(block, place) of keys of one shard, -1 where its slot holds another
+    fingerprint."""
+    none = np.full(len(keys), -1, np.int64)
+    if not len(index) or not len(keys):
+        return none, none
+    row = index.iloc[0]
+    seeds, prints = np.frombuffer(row["seeds"], "<u4"), np.frombuffer(row["prints"], "<u2")
+    slot = look_up(keys, seeds, prints, np.arange(len(prints)))
+    return (np.where(slot >= 0, np.frombuffer(row["blocks"], "<i8")[slot], -1),
+            np.where(slot >= 0, np.frombuffer(row["places"], "<i4")[slot], -1))
 
 
 def _look_up_shard(keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
-    """Entries of the keys of one shard; a key whose slot holds another
-    fingerprint is not there."""
-    if not len(index) or not len(keys):
-        return pd.DataFrame({"doc_id": [], "block": [], "place": []}).astype("int64")
-    row, key = index.iloc[0], keys["doc_id"].to_numpy(np.int64)
-    seeds, prints = np.frombuffer(row["seeds"], "<u4"), np.frombuffer(row["prints"], "<u2")
-    slot = look_up(key, seeds, prints, np.arange(len(prints)))
-    there = slot >= 0
-    return pd.DataFrame({"doc_id": key[there], "block": np.frombuffer(row["blocks"], "<i8")[slot[there]],
-                         "place": np.frombuffer(row["places"], "<i4")[slot[there]]})
+    block, place = _entries(keys["doc_id"].to_numpy(np.int64), index)
+    return pd.DataFrame({"doc_id": keys["doc_id"], "block": block, "place": place})[block >= 0]
 
 
 def _look_up(keys: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     k = keys.select("doc_id", _shard(F.col("doc_id"), shards).alias("shard"))
-    return k.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(
-        _look_up_shard, _ENTRY)
+    return k.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_look_up_shard, _ENTRY)
 
 
 def _shards(spark: SparkSession, path: str) -> int:
@@ -369,11 +379,24 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             crc = [zlib.crc32(b.document(p).astype("<u4").tobytes()) for p in range(n)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(b.doc_ids, pa.int64(), mask=b.nulls), pa.array(np.full(n, row["block"]), pa.int64()),
-                 pa.array(np.arange(n), pa.int32()), pa.array(_firsts(b.doc_ids, b.nulls)),
+                 pa.array(np.arange(n), pa.int32()), pa.array(_firsts(b.doc_ids, b.nulls, row["continues"])),
                  pa.array(b.starts[:-1], pa.int64()), pa.array(np.diff(b.starts), pa.int64()), pa.array(crc, pa.int64())],
                 ["doc_id", "block", "place", "first", "at", "n_tokens", "ids_crc32"])
 
 
+_OUT_SQL = "doc_id long, start long, n_tokens long, ids_crc32 long"
+
+
+def _confirm(docs: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
+    """Documents of one shard, each key looked up."""
+    first = docs["first"].to_numpy(bool)
+    keyed = docs[first]
+    block, place = _entries(keyed["doc_id"].to_numpy(np.int64), index)
+    if (block != keyed["block"].to_numpy()).any() or (place != keyed["place"].to_numpy()).any():
+        raise ValueError("the index does not lead to a key's document")
+    return docs[["doc_id", "start", "n_tokens", "ids_crc32"]].astype({"doc_id": "Int64"})
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """Per document: ``doc_id``, ``start`` (ids of all documents before it),
     ``n_tokens`` and ``ids_crc32`` over 32-bit ids.  Every key is looked up:
@@ -381,24 +404,19 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.schema(_BLOCK_SQL).parquet(f"{path}/ids")
     per_part = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))  # one row per partition
     before = per_part.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
-    w = Window.partitionBy("part").orderBy("seq")
-    base = (blocks.select("part", "block", (F.sum("n_ids").over(w) - F.col("n_ids")).alias("in_part"),
-                          # the key that the block before this one ends with
-                          F.lag("last_id").over(w).alias("open_id"))
-            .join(before, "part").select("block", "open_id", (F.col("base") + F.col("in_part")).alias("base")))
-    docs = blocks.mapInArrow(_read, _DOC_SQL).join(base, "block")
-    new = F.col("first") & ~F.col("doc_id").eqNullSafe(F.col("open_id"))
-    docs = docs.withColumn("key", F.when(new, F.col("doc_id")))
-    keys = blocks.select("block", "doc_ids", "nulls").mapInArrow(_keys, _ENTRY).select("doc_id").distinct()
-    found = locate(spark, path, keys).select(
-        F.col("doc_id").alias("key"), F.col("block").alias("b"), F.col("place").alias("p"))
-    # rows that repeat a key follow its first; with the place in the join no key is hot
-    d = docs.join(found, (docs["key"] == found["key"]) & (docs["block"] == found["b"]) & (docs["place"] == found["p"]),
-                  "left")
-    lost = docs["key"].isNotNull() & F.col("p").isNull()
-    start = F.when(lost, F.raise_error(F.lit("the index does not lead to a key's document"))).otherwise(
-        F.col("base") + F.col("at"))
-    return d.select("doc_id", start.cast("long").alias("start"), "n_tokens", "ids_crc32")
+    base = (blocks.select("part", "block", (F.sum("n_ids").over(Window.partitionBy("part").orderBy("seq"))
+                                            - F.col("n_ids")).alias("in_part"))
+            .join(before, "part").select("block", (F.col("base") + F.col("in_part")).alias("base")))
+    docs = blocks.mapInArrow(_read, _DOC_SQL).join(base, "block").withColumn("start", F.col("base") + F.col("at"))
+    shards = _shards(spark, path)
+    if not shards:  # no key at all
+        return docs.select("doc_id", "start", "n_tokens", "ids_crc32")
+    # rows without a key of their own (no id, or the id of the row before) are
+    # spread over groups of about a shard's size that have no index row
+    other = -1 - F.pmod(F.xxhash64("block", "place"), F.lit(shards).cast("long"))
+    docs = docs.withColumn("shard", F.when(F.col("first"), _shard(F.col("doc_id"), shards)).otherwise(other))
+    index = spark.read.schema(_INDEX).parquet(f"{path}/index")
+    return docs.groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_confirm, _OUT_SQL)
 
 
 def blocks_of(spark: SparkSession, path: str, blocks: list[int]) -> DataFrame:
