@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squall.operators.joins import (DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast,
-                                    materialize)
+from squall.operators.joins import shared_table
 
 LOCATION = ("country", "city")
 SIGMA_FACTOR = 2.0
@@ -89,13 +88,11 @@ def detect_anomalies(observations: DataFrame, base: DataFrame, ts_col: str = "ev
 
 def detect_anomalies_checked(observations: DataFrame, base: DataFrame,
                              ts_col: str = "event_time", keys=LOCATION,
-                             k: float = SIGMA_FACTOR, only_anomalies: bool = True,
-                             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``detect_anomalies`` with the baseline materialised once in the shared
-    folder and broadcast when its row count (12 per location) is under
-    ``max_rows``; beyond that the lookup is a shuffle join."""
-    base = checked_broadcast(materialize(base), max_rows)
-    return detect_anomalies(observations, base, ts_col, keys, k, only_anomalies)
+                             k: float = SIGMA_FACTOR, only_anomalies: bool = True) -> DataFrame:
+    """``detect_anomalies`` with the baseline (12 rows per location) written
+    once to the shared folder, so that Spark plans the lookup by its size:
+    broadcast under the threshold, beyond it a shuffle join."""
+    return detect_anomalies(observations, shared_table(base, "baseline"), ts_col, keys, k, only_anomalies)
 
 
 def _tag(joined: DataFrame, keys, k, only_anomalies) -> DataFrame:

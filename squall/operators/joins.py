@@ -1,35 +1,32 @@
-"""Join helpers: broadcast a side only after its size has been checked.
-
-``checked_broadcast`` measures the candidate side (materialise a derived side
-first with ``materialize``) in one aggregate whose tasks each send a single
-row, and marks it for broadcast only when it has at most ``max_rows`` rows
-and ``max_bytes`` bytes.  Beyond either bound the DataFrame is returned
-unchanged and Spark plans a shuffle join, which adaptive execution can
-still convert or split for skew at run time.
+"""Tables that are computed once and then joined.
+
+No side is broadcast by hint: a side read from files has a size that Spark
+knows, so its own threshold (``spark.sql.autoBroadcastJoinThreshold``) bounds
+what is broadcast, and adaptive execution corrects the choice at run time.
+A derived side gets such a size from ``shared_table``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# What is safe to ship to every executor: rows, and bytes of the rows as text.
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 ** 2
-
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows and
-    ``max_bytes`` bytes (as JSON text); else ``df``."""
-    size = df.select(F.octet_length(F.to_json(F.struct(*[df[c] for c in df.columns]))).cast("long").alias("b")).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
-    return F.broadcast(df) if size["n"] <= max_rows and size["b"] <= max_bytes else df
+from squall.session import scratch_path, shared_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage
     (survives executor loss; computed once even if used twice)."""
-    from squall.session import shared_dir
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_table(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back:
+    lineage is cut, and joins are planned by the size of its files.  The files
+    go when the application ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return spark.read.schema(df.schema).parquet(path)

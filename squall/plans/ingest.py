@@ -9,7 +9,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from squall.functions.labels import month_name_fr, weather_label
 from squall.functions.parsing import parse_json_column, reject_flag, tolerant_timestamp
 from squall.operators import reports as RP
-from squall.operators.joins import checked_broadcast, materialize
+from squall.operators.joins import shared_table
 from squall.plans.registry import ORACLES, register
 from squall.plans.reports import WEATHER_LABEL_SQL
 from squall.plans.speed import classified
@@ -254,7 +254,7 @@ def geo_enriched_obs(spark, sf_dir):
     res = _resolve(req, _candidates(spark, sf_dir)).select(
         "query_name", "query_country", "country_code", F.col("admin1").alias("region"),
         "population")
-    res = checked_broadcast(materialize(res)).alias("r")
+    res = shared_table(res, "resolved").alias("r")
     return (o.alias("o")
             .join(res, (F.col("o.country") == F.col("r.query_name"))
                   & (F.col("o.query_country") == F.col("r.query_country")))

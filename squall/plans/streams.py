@@ -21,7 +21,7 @@ from squall.plans.sqlviews import COBS, HEAT_LEVEL, WIND_LEVEL, ctes, with_views
 from squall.schemas import FLAT_OBSERVATION, OBSERVATION
 from squall.session import scratch_path
 from squall.sources.files import read_location_store
-from squall.sources.testviews import daily, locations, obs_from_events, read_table
+from squall.sources.testviews import daily, obs_from_events, places, read_table
 from squall.streaming import jobs as J
 from squall.streaming import sinks as S
 from squall.streaming.apps import classification_batch_writer
@@ -36,7 +36,7 @@ def obs_stream(spark, sf_dir, max_files_per_trigger=None):
     schema = read_table(spark, sf_dir, "events").schema
     events = file_stream(spark, sf_dir, schema, glob="events.parquet",
                          max_files_per_trigger=max_files_per_trigger)
-    return obs_from_events(events, locations(spark, sf_dir))
+    return obs_from_events(events, places(spark, sf_dir))
 
 
 @register("stream_classify", speed.ORACLES_FOR_STREAMS["classify_obs"])
@@ -137,7 +137,7 @@ def _window_table(spark, sf_dir, name, kind, part, n, every=2):
     by a new run on the same checkpoint; returns the table of one output."""
     base = scratch_path(spark, name)
     events = read_table(spark, sf_dir, "events")
-    loc, schemas = locations(spark, sf_dir), []
+    loc, schemas = places(spark, sf_dir), []
 
     def write(rows, epoch_id):
         rows = _untimed(rows)
@@ -203,7 +203,7 @@ def stream_keyed_flush(spark, sf_dir):
     four runs on one checkpoint; a row from the future ends the stream, so
     what is left of every location leaves as a last, smaller batch."""
     base = scratch_path(spark, "stream-flush")
-    events, loc = read_table(spark, sf_dir, "events"), locations(spark, sf_dir)
+    events, loc = read_table(spark, sf_dir, "events"), places(spark, sf_dir)
 
     def start():
         rows = event_time_to_timestamp(obs_from_events(file_stream(spark, f"{base}/landed", events.schema), loc)).select(
@@ -228,7 +228,7 @@ def stream_anomalies_versions(spark, sf_dir):
     """Anomalies while the profile is replaced between two micro-batches:
     every epoch keeps to the version that it has noted."""
     base, root = scratch_path(spark, "stream-versions"), scratch_path(spark, "profile-versions")
-    events, loc = read_table(spark, sf_dir, "events"), locations(spark, sf_dir)
+    events, loc = read_table(spark, sf_dir, "events"), places(spark, sf_dir)
     profile = materialize(P.seasonal_profile(daily(spark, sf_dir)))
     versions = iter([profile, profile.withColumn("temp_mean", F.col("temp_mean") + history.PROFILE_SHIFT)])
 
@@ -257,7 +257,7 @@ def stream_parse_metrics(spark, sf_dir):
     counts of usable and rejected messages per epoch and in total, from the
     metrics table that the job writes."""
     base = scratch_path(spark, "stream-metrics")
-    events, loc = read_table(spark, sf_dir, "events"), locations(spark, sf_dir)
+    events, loc = read_table(spark, sf_dir, "events"), places(spark, sf_dir)
     kind = F.col("event_id") % 20
     o = obs_from_events(events, loc)
     time = F.when(kind == 3, "yesterday").when(kind != 1, F.col("original_timestamp"))

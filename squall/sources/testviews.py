@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.operators.joins import checked_broadcast
 from squall.operators.profiles import for_year
 
 # Fixed values of the mapping (shared with the SQL oracle text).
@@ -34,22 +33,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def places(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Location dimension as its two tables, (places, countries).  Joined one
+    after the other, each is planned by the size of its own files; Spark takes
+    a join of both to be as large as their product."""
+    nation, region = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
+    return (nation.select(F.col("n_nationkey").cast("bigint").alias("loc_id"), F.col("n_name").alias("city"),
+                          F.col("n_nationkey").cast("double").alias("latitude"),
+                          F.col("n_regionkey").alias("region_key")),
+            region.select(F.col("r_regionkey").alias("region_key"), F.col("r_name").alias("country"),
+                          F.col("r_regionkey").cast("double").alias("longitude")))
+
+
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location dimension: nation joined to its region.  Its measured
-    size decides whether it is broadcast to the joins that use it."""
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
-    loc = (nation.join(region, nation.n_regionkey == region.r_regionkey)
-            .select(F.col("n_nationkey").cast("bigint").alias("loc_id"),
-                    F.col("n_name").alias("city"),
-                    F.col("r_name").alias("country"),
-                    F.col("n_nationkey").cast("double").alias("latitude"),
-                    F.col("r_regionkey").cast("double").alias("longitude")))
-    return checked_broadcast(loc)
-
-
-def obs_from_events(events: DataFrame, loc: DataFrame) -> DataFrame:
-    """Map ``events`` rows (batch or stream) to observations."""
+    """Location dimension: nation joined to its region."""
+    nation, region = places(spark, sf_dir)
+    return nation.join(region, "region_key").select("loc_id", "city", "country", "latitude", "longitude")
+
+
+def obs_from_events(events: DataFrame, loc: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """Map ``events`` rows (batch or stream) to observations at ``places``."""
     k = F.from_json(F.col("props"), "k int").getField("k")
     e = events.select(
         "event_id",
@@ -62,7 +65,8 @@ def obs_from_events(events: DataFrame, loc: DataFrame) -> DataFrame:
         (F.col("user_id") % 101).cast("double").alias("humidity"),
         (F.col("event_id") % 7).cast("double").alias("precipitation"),
     )
-    return (e.join(loc, "loc_id")
+    nation, region = loc
+    return (e.join(nation, "loc_id").join(region, "region_key")
             .select("event_id", "event_time",
                     F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
                     .alias("original_timestamp"),
@@ -74,7 +78,7 @@ def obs_from_events(events: DataFrame, loc: DataFrame) -> DataFrame:
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat observations (event time is TIMESTAMP_NTZ, as stored)."""
     events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
-    return obs_from_events(events, locations(spark, sf_dir))
+    return obs_from_events(events, places(spark, sf_dir))
 
 
 def order_weather(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:

@@ -12,7 +12,6 @@ from squall.functions.classify import with_alert_levels
 from squall.functions.parsing import with_defaults
 from squall.operators import anomalies as A
 from squall.operators import windows as W
-from squall.operators.joins import checked_broadcast
 from squall.session import scratch_path
 from squall.sinks.files import write_location_store
 from squall.streaming import sinks as S
@@ -83,7 +82,7 @@ def anomaly_batch_writer(profile_path: str, out_path: str, ts_col: str = "event_
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         profile = spark.read.parquet(profile_path)
-        base = checked_broadcast(A.baseline(profile, digits=digits))
+        base = A.baseline(profile, digits=digits)
         found = A.detect_anomalies(batch, base, ts_col).persist()
         try:
             # the epoch's own folder: a retry with fewer or no rows replaces it

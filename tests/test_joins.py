@@ -1,7 +1,11 @@
 import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
 
 from squall.operators.anomalies import detect_anomalies_checked
-from squall.operators.joins import checked_broadcast
+from squall.operators.joins import shared_table
 
 BASE = "country string, city string, month int, base_temp_mean double, " \
        "base_temp_stddev double, base_wind_mean double, base_wind_stddev double"
@@ -12,34 +16,30 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_checked_broadcast_respects_bound(spark):
-    small = spark.range(10)
+def test_shared_table_joins_by_the_size_of_its_files(spark):
+    small = shared_table(spark.range(10).withColumn("t", F.expr("repeat('x', 100)")))
+    large = shared_table(spark.range(3000).withColumn("t", F.expr("repeat(uuid(), 40)")))
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only explicit hints
     try:
-        over = spark.range(1000).join(checked_broadcast(small, max_rows=5), "id")
-        under = spark.range(1000).join(checked_broadcast(small, max_rows=100), "id")
-        assert "BroadcastHashJoin" not in _plan(over)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+        under, over = (spark.range(5000).join(t, "id") for t in (small, large))
         assert "BroadcastHashJoin" in _plan(under)
-        assert over.count() == under.count() == 10
+        assert "BroadcastHashJoin" not in _plan(over)
+        assert under.count() == 10 and over.count() == 3000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    empty = shared_table(spark.range(0))
+    assert spark.range(5).join(empty, "id").count() == 0
 
 
-def test_checked_broadcast_bounds_bytes_of_wide_rows(spark):
-    wide = spark.range(20).selectExpr("id", "repeat('x', 10000) AS t")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        over = spark.range(1000).join(checked_broadcast(wide, max_bytes=100_000), "id")
-        under = spark.range(1000).join(checked_broadcast(wide, max_bytes=1_000_000), "id")
-        assert "BroadcastHashJoin" not in _plan(over)
-        assert "BroadcastHashJoin" in _plan(under)
-        assert over.count() == under.count() == 20
-        empty = wide.filter("id < 0")
-        assert spark.range(5).join(checked_broadcast(empty), "id").count() == 0
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+def test_location_dimension_is_broadcast_by_its_file_size(spark):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    from squall.sources.testviews import obs
+    plan = _plan(obs(spark, sf))
+    # the two dimension tables are broadcast, never the observations
+    assert plan.count("BuildRight") == 2 and "BuildLeft" not in plan and "SortMergeJoin" not in plan
 
 
 def test_hot_location_same_result_with_and_without_broadcast(spark):
@@ -51,7 +51,7 @@ def test_hot_location_same_result_with_and_without_broadcast(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = detect_anomalies_checked(obs, base, max_rows=0, only_anomalies=False)
+        shuffled = detect_anomalies_checked(obs, base, only_anomalies=False)
         assert "BroadcastHashJoin" not in _plan(shuffled)
         a = shuffled.collect()
     finally:
