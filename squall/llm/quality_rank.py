@@ -3,18 +3,22 @@
 A document is described by measures of its text (lengths, shares of symbol,
 capital, digit and other characters, repetition of words and lines).  Each
 measure goes through a piecewise linear ramp between quantiles of the training
-rows.  Preference pairs put a document of good quality over one of bad
-quality, and the weights minimise the logistic loss of the pairs' feature
-differences, so a document's strength is learnt, not its class.  The strength
-at the quantile that is the share of bad rows among the training labels is
-the threshold: it becomes the score ``CUT``, with a logistic slope fitted to
-the labels.
-
-The model is fitted on a bounded sample of labelled rows (``MAX_GOOD`` and
-``MAX_BAD``, the smallest hashes of the id, whole texts) with ``PAIRS``
-partners for each of its bad rows; only measures go to the training task and
-the model has a fixed size.  All documents are scored on whole texts, in one
-pass without a shuffle.
+rows.  Preference pairs put every document of good quality over every one of
+bad quality, and the weights minimise the mean logistic loss of the pairs'
+feature differences, so a document's strength is learnt, not its class.  The
+strength at the quantile that is the share of bad rows among the training
+labels is the threshold: it becomes the score ``CUT``, with a logistic slope
+fitted to the labels.
+
+The model is fitted on all labelled rows outside the held-out fold, whole
+texts.  Their measures are kept in the shared checkpoint folder; every step is
+a sum over these rows, taken in tasks and added up as whole numbers in a tree,
+so it is the same in any order, and the driver holds tables of a fixed size
+only.  Quantiles are exact order statistics (of 32-bit floats), found digit by
+digit.  The weights come from Newton steps on the loss over all pairs, which
+meet through ``BINS`` stretches of strength for each class, a row counting
+with the mean strength of its stretch.  All documents are scored on whole
+texts, in one pass without a shuffle.
 
 Defined cases: a null text is empty and is scored like any text; rows with the
 same ``doc_id`` are scored each; a null id is never held out and never trained
@@ -26,9 +30,8 @@ gives an empty result; input columns named like an output column are replaced.
 from __future__ import annotations
 
 import math
-import pickle
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from squall.llm.common import bounded_batches
+from squall.llm.common import bounded_batches, cut_lineage
 
-MAX_GOOD, MAX_BAD, PAIRS = 6000, 3000, 12
 RAMPS = 8
 CUT = 0.3
 FOLDS = 5
-STEPS, RATE, DECAY = 400, 0.05, 1e-4
+BINS, STEPS, DECAY = 256, 40, 1e-4
+TASK_ROWS = 8192  # training rows of a task
+UNIT = 2.0 ** 30  # sums are counted in fractions of this
 _OUT = ["score", "predicted"]
 
 # classes of bytes: blank, line break, small, capital, digit, plain and other punctuation, control, beyond ASCII
@@ -101,75 +105,205 @@ def scores(x: np.ndarray, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def train(x: np.ndarray, good: np.ndarray, bad_share: float, pairs: int = PAIRS) -> Model | None:
-    """``bad_share``: share of bad rows among all labelled training rows."""
-    if good.all() or not good.any():
+Block = Callable[[np.ndarray, np.ndarray], np.ndarray]  # measures and classes of some rows -> their share of a sum
+Total = Callable[[Block], np.ndarray]  # the sum over all rows
+
+
+def _keys(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the order of 32-bit floats."""
+    bits = (np.asarray(x, np.float32) + np.float32(0)).view(np.uint32).astype(np.int64)
+    return np.where(bits >> 31 == 1, 0xFFFFFFFF - bits, bits + 0x80000000)
+
+
+def _floats(keys: np.ndarray) -> np.ndarray:
+    bits = np.where(keys >> 31 == 1, keys - 0x80000000, 0xFFFFFFFF - keys)
+    return bits.astype(np.uint32).view(np.float32).astype(float)
+
+
+def _at_weight(total: Total, values: Callable[[np.ndarray], np.ndarray], columns: np.ndarray, weights: np.ndarray,
+               goals: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each target the smallest of its column's values up to which the
+    rows weigh the goal or more (a row of class c weighs ``weights[target,
+    c]``; the largest value if they never do), and what they weigh."""
+    found, below = np.zeros(len(columns), np.int64), np.zeros(len(columns))
+    for shift in range(32 - bits, -1, -bits):
+        def count(x: np.ndarray, good: np.ndarray, shift=shift, found=found) -> np.ndarray:
+            keys = _keys(values(x))
+            out = []
+            for c, top in zip(columns, found):
+                here = keys[:, c] >> shift
+                of = here >> bits == top
+                out.append(np.bincount((good[of].astype(np.int64) << bits) + (here[of] & ((1 << bits) - 1)), minlength=2 << bits))
+            return np.concatenate(out).astype(float)
+        seen = (total(count).reshape(len(columns), 2, -1) * weights[:, :, None]).sum(axis=1)
+        reached = below[:, None] + np.cumsum(seen, axis=1)
+        there = (reached >= goals[:, None]) & (seen > 0)
+        last = seen.shape[1] - 1 - np.argmax(seen[:, ::-1] > 0, axis=1)
+        digit = np.where(there.any(axis=1), np.argmax(there, axis=1), last)
+        at = np.arange(len(columns)), digit
+        found, below, upto = found << bits | digit, reached[at] - seen[at], reached[at]
+    return _floats(found), upto
+
+
+def _quantiles(total: Total, n: np.ndarray, n_measures: int, at: np.ndarray) -> np.ndarray:
+    """Class x measure x quantile of all rows."""
+    kind, column, no = (v.ravel() for v in np.meshgrid([0, 1], np.arange(n_measures), np.arange(len(at)), indexing="ij"))
+    goals = np.floor(at[no] * (n[kind] - 1)) + 0.5
+    got, _ = _at_weight(total, lambda x: x, column, np.eye(2)[kind], goals, 8)
+    return got.reshape(2, n_measures, len(at))
+
+
+def _weights(total: Total, n: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Weights of least mean loss over all pairs of a good and a bad row."""
+    size = edges.shape[0] * (edges.shape[1] - 1)
+
+    def spread(x, good, w, low, high):
+        f = ramps(x, edges)
+        no = np.clip(((f @ w - low) * (BINS / (high - low))).astype(np.int64), 0, BINS - 1)
+        return f, no + BINS * good
+
+    def bins(w, low, high):
+        def run(x, good):
+            f, no = spread(x, good, w, low, high)
+            out = np.zeros((2 * BINS, size + 1))
+            order = np.argsort(no, kind="stable")
+            held, first = np.unique(no[order], return_index=True)
+            out[held, 0] = np.diff(np.append(first, len(no)))
+            out[held, 1:] = np.add.reduceat(f[order], first, axis=0)
+            return out.ravel()
+        return total(run).reshape(2, BINS, size + 1)
+
+    def squares(w, low, high, per_bin):
+        def run(x, good):
+            f, no = spread(x, good, w, low, high)
+            return np.stack([(f[good == c].T * per_bin[no[good == c]]) @ f[good == c] for c in (False, True)]).ravel()
+        return total(run).reshape(2, size, size)
+
+    w, low, high = np.zeros(size), -1.0, 1.0
+    best, step, mean, spreads = np.inf, 1.0, None, None
+    old, way = w, np.zeros(size)
+    for _ in range(STEPS):
+        held = bins(w, low, high)
+        count, sums = held[:, :, 0], held[:, :, 1:]
+        at = (sums @ w) / np.maximum(count, 1)  # mean strength of a bin
+        margin = np.clip(at[1][:, None] - at[0][None, :], -35, 35)  # good bin x bad bin
+        share = (count[1] / n[1])[:, None] * (count[0] / n[0])[None, :]
+        loss = float((share * np.log1p(np.exp(-margin))).sum() + DECAY / 2 * w @ w)
+        if loss > best - 1e-7:  # no gain: half the step, at most as far as it matters
+            if step < 0.01 or not np.isfinite(best):
+                return old
+            step /= 2
+        else:
+            miss = 1 / (1 + np.exp(margin))  # chance given to the worse one
+            pull, turn = share * miss, share * miss * (1 - miss)
+            each = sums / np.maximum(count, 1)[:, :, None]  # mean features of a bin
+            grad = DECAY * w - pull.sum(axis=1) @ each[1] + pull.sum(axis=0) @ each[0]
+            per_bin = np.concatenate([turn.sum(axis=0), turn.sum(axis=1)]) * (n[0] + n[1]) / np.maximum(count.ravel(), 1)
+            both = squares(w, low, high, per_bin)
+            cross = each[1].T @ turn @ each[0]
+            curve = both.sum(axis=0) / (n[0] + n[1]) - cross - cross.T + DECAY * np.eye(size)
+            if spreads is None:  # at weight zero every pair turns alike
+                mean = sums.sum(axis=1) / n[:, None]
+                spreads = [4 * both[c] / (n[0] + n[1]) - np.outer(mean[c], mean[c]) for c in (0, 1)]
+            old, best, step = w, loss, 1.0
+            way = -np.linalg.solve(curve, grad)
+            if -way @ grad < 1e-6:
+                return old
+        w = old + step * way
+        reach = [6 * math.sqrt(max(w @ spreads[c] @ w, 1e-12)) for c in (0, 1)]
+        low, high = (float(f(mean[c] @ w + sign * reach[c] for c in (0, 1))) for f, sign in ((min, -1), (max, 1)))
+    return old
+
+
+def learn(total: Total, n_measures: int, bad_share: float) -> Model | None:
+    """The model of the rows that ``total`` adds up over."""
+    n = total(lambda x, good: np.array([(~good).sum(), good.sum()], float))
+    if not n.all():
         return None
     # quantiles of both classes, the rarer one on a par
-    at = np.linspace(0, 1, RAMPS // 2 + 1)
-    edges = np.sort(np.concatenate([np.quantile(x[good], at, axis=0), np.quantile(x[~good], at, axis=0)[1:]]), axis=0).T
-    f = ramps(x, edges)
-    rng = np.random.default_rng(7)
-    worse = np.repeat(np.flatnonzero(~good), pairs)
-    better = rng.choice(np.flatnonzero(good), len(worse))
-    diff = f[better] - f[worse]
-    w, m, v = np.zeros(f.shape[1]), 0.0, 0.0
-    for t in range(1, STEPS + 1):
-        miss = 1 / (1 + np.exp(np.clip(diff @ w, -35, 35)))  # chance given to the worse one
-        g = DECAY * w - miss @ diff / len(diff)
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w = w - RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-9)
-    s = f @ w
-    # rows count as often as their class among all labelled rows
-    row = np.where(good, (1 - bad_share) / good.sum(), bad_share / (~good).sum())
-    order = np.argsort(s, kind="stable")
-    no = min(int(np.searchsorted(np.cumsum(row[order]), bad_share)), len(s) - 2)
-    cut = float(s[order][no:no + 2].mean())
+    at = _quantiles(total, n, n_measures, np.linspace(0, 1, RAMPS // 2 + 1))
+    edges = np.sort(np.concatenate([at[1], at[0][:, 1:]], axis=1), axis=1)
+    w = _weights(total, n, edges)
 
-    def loss(slope: float) -> float:
-        z = np.clip(slope * (s - cut) + math.log(CUT / (1 - CUT)), -35, 35)
-        return float(row @ np.log1p(np.exp(np.where(good, -z, z))))
-    return Model(edges, w, cut, min((2.0 ** k for k in range(-4, 5)), key=loss))
+    def strength(x: np.ndarray) -> np.ndarray:
+        return ramps(x, edges) @ w
+    # rows count as often as their class among all labelled rows
+    row = np.array([bad_share, 1 - bad_share]) / n
+    half = float(row.min()) / 2
 
+    def found(goal: float) -> tuple[float, float]:
+        v, upto = _at_weight(total, lambda x: strength(x)[:, None], np.array([0]), row[None, :], np.array([goal]), 16)
+        return float(v[0]), float(upto[0])
+    cut, upto = found(bad_share - half)
+    if upto < 1 - half:
+        cut = (cut + found(upto + half)[0]) / 2
+    slopes = 2.0 ** np.arange(-4, 5)
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        x = [measures(t.as_py() or b"") for t in b.column(2)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(x, pa.list_(pa.float64()))], ["id", "y", "x"])
+    def loss(x: np.ndarray, good: np.ndarray) -> np.ndarray:
+        z = np.clip(slopes[:, None] * (strength(x) - cut) + math.log(CUT / (1 - CUT)), -35, 35)
+        return np.log1p(np.exp(np.where(good, -z, z))) @ np.where(good, row[1], row[0]) * n.sum()
+    return Model(edges, w, cut, float(slopes[int(np.argmin(total(loss)))]))
 
 
-def _trainer(bad_share: float, pairs: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
-        if rows:
-            m = train(np.array([r[2] for r in rows]), np.array([r[1] for r in rows], bool), bad_share, pairs)
-            parts = m and (m.edges, m.weights, m.cut, m.slope)
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(parts)], pa.binary())], ["model"])
-    return run
+def train(x: np.ndarray, good: np.ndarray, bad_share: float) -> Model | None:
+    """``bad_share``: share of bad rows among all labelled training rows."""
+    return learn(lambda block: block(x.astype(np.float32), good), x.shape[1], bad_share)
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
-        max_good: int = MAX_GOOD, max_bad: int = MAX_BAD, pairs: int = PAIRS) -> Model | None:
-    """Fit on labelled rows outside the held-out fold."""
-    bounded_batches(docs.sparkSession)
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        x = [measures(t.as_py() or b"") for t in b.column(1)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float32()))], ["id", "x"])
+
+
+def _total_over(rows: DataFrame) -> Total:
+    """Sums over a table of classes ``y`` and measures ``x``: whole multiples
+    of 1 / ``UNIT`` for each task, so their order is of no account."""
+    def total(block: Block) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = None
+            for b in batches:
+                if b.num_rows:
+                    x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                    part = block(x, b.column(0).to_numpy(zero_copy_only=False) > 0)
+                    held = part if held is None else held + part
+            if held is not None:
+                whole = np.rint(held * UNIT).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], ["part"])
+        parts = rows.mapInArrow(run, "part binary").rdd.map(lambda r: np.frombuffer(bytes(r["part"]), np.int64))
+        return parts.treeReduce(lambda a, b: a + b) / UNIT
+    return total
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                  label: str = "quality") -> tuple[DataFrame | None, dict[int, int]]:
+    """Class ``y`` and measures ``x`` of every labelled document outside the
+    held-out fold, kept for many passes (none if there is but one class), and
+    how many ids each class has among the labels."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
     rows = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
             .filter(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id")))
             .groupBy("id").agg((F.max("y") > 0).cast("int").alias("y")))
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
+        return None, counts
+    # measures, not texts, are shuffled; a repeated id counts with its least measures
+    seen = (docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").cast("binary").alias("t"))
+            .filter(F.col("id").isNotNull() & ~held_out(F.col("id")))
+            .mapInArrow(_measured, "id long, x array<float>").groupBy("id").agg(F.min("x").alias("x")))
+    parts = max(1, -(-sum(counts.values()) // TASK_ROWS))
+    # the same rows in the same order in every pass, in tasks that are worth their start
+    kept = cut_lineage(seen.join(rows, "id").repartition(parts, "id").sortWithinPartitions("id").select("y", "x"))
+    return kept.coalesce(parts), counts
+
+
+def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Model | None:
+    """Fit on all labelled rows outside the held-out fold."""
+    rows, counts = training_rows(docs, labels, doc_id=doc_id, text=text, label=label)
+    if rows is None or rows.isEmpty():
         return None
-    order = [F.xxhash64("id"), F.col("id")]
-    chosen = (rows.filter("y = 0").orderBy(*order).limit(max_bad)
-              .unionByName(rows.filter("y = 1").orderBy(*order).limit(max_good)))
-    # at most max_good + max_bad ids, so they may be broadcast; a repeated id counts with its least measures
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").cast("binary").alias("t")).join(
-        F.broadcast(chosen), "id")
-    sample = (texts.select("id", "y", "t").mapInArrow(_measured, "id long, y int, x array<double>")
-              .groupBy("id", "y").agg(F.min("x").alias("x")))
-    bad_share = counts[0] / (counts[0] + counts[1])
-    got = sample.select("id", "y", "x").repartition(1).mapInArrow(_trainer(bad_share, pairs), "model binary").collect()
-    parts = pickle.loads(bytes(got[0]["model"])) if got else None
-    return Model(*parts) if parts else None
+    return learn(_total_over(rows), len(measures(b"")), counts[0] / (counts[0] + counts[1]))
 
 
 def _scorer(model: Model | None):

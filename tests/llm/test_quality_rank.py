@@ -59,3 +59,42 @@ def test_edges(spark):
     assert R.fit(docs, labels.filter("quality = 1")) is None
     assert {r["score"] for r in R.score_documents(docs, None).collect()} == {0.5}
     assert R.score_documents(docs.limit(0), None).collect() == []
+
+
+def test_every_labelled_row_is_learnt(spark):
+    """The longest words are in the rows that a choice by the id's hash takes last."""
+    n = 12_000
+    ids = spark.range(n).filter(~R.held_out(F.col("id"))).withColumn("y", (F.col("id") % 3 > 0).cast("int"))
+    last = {r["y"]: r["i"] for r in ids.groupBy("y").agg(F.max_by("id", F.xxhash64("id")).alias("i")).collect()}
+    word = F.when(F.col("id") == last[1], F.repeat(F.lit("g"), 90)).when(F.col("id") == last[0], F.repeat(F.lit("b"), 70))
+    text = F.concat_ws(" ", F.lit("some words and"), F.coalesce(word, F.col("id").cast("string")))
+    docs = ids.select(F.col("id").alias("doc_id"), text.alias("text"))
+    m = R.fit(docs, ids.select(F.col("id").alias("doc_id"), F.col("y").alias("quality")))
+    assert {90.0, 70.0} <= set(m.edges[14])  # ends of both classes' longest word
+
+
+def test_weights_are_those_of_all_pairs():
+    rng = np.random.default_rng(3)
+    x = rng.random((700, 3)).astype(np.float32)
+    good = x[:, 0] - 0.5 * x[:, 1] ** 2 + 0.2 * rng.standard_normal(700) > 0.1
+    m = R.train(x, good, float((~good).mean()))
+    f = R.ramps(x, m.edges)
+    diff = (f[good][:, None] - f[~good][None]).reshape(-1, f.shape[1])
+
+    def loss(w):
+        return np.log1p(np.exp(-(diff @ w))).mean() + R.DECAY / 2 * w @ w
+    steep = -(1 / (1 + np.exp(diff @ m.weights))) @ diff / len(diff) + R.DECAY * m.weights
+    assert np.abs(steep).max() < 1e-3
+    assert all(loss(m.weights) < loss(m.weights + 0.3 * rng.standard_normal(len(m.weights))) for _ in range(20))
+    s = np.sort(R.strengths(x, m))
+    assert s[(~good).sum() - 1] < m.cut < s[(~good).sum()]
+
+
+def test_quantiles_are_values_of_the_rows():
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.standard_normal((501, 2)), np.zeros((100, 2)), -np.zeros((3, 2))]).astype(np.float32)
+    good = rng.random(len(x)) > 0.3
+    at = np.linspace(0, 1, 5)
+    got = R._quantiles(lambda block: block(x, good), np.array([(~good).sum(), good.sum()], float), 2, at)
+    for c in (0, 1):
+        assert np.array_equal(got[c], np.quantile(x[good == c], at, axis=0, method="lower").T)
