@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -34,16 +35,15 @@ class KeyedFlush(StatefulProcessor):
         self.waiting = handle.getListState("waiting", self.schema)
         self.flushed = handle.getValueState("flushed", StructType([StructField("n", LongType())]))
 
-    def _batch(self, rows: pd.DataFrame) -> pd.DataFrame:
-        no = (self.flushed.get()[0] if self.flushed.exists() else 0) + 1
-        self.flushed.update((no,))
-        return rows.assign(flush_no=no, flush_rows=len(rows))
+    def _done(self) -> int:
+        return self.flushed.get()[0] if self.flushed.exists() else 0
 
     def _held(self) -> pd.DataFrame:
         return pd.DataFrame(list(self.waiting.get()), columns=self.schema.names)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         held, latest = self._held(), None
+        before = done = self._done()
         for pdf in rows:
             pdf = pdf[self.schema.names] if self.tick is None else pdf.loc[pdf[self.tick].notna(), self.schema.names]
             if not len(pdf):
@@ -51,11 +51,15 @@ class KeyedFlush(StatefulProcessor):
             last = pdf[self.ts_col].max()
             latest = last if latest is None or last > latest else latest
             held = pd.concat([held, pdf], ignore_index=True) if len(held) else pdf.reset_index(drop=True)
-            while len(held) >= self.size:
-                yield self._batch(held.iloc[:self.size])
-                held = held.iloc[self.size:]
+            full = len(held) // self.size
+            if full:  # all batches that are full leave in one frame
+                out = held.iloc[:full * self.size]
+                yield out.assign(flush_no=done + 1 + np.arange(len(out)) // self.size, flush_rows=self.size)
+                held, done = held.iloc[full * self.size:], done + full
         if latest is None:
             return
+        if done > before:
+            self.flushed.update((done,))
         self.waiting.clear()
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
@@ -67,7 +71,9 @@ class KeyedFlush(StatefulProcessor):
         held = self._held()
         self.waiting.clear()
         if len(held):
-            yield self._batch(held)
+            no = self._done() + 1
+            self.flushed.update((no,))
+            yield held.assign(flush_no=no, flush_rows=len(held))
 
     def close(self) -> None:
         pass

@@ -3,9 +3,11 @@
 import datetime as dt
 from collections import Counter, defaultdict
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
-from squall.streaming.keyed_flush import flush_by_key, start_flush
+from squall.streaming.keyed_flush import KeyedFlush, flush_by_key, start_flush
 from squall.streaming.landing import replay
 from squall.streaming.sources import file_stream
 
@@ -46,3 +48,54 @@ def test_quiet_key_is_passed_on_while_another_goes_on(spark, tmp_dir):
     out = run(spark, tmp_dir, [a, b, again])
     assert sorted(r["id"] for r in out["a", 1]) == [0, 1, 2]
     assert ("a", 2) not in out and ("b", 1) not in out  # still waiting: no closing row has landed
+
+
+class State:
+    """One key's state and timers, counting the writes."""
+
+    def __init__(self):
+        self.value, self.writes, self.timers = None, 0, []
+
+    def getListState(self, *_):
+        return State()
+
+    def getValueState(self, *_):
+        self.flushed = State()
+        return self.flushed
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value or ()
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    put = update
+
+    def clear(self):
+        self.value = None
+
+    def listTimers(self):
+        return list(self.timers)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_frames_and_state_writes_do_not_grow_with_the_batches():
+    schema = StructType([StructField("id", LongType()), StructField("at", TimestampType())])
+    key, state = KeyedFlush(schema, "at", "id", 10, 1000), State()
+    key.init(state)
+    pieces = [pd.DataFrame({"id": range(n, n + 1003), "at": pd.Timestamp(T0)}) for n in range(0, 4012, 1003)]
+    out = [list(key.handleInputRows(("k",), iter(pieces[:3]), None)), list(key.handleInputRows(("k",), iter(pieces[3:]), None)),
+           list(key.handleExpiredTimer(("k",), None, None))]
+    assert [len(frames) for frames in out] == [3, 1, 1] and state.flushed.writes == 3
+    rows = pd.concat([f for frames in out for f in frames])
+    assert rows["id"].tolist() == list(range(4012))
+    assert rows["flush_no"].tolist() == [i // 10 + 1 for i in range(4012)]
+    assert rows["flush_rows"].tolist() == [10] * 4010 + [2] * 2
