@@ -6,27 +6,37 @@ window of ``LENGTH`` bytes has an anchor, the ``GRAM`` bytes in it with the
 least hash, so equal windows have equal anchors; consecutive windows with one
 anchor form a run, the unit of a match.  A batch's array holds the anchors of
 its runs in sorted order (by 64-bit fingerprint, the order in which arrays
-are merged); it is merge-scanned against the levels of the index, then becomes
-a level, and levels of equal size merge, so a shard with n entries has log n
-levels and every entry is merged log n times.
+are merged); it becomes a level of the index, and levels of equal size merge,
+so a shard with n entries has log n levels and every entry is merged log n
+times.  Of equal runs that meet in a merge, those of later documents leave as
+repeats, in whatever order the batches come.
 
 1. Tasks cut texts into runs.  A run that the task's batch holds already in
    an earlier document is a repeat; the others go to the shard of their
-   anchor, in ascending document order, one row per anchor and batch: where
-   a batch has several runs of an anchor they are contested, and one row tells
-   the shard so.  However often an anchor occurs, no shard fills with it.
-2. A shard's index tells a run whose anchor came before with the same run
-   (a repeat: all its windows are) from one whose anchor came with another run
-   (contested: part of its windows may be).
-3. Contested runs, a few per cent, are decided window by window through the
-   same index, in the shard of their anchor; those of an anchor with more than
+   anchor, packed column by column in one row per batch and shard.  An anchor
+   with more runs than a shard gets from the batch on the average is hot, and
+   one entry tells the shard so: however often an anchor occurs, no shard
+   fills with it.
+2. A shard's index tells a run whose anchor came with the same run in an
+   earlier document (a repeat: all its windows are) from one whose anchor came
+   with another run that may share a window with it (contested).  A window
+   reaches ``half = (LENGTH - GRAM) // 2`` bytes or more beyond its anchor to
+   the left or to the right, so two runs that share one have equal bytes from
+   ``half`` before the anchor to its end, or from its start to ``half`` after
+   it; 16 bits of the hash of either side travel with the run.  A run in which
+   the anchor stands more than once has no such sides: all runs of its anchor
+   are contested.
+3. Contested runs are decided window by window through the same index, in the
+   shard of their anchor; those of a hot anchor and of one with more than
    ``HOT`` of them go window by window to the shard of the window instead, the
    first of each batch only.
 4. The repeats of a document are united into spans and cut out.
 
 Document texts meet their runs in equi-joins on the id.  Literal suffix order
-would move ``LENGTH`` bytes per suffix; fingerprints move twelve.  Runs are
-compared by 96 bits (anchor and fingerprint), windows by 64.
+would move ``LENGTH`` bytes per suffix; a packed run moves about eighteen.
+Runs are compared by 96 bits (anchor and fingerprint), windows by 64; equal
+sides of different runs only lead to the comparison of their windows.  The
+shuffle files of the runs are deleted before the texts are shuffled.
 
 Defined cases: a null text is empty; documents shorter than ``LENGTH`` bytes
 lose nothing; rows that repeat a ``doc_id`` are one document for the
@@ -43,18 +53,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squall.llm.common import bounded_batches, scratch_table, shuffle_parts
 
 LENGTH, GRAM = 50, 16
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 HOT = 4096
+BATCH_RUNS, INDEX_RUNS = 400_000, 200_000
 NO_ID = (1 << 63) - 1  # stands for a null id: after all others
 _OUT = ["n_bytes", "n_removed", "n_spans", "kept_bytes"]
 
-REPEAT, RUN, CONTESTED, TOLD = 0, 1, 2, 3
+REPEAT, RUN, CONTESTED, HOTLY = 0, 1, 2, 3  # kinds; HOTLY: contested, of a hot anchor
+_LOOSE = np.uint16(1 << 15)  # in n: the anchor stands more than once in the run
 
 _rng = np.random.default_rng(31337)
 _BYTE = _rng.integers(0, 2 ** 64, 256, dtype=np.uint64)
@@ -92,6 +105,21 @@ class _Grams:
         return out
 
 
+    def at(self, places: np.ndarray, length: int) -> np.ndarray:
+        """``of(length)`` at some places."""
+        out, at = None, 0
+        for n in sorted(self.by, reverse=True):
+            if length & n:
+                h = self.by[n][places + at]
+                if out is None:
+                    out = h
+                else:
+                    out = out * _STEP[15] + h
+                    out ^= out >> _S32
+                at += n
+        return out
+
+
 def _least(h: np.ndarray, span: int) -> np.ndarray:
     """Minimum of every ``span`` consecutive values."""
     n = 1
@@ -108,11 +136,19 @@ def windows(data: np.ndarray, length: int) -> np.ndarray:
 def runs(data: np.ndarray, lens: np.ndarray, length: int, gram: int):
     """(document, first window, windows, anchor, fingerprint) of every run of
     documents laid end to end.  Windows never cross documents."""
+    return _sided_runs(data, lens, length, gram)[:5]
+
+
+def _sided_runs(data: np.ndarray, lens: np.ndarray, length: int, gram: int):
+    """``runs`` with the codes of their sides and whether the anchor stands
+    more than once in them."""
     empty = np.empty(0, np.int64)
+    none = empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64), empty.astype(np.uint32), empty.astype(bool)
     if len(data) < length:
-        return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
+        return none
     g = _Grams(data, length)
-    low = _least(g.of(gram), length - gram + 1)
+    grams = g.of(gram)
+    low = _least(grams, length - gram + 1)
     win = g.of(length)
     ends = np.cumsum(lens)
     doc = np.repeat(np.arange(len(lens)), lens)[:len(win)]
@@ -120,7 +156,7 @@ def runs(data: np.ndarray, lens: np.ndarray, length: int, gram: int):
     at = np.flatnonzero(inside)
     low, win, doc = low[at], win[at], doc[at]
     if not len(at):
-        return empty, empty, empty, empty.view(np.uint64), empty.view(np.uint64)
+        return none
     new = np.empty(len(at), bool)
     new[0] = True
     new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
@@ -141,7 +177,29 @@ def runs(data: np.ndarray, lens: np.ndarray, length: int, gram: int):
     key ^= key >> _S29
     key = key * _STEP[14] + n.astype(np.uint64)
     key ^= key >> _S32
-    return doc[first], at[first] - (ends - lens)[doc[first]], n, low[first], key
+    sides, loose = _sides(g, grams, at[first], n, length, gram)
+    return doc[first], at[first] - (ends - lens)[doc[first]], n, low[first], key, sides, loose
+
+
+def _sides(g: _Grams, grams: np.ndarray, start: np.ndarray, n: np.ndarray, length: int, gram: int):
+    """(16 bits of the hash of the bytes up to the anchor's end, and of those
+    from its start; 0 where no window of the run holds them; the anchor stands
+    more than once)."""
+    span = length - gram + 1
+    half = (span - 1) // 2
+    stop = start + n - 1
+    place, loose = np.empty(len(start), np.int64), np.empty(len(start), bool)
+    view = np.lib.stride_tricks.sliding_window_view(grams, span)
+    for i in range(0, len(start), 16_384):
+        j = slice(i, i + 16_384)
+        place[j] = start[j] + view[start[j]].argmin(1)
+        loose[j] = place[j] != stop[j] + span - 1 - view[stop[j], ::-1].argmin(1)
+    out = np.zeros(len(start), np.uint32)
+    for shift, back, has in ((0, half, place - start >= half), (16, 0, place - stop <= span - 1 - half)):
+        i = np.flatnonzero(has & ~loose)
+        code = (g.at(place[i] - back, gram + half) >> np.uint64(48)).astype(np.uint32)
+        out[i] |= np.maximum(code, np.uint32(1)) << np.uint32(shift)
+    return out, loose
 
 
 class LogIndex:
@@ -174,8 +232,8 @@ class LogIndex:
 
 
 # ``mark`` tells rows that repeat an id apart (a hash of the text, 0 if ids are unique)
-_RUN = "kind int, shard long, key int, doc long, mark long, at int, n int"
-_HIT = "kind int, anchor long, doc long, mark long, at int, n int"
+_DEALT = "shard int, kind int, rows binary"
+_HIT = "kind int, deal int, doc long, mark long, at int, n int"
 _PART = "kind int, shard long, doc long, mark long, at int, n int, data binary"
 _KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
 
@@ -245,105 +303,211 @@ def _groups(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
-def _cut(length: int, gram: int, limit: int):
-    """Rows (doc, mark, text) to runs."""
+# columns of runs in the index (n 0: the anchor is hot) and of decided rows
+_ENTRY = [np.dtype(t) for t in ("u8", "u4", "u4", "i8", "i8", "i4", "u2")]  # anchor, key, sides, doc, mark, at, n
+_DECIDED = [np.dtype(t) for t in ("i4", "i8", "i8", "i4", "i4")]  # deal, doc, mark, at, n
+
+
+def _pack(columns: list[np.ndarray], kinds: list[np.dtype]) -> bytes:
+    """Rows as planes of bytes, which compress well; the first column as its
+    differences."""
+    first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
+    return b"".join(np.ascontiguousarray(c, t).view(np.uint8).reshape(-1, t.itemsize).T.tobytes()
+                    for c, t in zip([first, *columns[1:]], kinds, strict=True))
+
+
+def _unpack(data: bytes, kinds: list[np.dtype]) -> list[np.ndarray]:
+    rows = len(data) // sum(t.itemsize for t in kinds)
+    out, at = [], 0
+    for t in kinds:
+        planes = np.frombuffer(data, np.uint8, rows * t.itemsize, at).reshape(t.itemsize, rows)
+        out.append(np.ascontiguousarray(planes.T).view(t).ravel())
+        at += rows * t.itemsize
+    return [np.cumsum(out[0], dtype=kinds[0]), *out[1:]]
+
+
+def _by_run(anchor: np.ndarray, key: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Order by anchor, key and document."""
+    order = np.argsort(anchor, kind="stable")
+    a = anchor[order]
+    again = np.zeros(len(a), bool)
+    again[1:] = a[1:] == a[:-1]
+    again[:-1] |= again[1:]
+    at = np.flatnonzero(again)
+    rows = order[at]
+    order[at] = rows[np.lexsort((doc[rows], key[rows], anchor[rows]))]
+    return order
+
+
+def _cut(length: int, gram: int, limit: int, parts: int, hot: int):
+    """Rows (doc, mark, text) to packed runs for each shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, texts_so_far = [], 0, 0
         for ids, marks, starts, texts in _pieces(batches, length, limit):
             lens = np.array([len(t) for t in texts], np.int64)
-            row, at, n, anchor, key = runs(np.frombuffer(b"".join(texts), np.uint8), lens, length, gram)
-            if not len(row):
-                continue
-            doc, mark, at = np.array(ids, np.int64)[row], np.array(marks, np.int64)[row], at + starts[row]
-            anchor, key = anchor.view(np.int64), key.astype(np.uint32).view(np.int32)
-            order = np.lexsort((at, row, doc, key, anchor))
-            row, doc, mark, at, n, anchor, key = (x[order] for x in (row, doc, mark, at, n, anchor, key))
-            heads, grp = _groups(_changes(anchor, key))
-            twin = np.bincount(grp, doc == doc[heads][grp]) > 1  # its first document has it more than once
-            a_heads, a_grp = _groups(_changes(anchor[heads]))
-            open_ = (np.bincount(a_grp) > 1)
-            open_ |= np.bincount(a_grp, twin[: len(a_grp)]) > 0
-            open_ = open_[a_grp][grp]
-            kind = np.where(doc > doc[heads][grp], REPEAT, np.where(open_, CONTESTED, RUN))
-            told = heads[a_heads][open_[heads[a_heads]]]
-            # repeats that follow one another are one
-            r = np.flatnonzero(kind == REPEAT)
-            r = r[np.lexsort((at[r], row[r]))]
-            if len(r):
-                gap = _changes(row[r])
-                gap[1:] |= at[r][1:] != (at[r] + n[r])[:-1]
-                h, g = _groups(gap)
-                yield from _records(_RUN, [np.full(len(h), REPEAT), _spread(doc[r][h], at[r][h]), np.zeros(len(h), np.int32),
-                                           doc[r][h], mark[r][h], at[r][h], np.bincount(g, n[r]).astype(np.int64)])
-            c = np.flatnonzero(kind == CONTESTED)
-            # the anchor of a contested run travels as its shard and key halves
-            yield from _records(_RUN, [np.full(len(c), CONTESTED), anchor[c], key[c], doc[c], mark[c], at[c], n[c]])
-            k = np.concatenate([np.flatnonzero(kind == RUN), told])
-            yield from _records(_RUN, [np.concatenate([np.full(len(k) - len(told), RUN), np.full(len(told), TOLD)]),
-                                       anchor[k], key[k], doc[k], mark[k], at[k], n[k]])
+            row, at, n, anchor, key, sides, loose = _sided_runs(
+                np.frombuffer(b"".join(texts), np.uint8), lens, length, gram)
+            n = n.astype(np.uint16) | np.where(loose, _LOOSE, np.uint16(0))
+            held.append([anchor * _STEP[1], np.maximum(key.astype(np.uint32), np.uint32(1)), sides, np.array(ids, np.int64)[row],
+                         np.array(marks, np.int64)[row], (at + starts[row]).astype(np.int32), n, row + texts_so_far])
+            rows, texts_so_far = rows + len(row), texts_so_far + len(texts)
+            if rows >= BATCH_RUNS:
+                yield from _deal([np.concatenate(c) for c in zip(*held, strict=True)], parts, hot)
+                held, rows = [], 0
+        if rows:
+            yield from _deal([np.concatenate(c) for c in zip(*held, strict=True)], parts, hot)
     return run
 
 
-class _Firsts:
-    """What the index points to: the first run of each anchor."""
+def _windows_in(n: np.ndarray) -> np.ndarray:
+    return (n & ~_LOOSE).astype(np.int32)
+
+
+def _deal(columns: list[np.ndarray], parts: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch (columns of the index, and the text each is of) to
+    packed rows; most: runs of an anchor that is not hot."""
+    order = _by_run(columns[0], columns[1], columns[3])
+    anchor, key, sides, doc, mark, at, n, row = (c[order] for c in columns)
+    heads, grp = _groups(_changes(anchor, key))
+    later = doc > doc[heads][grp]
+    # repeats that follow one another are one
+    r = np.flatnonzero(later)
+    r = r[np.lexsort((at[r], row[r]))]
+    size = _windows_in(n[r])
+    gap = _changes(row[r])
+    gap[1:] |= at[r][1:] != (at[r] + size)[:-1]
+    h, g = _groups(gap)
+    sizes = np.bincount(g, size).astype(np.int32)
+    yield from _passing(REPEAT, [np.zeros(len(h), np.int32), doc[r][h], mark[r][h], at[r][h], sizes], parts)
+    anchor, key, sides, doc, mark, at, n = (c[~later] for c in (anchor, key, sides, doc, mark, at, n))
+    heads, grp = _groups(_changes(anchor))
+    over = np.bincount(grp) > min(most, max(16, len(order) // parts))
+    hot = over[grp]
+    yield from _passing(HOTLY, [np.zeros(hot.sum(), np.int32), doc[hot], mark[hot], at[hot], _windows_in(n[hot])], parts)
+    told = heads[over]
+    key[told] = sides[told] = n[told] = 0
+    hot[told] = False
+    entries = [c[~hot] for c in (anchor, key, sides, doc, mark, at, n)]
+    shard = (entries[0] >> _S32) * np.uint64(parts) >> _S32
+    ends = np.searchsorted(shard, np.arange(parts + 1, dtype=np.uint64))
+    full = np.flatnonzero(np.diff(ends))
+    for i in range(0, len(full), 64):
+        some = full[i:i + 64]
+        yield _record(_DEALT, [some, np.full(len(some), RUN),
+                               pa.array([_pack([c[ends[k]:ends[k + 1]] for c in entries], _ENTRY) for k in some], pa.binary())])
+
+
+def _passing(kind: int, columns: list[np.ndarray], parts: int) -> Iterator[pa.RecordBatch]:
+    """Decided rows, dealt over all shards alike."""
+    rows = len(columns[0])
+    if not rows:
+        return
+    step = max(256, -(-rows // parts))
+    starts = np.arange(0, rows, step)
+    first = int(_spread(columns[1][:1], columns[3][:1])[0]) % parts
+    for i in range(0, len(starts), 64):
+        some = starts[i:i + 64]
+        yield _record(_DEALT, [(first + some // step) % parts, np.full(len(some), kind),
+                               pa.array([_pack([c[k:k + step] for c in columns], _DECIDED) for k in some], pa.binary())])
+
+
+class RunIndex:
+    """Runs in sorted levels whose sizes fall geometrically.  Where levels
+    merge, a run that an earlier document has leaves as a repeat."""
 
     def __init__(self):
-        self.n, self.cols = 0, [np.empty(1024, t) for t in (np.int32, np.int64, np.int64, np.int32, np.int32, bool)]
-
-    def add(self, *columns: np.ndarray) -> np.ndarray:
-        m = self.n + len(columns[0])
-        if m > len(self.cols[0]):
-            self.cols = [np.concatenate([c, np.empty(max(m, 2 * len(c)) - len(c), c.dtype)]) for c in self.cols]
-        for c, x in zip(self.cols, columns, strict=True):
-            c[self.n:m] = x
-        self.n, at = m, np.arange(self.n, m)
-        return at
-
-
-def _match_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of one or more shards in ascending document order to repeats and
-    contested runs."""
-    index, firsts = LogIndex(), _Firsts()
-    for b in batches:
-        kind, anchor, key, doc, mark, at, n = _columns(b)
-        go = (kind == REPEAT) | (kind == CONTESTED)
-        out = [[kind[go], anchor[go], doc[go], mark[go], at[go], n[go]]]
-        order = np.flatnonzero(~go)
-        order = order[np.lexsort((doc[order], anchor[order]))]
-        if len(order):
-            kind, anchor, key, doc, mark, at, n = (x[order] for x in (kind, anchor, key, doc, mark, at, n))
-            heads, grp = _groups(_changes(anchor))
-            own = anchor[heads]
-            had, old = index.scan(own)
-            fresh = np.flatnonzero(~had)
-            h = heads[fresh]
-            told_first = kind[h] == TOLD
-            old[fresh] = firsts.add(key[h], doc[h], mark[h], at[h], n[h], told_first)
-            f_key, f_doc, f_mark, f_at, f_n, f_open = firsts.cols
-            # a head that tells is no run: nothing equals it
-            plain = np.ones(len(own), bool)
-            plain[fresh] = ~told_first
-            told_ref = f_n[old] < 0
-            is_head = np.zeros(len(anchor), bool)
-            is_head[h] = True
-            run_ = kind == RUN
-            same = run_ & (key == f_key[old][grp]) & ~told_ref[grp] & plain[grp]
-            later = same & (doc > f_doc[old][grp])
-            again = same & ~later & ~is_head
-            clash = (kind == TOLD) | (run_ & ~same & ~(is_head & run_)) | again
-            opened = np.bincount(grp, clash) > 0
-            was = f_open[old]
-            now = was | opened
-            emit = run_ & ~later & (~is_head | now[grp])
-            out.append([np.full(later.sum(), REPEAT), anchor[later], doc[later], mark[later], at[later], n[later]])
-            out.append([np.full(emit.sum(), CONTESTED), anchor[emit], doc[emit], mark[emit], at[emit], n[emit]])
-            back = now & ~was  # firsts of earlier batches that turn out contested
-            back[fresh] = False
-            i = old[back]
-            out.append([np.full(len(i), CONTESTED), own[back], f_doc[i], f_mark[i], f_at[i], f_n[i]])
-            f_open[old] = now
-            f_n[old[fresh[told_first]]] = -1
-            index.add(own[fresh], old[fresh])
-        yield from _records(_HIT, [np.concatenate(c) for c in zip(*out, strict=True)])
+        self.levels: list[list[np.ndarray]] = []
+
+    @staticmethod
+    def _merge(levels: list[list[np.ndarray]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(entries that stay, (deal, doc, mark, at, n) of the repeats).  Uses
+        up ``levels``: column by column, to hold little more than one copy."""
+        both = []
+        for k in range(len(_ENTRY)):
+            both.append(np.concatenate([x[k] for x in levels]))
+            for x in levels:
+                x[k] = None
+        order = _by_run(both[0], both[1], both[3])
+        for k in range(len(both)):
+            both[k] = both[k][order]
+        heads, grp = _groups(_changes(both[0], both[1]))
+        later = both[3] > both[3][heads][grp]
+        gone = later & (both[6] > 0)
+        doc, mark, at, n = (c[gone] for c in both[3:])
+        for k in range(len(both)):
+            both[k] = both[k][~later]
+        return both, [np.zeros(len(doc), np.int32), doc, mark, at, _windows_in(n)]
+
+    def add(self, levels: list[list[np.ndarray]]) -> list[np.ndarray]:
+        size = sum(len(x[0]) for x in levels)
+        while self.levels and len(self.levels[-1][0]) <= 2 * size:
+            levels = [self.levels.pop(), *levels]
+            size += len(levels[0][0])
+        kept, repeats_ = self._merge(levels)
+        self.levels.append(kept)
+        return repeats_
+
+    def whole(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """All levels as one, and the last repeats."""
+        levels, self.levels = self.levels, []
+        return self._merge(levels)
+
+
+def _contested(entries: list[np.ndarray], hot: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(kind, rows) of the runs that may share a window with another document's
+    other run of their anchor."""
+    anchor, key, sides, doc, mark, at, n = entries
+    heads, grp = _groups(_changes(anchor))
+    told = np.bincount(grp, n == 0) > 0
+    several = np.bincount(grp, _changes(anchor, key)) > 1
+    rows = np.flatnonzero(several[grp])
+    of, d = grp[rows], doc[rows]
+    open_ = told[of]
+    loose = np.zeros(len(heads), bool)
+    loose[of[n[rows] >= _LOOSE]] = True
+    codes = [(loose[of], of)]
+    for shift in (0, 16):
+        code = (sides[rows] >> np.uint32(shift) & np.uint32(0xFFFF)).astype(np.int64)
+        codes.append((code > 0, of << 16 | code))
+    for has, code in codes:
+        i = np.flatnonzero(has)
+        i = i[np.argsort(code[i], kind="stable")]
+        if len(i):
+            first, g = _groups(_changes(code[i]))
+            open_[i] |= (np.minimum.reduceat(d[i], first) < np.maximum.reduceat(d[i], first))[g]
+    rows = rows[open_ & (n[rows] > 0)]
+    hotly = (told | (np.bincount(grp[rows], minlength=len(heads)) > hot))[grp[rows]]
+    for kind, some in ((CONTESTED, rows[~hotly]), (HOTLY, rows[hotly])):
+        deal = (anchor[some] >> _S32).astype(np.uint32).view(np.int32)
+        yield kind, [deal, doc[some], mark[some], at[some], _windows_in(n[some])]
+
+
+def _match_runs(hot: int):
+    """Packed rows of one or more shards to repeats and contested runs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, held, rows = RunIndex(), [], 0
+
+        def hits(kind: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            yield from _records(_HIT, [np.full(len(columns[0]), kind), *columns])
+
+        for b in batches:
+            for kind, data in zip(b.column(1).to_pylist(), b.column(2), strict=True):
+                if kind != RUN:
+                    yield from hits(kind, _unpack(data.as_py(), _DECIDED))
+                    continue
+                held.append(_unpack(data.as_py(), _ENTRY))
+                rows += len(held[-1][0])
+                if rows >= INDEX_RUNS:
+                    yield from hits(REPEAT, index.add(held))
+                    held, rows = [], 0
+        if held:
+            yield from hits(REPEAT, index.add(held))
+        if index.levels:
+            entries, repeats_ = index.whole()
+            yield from hits(REPEAT, repeats_)
+            for kind, columns in _contested(entries, hot):
+                yield from hits(kind, columns)
+    return run
 
 
 def _parts(length: int, limit: int):
@@ -355,56 +519,56 @@ def _parts(length: int, limit: int):
             for d, m, t, found in zip(ids, marks, texts, lists, strict=True):
                 for r in found:
                     part = t[r["at"]:r["at"] + r["n"] + length - 1]
-                    if r["hot"]:
+                    if r["kind"] == HOTLY:
                         hot.append((d, m, r["at"], part))
                     else:
-                        cold.append((RUN, r["anchor"], d, m, r["at"], r["n"], part))
+                        cold.append((RUN, r["deal"], d, m, r["at"], r["n"], part))
             if cold:
                 yield from _records(_PART, [pa.array(c, _KINDS[f.split()[1]]) for c, f in
                                             zip(zip(*cold, strict=True), _PART.split(", "), strict=True)], 20_000)
             if hot:
-                win, src, at, data = _windows_of([h[3] for h in hot], length)
+                win, src, at = _windows_of([h[3] for h in hot], length)
                 doc = np.array([h[0] for h in hot], np.int64)[src]
                 mark, at = np.array([h[1] for h in hot], np.int64)[src], at + np.array([h[2] for h in hot], np.int64)[src]
                 order = np.lexsort((at, doc, win))
                 heads, grp = _groups(_changes(win[order]))
                 first = doc[order][heads][grp]
                 again = doc[order] > first
-                r, k = order[again], order[~again]
-                none = pa.nulls(len(r), pa.binary())
-                yield from _records(_PART, [np.full(len(r), REPEAT), _spread(doc[r], at[r]), doc[r], mark[r], at[r],
-                                            np.ones(len(r), np.int64), none])
-                raw = np.lib.stride_tricks.sliding_window_view(data[0], length)[data[1][k]]
-                yield from _records(_PART, [np.full(len(k), RUN), win[k], doc[k], mark[k], at[k], np.ones(len(k), np.int64),
-                                            pa.array([x.tobytes() for x in raw], pa.binary())], 20_000)
+                # the shard of a window is its fingerprint: no bytes need to travel
+                for kind, r, shard in ((REPEAT, order[again], _spread(doc, at)), (RUN, order[~again], win)):
+                    yield from _records(_PART, [np.full(len(r), kind), shard[r], doc[r], mark[r], at[r], np.ones(len(r), np.int64),
+                                                pa.nulls(len(r), pa.binary())])
     return run
 
 
 def _windows_of(parts: list[bytes], length: int):
-    """(fingerprint, part, offset in the part, (bytes, offset in them)) of all
-    windows of all parts."""
+    """(fingerprint, part, offset in the part) of all windows of all parts."""
     data = np.frombuffer(b"".join(parts), np.uint8)
     lens = np.array([len(p) for p in parts], np.int64)
     win = windows(data, length).view(np.int64)
     starts = np.cumsum(lens) - lens
     src = np.repeat(np.arange(len(parts)), lens)[:len(win)]
     at = np.flatnonzero(np.arange(len(win)) + length <= (starts + lens)[src])
-    return win[at], src[at], at - starts[src[at]], (data, at)
+    return win[at], src[at], at - starts[src[at]]
 
 
 def _match_windows(length: int):
-    """Runs with their bytes, in ascending document order, to repeats."""
+    """Runs with their bytes and single windows without, in ascending document
+    order, to repeats."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = LogIndex()
         for b in batches:
-            kind, _, doc, mark, at, n = _columns(b)[:6]
+            kind, shard, doc, mark, at, n = _columns(b)[:6]
             go = kind == REPEAT
-            yield from _records(_HIT, [kind[go], np.zeros(go.sum(), np.int64), doc[go], mark[go], at[go], n[go]])
-            rows = np.flatnonzero(~go)
-            if not len(rows):
+            yield from _records(_HIT, [kind[go], np.zeros(go.sum(), np.int32), doc[go], mark[go], at[go], n[go]])
+            bare = b.column(6).is_null().to_numpy(zero_copy_only=False)
+            rows, lone = np.flatnonzero(~go & ~bare), np.flatnonzero(~go & bare)
+            win, src, off = shard[lone], lone, np.zeros(len(lone), np.int64)
+            if len(rows):
+                w, s, o = _windows_of(b.column(6).take(pa.array(rows)).to_pylist(), length)
+                win, src, off = np.append(win, w), np.append(src, rows[s]), np.append(off, o)
+            if not len(win):
                 continue
-            win, src, off, _ = _windows_of(b.column(6).take(pa.array(rows)).to_pylist(), length)
-            src = rows[src]
             order = np.lexsort((doc[src], win))
             win, src, off = win[order], src[order], off[order]
             heads, grp = _groups(_changes(win))
@@ -418,7 +582,7 @@ def _match_windows(length: int):
                 gap = _changes(s)
                 gap[1:] |= o[1:] != o[:-1] + 1
                 h, g = _groups(gap)
-                yield from _records(_HIT, [np.full(len(h), REPEAT), np.zeros(len(h), np.int64), doc[s][h], mark[s][h],
+                yield from _records(_HIT, [np.full(len(h), REPEAT), np.zeros(len(h), np.int32), doc[s][h], mark[s][h],
                                            at[s][h] + o[h], np.bincount(g)])
     return run
 
@@ -430,20 +594,27 @@ def _remove(length: int, keep: int):
     """Rows (kept columns, text, repeats) to the text without its repeats."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for t, found in zip(b.column(keep), b.column(keep + 1), strict=True):
-                t, found = t.as_py() or b"", found.as_py() or []
-                at = np.array([r["at"] for r in found], np.int64)
-                order = np.argsort(at)
-                reach = np.maximum.accumulate((at + np.array([r["n"] for r in found], np.int64) + length - 1)[order])
-                at = at[order]
-                new = np.append(True, at[1:] > reach[:-1])[:len(at)]
-                starts, stops = at[new], reach[np.append(new[1:], True)[:len(at)]]
-                kept = b"".join(t[a:b] for a, b in zip([0, *stops], [*starts, len(t)], strict=True))
-                out.append((len(t), len(t) - len(kept), len(starts), kept))
-            cols = list(zip(*out, strict=True)) or [()] * 4
+            texts = [t or b"" for t in b.column(keep).to_pylist()]
+            lens = np.array([len(t) for t in texts], np.int64)
+            base = np.cumsum(lens + 1) - lens - 1  # texts end to end, one byte apart
+            found = b.column(keep + 1)
+            doc = np.repeat(np.arange(len(texts)), pc.list_value_length(found).fill_null(0).to_numpy())
+            at, n = (found.flatten().field(c).to_numpy().astype(np.int64) for c in ("at", "n"))
+            order = np.argsort(base[doc] + at, kind="stable")
+            start = (base[doc] + at)[order]
+            reach = np.maximum.accumulate(start + n[order] + length - 1)
+            new = np.ones(len(start), bool)
+            new[1:] = start[1:] > reach[:-1]
+            first = np.flatnonzero(new)
+            doc = doc[order][first]
+            starts, stops = start[first] - base[doc], reach[np.append(first[1:], len(start))[:len(first)] - 1] - base[doc]
+            spans = np.bincount(doc, minlength=len(texts))
+            gone = np.bincount(doc, stops - starts, len(texts)).astype(np.int64)
+            starts, stops, at = starts.tolist(), stops.tolist(), [0, *np.cumsum(spans).tolist()]
+            kept = [b"".join(t[x:y] for x, y in zip([0, *stops[i:j]], [*starts[i:j], len(t)], strict=True)) if i < j else t
+                    for t, i, j in zip(texts, at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:keep], *(pa.array(c, k) for c, k in zip(cols, [pa.int64()] * 3 + [pa.binary()], strict=True))],
+                [*b.columns[:keep], pa.array(lens), pa.array(gone), pa.array(spans.astype(np.int64)), pa.array(kept, pa.binary())],
                 [*b.schema.names[:keep], *_OUT])
     return run
 
@@ -456,16 +627,12 @@ def repeats(docs: DataFrame, keys: list[str], *, length: int = LENGTH, gram: int
     parts = shuffle_parts(spark)
     mark = F.col("mark") if "mark" in keys else F.lit(0).cast("long").alias("mark")
     found = docs.filter(F.octet_length("t") >= length).select("doc", mark, "t").mapInArrow(
-        _cut(length, gram, BATCH_BYTES), _RUN)
-    # rows that only pass through are dealt anywhere
-    shard = F.when(F.col("kind") == CONTESTED, F.xxhash64("doc", "at")).otherwise(F.col("shard"))
-    found = found.repartition(parts, shard).sortWithinPartitions("doc")
-    found = scratch_table(found.mapInArrow(_match_runs, _HIT), "suffix-runs")
-    open_ = found.filter(F.col("kind") == CONTESTED).drop("kind")
-    many = open_.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > hot).select(
-        "anchor", F.lit(True).alias("hot"))
-    open_ = (open_.join(many, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-             .groupBy(*keys).agg(F.collect_list(F.struct("anchor", "hot", "at", "n")).alias("runs")))
+        _cut(length, gram, BATCH_BYTES, parts, hot), _DEALT)
+    # (by hash before Spark 4.1: several shards may meet in one task)
+    found = found.repartitionById(parts, "shard") if hasattr(found, "repartitionById") else found.repartition(parts, "shard")
+    found = scratch_table(found.mapInArrow(_match_runs(hot), _HIT), "suffix-runs", free_shuffles=True)
+    open_ = (found.filter(F.col("kind") != REPEAT).groupBy(*keys)
+             .agg(F.collect_list(F.struct("deal", "kind", "at", "n")).alias("runs")))
     texts = docs.join(open_, keys).select("doc", mark, "t", "runs")
     pieces = texts.mapInArrow(_parts(length, BATCH_BYTES), _PART).repartition(parts, "shard").sortWithinPartitions("doc")
     late = pieces.mapInArrow(_match_windows(length), _HIT)
