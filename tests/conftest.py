@@ -17,6 +17,14 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def earlier_streams_forgotten(request):
+    """Spark remembers queries that other tests let fail, and would raise their
+    errors in the next wait for any query."""
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").streams.resetTerminated()
+
+
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="squall-test-")
